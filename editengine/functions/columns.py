@@ -40,13 +40,12 @@ def event_key(wiki: Column) -> Column:
 
 
 def second_to_timestamp(second: Column) -> Column:
-    return F.when(second.between(-_MAX_SECOND, _MAX_SECOND), F.timestamp_seconds(second))
+    return F.timestamp_seconds(F.when(second.between(-_MAX_SECOND, _MAX_SECOND), second))
 
 
 def milli_to_timestamp(milli: Column) -> Column:
     """Whole seconds, truncated toward zero."""
-    second = F.when(milli >= 0, F.floor(milli / 1000)).otherwise(F.ceil(milli / 1000)).cast("long")
-    return second_to_timestamp(second)
+    return second_to_timestamp((milli / 1000).cast("long"))
 
 
 def latency(ingestion_ts: Column, timestamp: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from editengine.operators.features import hash_sample
+
 _CELLS = 1 << 16
 
 
@@ -168,13 +170,8 @@ def silhouette_sampled(
     import pandas as pd
 
     spark = clustered.sparkSession
-    chosen = (
-        clustered.select(F.md5(F.col(key).cast("string")).alias("_h"), *columns, cluster)
-        .orderBy("_h", *columns)
-        .limit(sample_size)
-        .drop("_h")
-    )
-    local = chosen.toPandas()  # at most sample_size rows
+    chosen = hash_sample(clustered.select(key, *columns, cluster), sample_size, key)
+    local = chosen.drop(key).toPandas()  # at most sample_size rows
     shared = spark.sparkContext.broadcast((local[columns].to_numpy("float64"), local[cluster].to_numpy()))
 
     def widths(batches):

@@ -94,6 +94,17 @@ def split_by_key(df: DataFrame, key: str = "id", test_share: float = 0.2, seed:
     return df.where(~test), df.where(test)
 
 
+def hash_sample(df: DataFrame, n: int, key: str = "id", seed: int = 42) -> DataFrame:
+    """``n`` rows chosen by key hash, the same on every run.
+
+    Rows beyond about twice the wanted share are dropped where they are read, so that few rows reach
+    the final ordering however large the input is.
+    """
+    share = min(1.0, (2.0 * n + 200) / max(df.count(), 1))
+    few = df if share == 1.0 else df.where(C.hash_share(F.col(key), share, seed))
+    return few.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)
+
+
 def minute_series(silver: DataFrame) -> DataFrame:
     """Per wiki and minute: events of the main namespace, mean size change, bot and anonymous counts."""
     return (

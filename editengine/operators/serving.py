@@ -89,6 +89,17 @@ def hourly_summary(rows: DataFrame, types: tuple[str, ...] = ("edit",)) -> DataF
     )
 
 
+def hourly_stream(rows: DataFrame, watermark: str = S.GOLD_WATERMARK, types: tuple[str, ...] = ("edit",)) -> DataFrame:
+    """The hourly counts of a stream; an hour leaves the state once the watermark has passed it."""
+    return (
+        rows.where(F.col("type").isin(*types))
+        .withWatermark("event_time", watermark)
+        .groupBy("wiki", "wiki_lang", F.window("event_time", "1 hour").alias("span"))
+        .agg(F.count("*").alias("total_edits"))
+        .select("wiki", "wiki_lang", F.col("span.start").alias("hour_bucket"), "total_edits")
+    )
+
+
 def batch_summary(silver: DataFrame) -> DataFrame:
     return silver.agg(
         F.count("*").alias("written"),

@@ -21,7 +21,7 @@ from editengine.operators import (
 )
 from editengine.operators.percentiles import exact_percentile
 from editengine.plans import registry
-from editengine.session import shared_dir
+from editengine.session import prepare, shared_dir
 from editengine.sources import events, tables
 from editengine.streaming import pipeline, sinks
 
@@ -33,8 +33,8 @@ RECORD = (
     "server_name", "ingestion_ts", "is_bot", "namespace_str", "byte_delta", "title_len",
 )
 SILVER = RECORD + (
-    "eventTime", "ingestionTime", "latencyMs", "isAnon", "editSizeCategory", "commentLen", "hourOfDay", "dayOfWeek",
-    "wikiLang",
+    "eventTime", "ingestionTime", "latencyMs", "isAnon", "editSizeCategory", "commentLen", "wikiLang",
+    "hourOfDay", "dayOfWeek",
 )
 # Parameters of the demonstration queries, shared with the checking SQL.
 AS_OF = "2024-01-10 00:00:00"
@@ -60,8 +60,7 @@ def query(name: str):
     def register(fn: Query) -> Query:
         @wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return presentable(fn(spark, sf_dir))
+            return presentable(fn(prepare(spark), sf_dir))
 
         QUERIES[name] = run
         return fn
@@ -315,6 +314,21 @@ def _(spark, d):
     return serving.batch_summary(silver_rows(spark, d))
 
 
+@query("hourly_summary_stream")
+def _(spark, d):
+    counted = serving.hourly_stream(serving.serving_rows(silver_stream(spark, d)))
+    return sinks.run_to_table(counted, "hourly")
+
+
+@query("compact_store")
+def _(spark, d):
+    root = shared_dir(spark, "compaction")
+    for batch, rows in enumerate((store_rows(spark, d), redelivered(spark, d))):
+        rows.write.parquet(f"{root}/store/batch_id={batch}")
+    sinks.compact_store(spark, f"{root}/store", f"{root}/snapshot", F.lit(AS_OF).cast("timestamp"))
+    return tables.scan_store(spark, f"{root}/snapshot").select(*S.STORE_COLUMNS)
+
+
 @query("hourly_summary")
 def _(spark, d):
     return serving.hourly_summary(store_rows(spark, d))

@@ -7,7 +7,19 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Settings that a running session can still take over.
+RUNTIME = {
+    # The JIT compiler skips methods of more than 8,000 bytes. Wide projections fused into one stage pass
+    # that and would run interpreted; above the limit Spark generates one smaller class per operator.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # State for windows and sessions lives off-heap, so it may outgrow the JVM heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Sessions of a hot user collapse inside each map task before the shuffle.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+}
 DEFAULTS = {
+    **RUNTIME,
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -16,12 +28,6 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # State for windows and sessions lives off-heap, so it may outgrow the JVM heap.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    # Sessions of a hot user collapse inside each map task before the shuffle.
-    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.streaming.stopGracefullyOnShutdown": "true",
 }
 
@@ -36,6 +42,15 @@ def build_session(app: str = "editengine", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Put the results' time zone, and the settings its owner left open, into an existing session."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for key, value in RUNTIME.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh path for checkpoints, streams and written tables.
 

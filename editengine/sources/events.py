@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # First second of the table, and one expression per raw column. ``k`` is the number
-# inside ``props``; ``epoch_s`` is the event's epoch second as a double.
+# inside ``props``; ``epoch_s`` is the event's epoch second as a double. The null rule of ``wiki`` stands
+# outside its name rule, so that a filter on null wikis reduces to the former.
 ORIGIN = 1704067200
 RAW_COLUMNS = {
     "id": "event_id",
     "ts_s": f"cast({ORIGIN} + floor((epoch_s - {ORIGIN}) / 10) as bigint)",
-    "wiki": "case when event_id%89=88 then null when k<50 then 'enwiki' when k<65 then 'dewiki'"
+    "wiki": "case when event_id%89=88 then null else case when k<50 then 'enwiki' when k<65 then 'dewiki'"
             " when k<75 then 'frwiki' when k<82 then 'commonswiki' when k<88 then 'wikidatawiki'"
-            " when k<93 then 'zh_min_nanwiki' when k<97 then 'be_x_oldwiki' else 'eswiki' end",
+            " when k<93 then 'zh_min_nanwiki' when k<97 then 'be_x_oldwiki' else 'eswiki' end end",
     "type": "case when event_id%97=96 then 'external' when event_type in ('click','view','purchase') then 'edit'"
             " when event_type='signup' and event_id%2=0 then 'new' when event_type='signup' then 'categorize'"
             " else 'log' end",

@@ -68,9 +68,10 @@ def read_silver_union(spark: SparkSession, *paths: str) -> DataFrame:
 def scan_store(spark: SparkSession, path: str) -> DataFrame:
     """The edit store's current rows, lower-case columns.
 
-    Micro-batches append their rows under ``batch_id=``; the newest version of a key wins here.
+    Micro-batches append their rows under ``batch_id=``, so there the newest version of a key is
+    chosen while reading. A compacted snapshot holds each key once and is read as it is, without a
+    shuffle and with its folder per wiki available for pruning.
     """
     rows = spark.read.parquet(path)
     rows = rows.toDF(*[c.lower() for c in rows.columns])
-    version = ["batch_id"] if "batch_id" in rows.columns else []
-    return upsert_latest(rows, *version)
+    return upsert_latest(rows, "batch_id") if "batch_id" in rows.columns else rows

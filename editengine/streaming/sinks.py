@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from editengine import schema as S
 from editengine.operators import serving
 from editengine.session import shared_dir
+from editengine.sources import tables
 
 log = logging.getLogger(__name__)
 
@@ -77,7 +78,15 @@ def write_store(
 def write_snapshot(rows: DataFrame, path: str, partitions: int | None = None) -> None:
     """A compacted store: newest versions, a folder per wiki, newest rows first in each file."""
     current = serving.newest_first(serving.upsert_latest(rows), partitions)
-    current.write.mode("overwrite").partitionBy("wiki").parquet(path)
+    current.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("wiki").parquet(path)
+
+
+def compact_store(
+    spark: SparkSession, store: str, snapshot: str, as_of: Column | None = None, partitions: int | None = None
+) -> None:
+    """Turn a store of micro-batches into a snapshot at another path, without the rows expired at ``as_of``."""
+    rows = tables.scan_store(spark, store)
+    write_snapshot(rows if as_of is None else serving.alive(rows, as_of), snapshot, partitions)
 
 
 def write_messages(messages: DataFrame, path: str) -> None:
