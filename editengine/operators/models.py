@@ -59,7 +59,14 @@ def with_probability(predictions: DataFrame) -> DataFrame:
 
 
 def bot_auc(predictions: DataFrame) -> float:
-    return BinaryClassificationEvaluator(labelCol="isBot", metricName="areaUnderROC").evaluate(predictions)
+    """Area under ROC by probability, over all distinct scores.
+
+    The evaluator's default column holds a decision tree's leaf counts, whose order is not that of
+    the probabilities.
+    """
+    return BinaryClassificationEvaluator(
+        rawPredictionCol="probability", labelCol="isBot", metricName="areaUnderROC", numBins=0
+    ).evaluate(predictions)
 
 
 @dataclass

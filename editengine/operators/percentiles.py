@@ -29,7 +29,10 @@ def exact_percentile(
     if not by:
         usable = usable.withColumn("_all", F.lit(0))
 
-    counts = usable.groupBy(*keys, F.col(value).cast("int").alias("_v")).agg(F.count("*").alias("_n"))
+    # coalesce marks the value as never null, so the join below adds no null filter to one side only
+    # and both sides read the same exchange.
+    known = F.coalesce(F.col(value).cast("int"), F.lit(0))
+    counts = usable.groupBy(*keys, known.alias("_v")).agg(F.count("*").alias("_n"))
     slab = F.shiftright("_v", 16)
 
     groups = Window.partitionBy(*keys)

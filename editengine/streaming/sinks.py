@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -42,8 +42,9 @@ class StoreWriter:
     """``foreachBatch`` target: a micro-batch of silver becomes one folder of the edit store.
 
     The folder is named by the batch and overwritten, so a batch that is delivered again after a
-    failure replaces itself. Executors write all rows; the driver sees three counts per batch. Rows
-    are sorted by wiki and time within a file, which lets a scan skip row groups of other wikis.
+    failure replaces itself. Executors write all rows; the driver sees three counts per batch, taken
+    from the written folder, so the batch itself is not computed again. Rows are sorted by wiki and
+    time within a file, which lets a scan skip row groups of other wikis.
     """
 
     def __init__(self, path: str):
@@ -53,18 +54,12 @@ class StoreWriter:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        seen = Observation(f"batch-{batch_id}")
-        counted = batch.observe(
-            seen,
-            F.count(F.lit(1)).alias("written"),
-            F.count_if(F.col("type") == "edit").alias("edits"),
-            F.count_if(F.coalesce(F.col("bot"), F.lit(False))).alias("bots"),
-        )
-        rows = serving.serving_rows(counted)
+        folder = f"{self.path}/batch_id={batch_id}"
         order = [F.col("wiki"), F.col("wiki_lang"), F.desc("event_time"), F.desc("event_id")]
-        rows.sortWithinPartitions(*order).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
-        self.summaries.append({"batch_id": batch_id, **seen.get})
-        log.info("batch %s: %s", batch_id, seen.get)
+        serving.serving_rows(batch).sortWithinPartitions(*order).write.mode("overwrite").parquet(folder)
+        written = batch.sparkSession.read.parquet(folder).withColumnRenamed("is_bot", "bot")
+        self.summaries.append({"batch_id": batch_id, **serving.batch_summary(written).first().asDict()})
+        log.info("batch: %s", self.summaries[-1])
 
 
 def write_store(
