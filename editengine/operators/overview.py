@@ -24,19 +24,13 @@ def kpi_silver(silver: DataFrame) -> DataFrame:
 
 
 def kpi_store(store: DataFrame) -> DataFrame:
-    """Row, edit, wiki, user and page counts.
-
-    Each distinct count is a group-by of its own, joined as one-row subqueries: several distinct
-    counts in a single aggregate would copy every row once per count before the shuffle.
-    """
-    def distinct(name):
-        return store.agg(F.count_distinct(name).alias("n")).scalar()
-
-    return store.agg(F.count("*").alias("totalRows"), F.count_if(F.col("type") == "edit").alias("edits")).select(
-        "*",
-        distinct("wiki").alias("wikis"),
-        distinct("user_name").alias("users"),
-        distinct("title").alias("pages"),
+    """Row, edit, wiki, user and page counts in one scan; repeated values are dropped before the shuffle."""
+    return store.agg(
+        F.count("*").alias("totalRows"),
+        F.count_if(F.col("type") == "edit").alias("edits"),
+        F.count_distinct("wiki").alias("wikis"),
+        F.count_distinct("user_name").alias("users"),
+        F.count_distinct("title").alias("pages"),
     )
 
 

@@ -680,6 +680,14 @@ def _(spark, d):
     return models.load_model(path).transform(test).select("id", "isBot", "prediction")
 
 
+@query("load_model")
+def _(spark, d):
+    train, _ = features.split_by_key(feature_rows(spark, d))
+    path = shared_dir(spark, "model")
+    models.save_model(models.bot_tree().fit(train), path)
+    return models.feature_importances(models.load_model(path), S.BOT_FEATURES)
+
+
 # --- Evaluation ---
 
 @query("roc_auc")
