@@ -89,7 +89,7 @@ def edit_sessions(
     )
     order = Window.partitionBy("user_name").orderBy("slot")
     pause = F.unix_micros("first") - F.unix_micros(F.lag("last").over(order))
-    starts = F.when(pause.isNull() | (pause > gap_seconds * 1_000_000), 1).otherwise(0)
+    starts = F.when(pause <= gap_seconds * 1_000_000, 0).otherwise(1)  # the first slot has no pause
     sessions = (
         slots.withColumn("starts", starts)
         .withColumn("sessionId", F.sum("starts").over(order.rowsBetween(Window.unboundedPreceding, 0)))

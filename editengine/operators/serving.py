@@ -57,7 +57,9 @@ def upsert_latest(rows: DataFrame, *version: str) -> DataFrame:
     that repeats millions of times moves one row per task.
     """
     content = ["type", "title", "user_name", "byte_delta", "comment"]
-    newest = Window.partitionBy(*S.STORE_KEY).orderBy(
+    # The key's most selective part comes first: the sort compares it by its binary prefix.
+    key = sorted(S.STORE_KEY, key=("event_time", "event_id", "wiki", "wiki_lang").index)
+    newest = Window.partitionBy(*key).orderBy(
         *[F.desc(c) for c in (*version, "ingestion_ts", *content)]
     )
     return rows.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank", *version)
