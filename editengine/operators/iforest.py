@@ -14,12 +14,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Workers get these functions with the task, so the package need not be installed on them.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+_ARRAYS = ("feature", "cut", "low", "high", "path")
 _NODES = "tree int, node int, feature int, cut double, low int, high int, depth int, rows int"
 
 
@@ -90,6 +91,30 @@ class IsolationForest:
     levels: int
     threshold: float | None = None
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """One row per tree node, with the forest's own figures alongside."""
+        tree, node = np.indices(self.feature.shape).reshape(2, -1)
+        nodes = pd.DataFrame({"tree": tree, "node": node, **{n: getattr(self, n).ravel() for n in _ARRAYS}})
+        (
+            spark.createDataFrame(nodes)
+            .withColumns({
+                "columns": F.array(*[F.lit(c) for c in self.columns]), "norm": F.lit(self.norm),
+                "levels": F.lit(self.levels), "threshold": F.lit(self.threshold),
+            })
+            .write.mode("overwrite").parquet(path)
+        )
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> IsolationForest:
+        nodes = spark.read.parquet(path).toPandas().sort_values(["tree", "node"])  # trees x nodes rows
+        shape = (nodes["tree"].nunique(), nodes["node"].nunique())
+        arrays = {n: nodes[n].to_numpy().reshape(shape) for n in _ARRAYS}
+        first = nodes.iloc[0]
+        return cls(
+            list(first["columns"]), **arrays, norm=float(first["norm"]), levels=int(first["levels"]),
+            threshold=float(first["threshold"]),
+        )
+
     def score(self, df: DataFrame, output: str = "score") -> DataFrame:
         """Add the anomaly score in (0, 1); higher is more isolated."""
         shared = df.sparkSession.sparkContext.broadcast(

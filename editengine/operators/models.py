@@ -152,8 +152,17 @@ def volume_forecast(lagged: DataFrame, by_time: bool = False, min_rows: int = S.
     The default split is random by (wiki, minute); ``by_time`` tests on the last fifth of the time
     span, so that nothing later than a test row is learnt from.
     """
-    if lagged.limit(min_rows).count() < min_rows:
-        return None
+    # One row per wiki and minute: kept while fitting, so the events behind it are read once.
+    lagged = lagged.persist()
+    try:
+        if lagged.limit(min_rows).count() < min_rows:
+            return None
+        return _fit_forecast(lagged, by_time)
+    finally:
+        lagged.unpersist()
+
+
+def _fit_forecast(lagged: DataFrame, by_time: bool) -> Forecast:
     if by_time:
         cut = lagged.agg(F.percentile_approx(F.unix_seconds("windowStart"), 0.8).alias("t")).first()["t"]
         late = F.unix_seconds("windowStart") > F.lit(cut)

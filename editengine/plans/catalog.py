@@ -20,7 +20,7 @@ from editengine.operators import (
     bronze, edits, evaluate, features, gold, iforest, ingest, models, overview, serving, silver, trends,
 )
 from editengine.operators.percentiles import exact_percentile
-from editengine.plans import registry
+from editengine.plans import registry, training
 from editengine.session import prepare, shared_dir
 from editengine.sources import events, tables
 from editengine.streaming import pipeline, sinks
@@ -735,51 +735,17 @@ def _(spark, d):
     return models.metrics_frame(spark, {(name, "auc"): auc for name, auc in chosen.auc.items()})
 
 
-def _training_metrics(spark, d):
-    rows = feature_rows(spark, d).persist()
-    chosen = models.select_bot_model(rows)
-    clusters = models.edit_clusters(rows).transform(rows)
-    scaled = features.minmax_scale(rows, S.CLUSTER_FEATURES)
-    anomalies = iforest.fit(scaled, S.CLUSTER_FEATURES).predict(scaled)
-    forecast = models.volume_forecast(lagged_rows(spark, d))
-    pages = trends.top_pages(silver_rows(spark, d), 1).first()
-    figures = {(name, "auc"): auc for name, auc in chosen.auc.items()}
-    figures |= {
-        ("bot", "best_name"): chosen.best,
-        ("bot", "best_auc"): chosen.auc[chosen.best],
-        ("clusters", "silhouette"): evaluate.silhouette(clusters),
-        ("isolation_forest", "anomalies"): anomalies.agg(F.sum("anomaly")).first()[0],
-        ("trends", "top_page"): pages["title"] if pages else "N/A",
-    }
-    if forecast:
-        figures |= {("volume", "rmse"): forecast.rmse, ("volume", "r2"): forecast.r2}
-    rows.unpersist()
-    return models.metrics_frame(spark, figures)
-
-
 @query("training_summary")
 def _(spark, d):
-    return _training_metrics(spark, d)
+    return training.train_all(silver_rows(spark, d)).summary
 
 
 @query("save_metrics")
 def _(spark, d):
     path = shared_dir(spark, "metrics")
     chosen = models.select_bot_model(feature_rows(spark, d))
-    report = evaluate.classification_report(
-        chosen.predictions().select(F.col("isBot").alias("label"), F.col("prediction").cast("int").alias("prediction"))
-    )
-    ratios = report.select(
-        F.lit(chosen.best).alias("model"),
-        F.explode(
-            F.array(*[
-                F.struct(F.concat_ws(" ", "line", F.lit(m)).alias("metric"), F.col(m).cast("double").alias("value"))
-                for m in ("precision", "recall", "f1", "support")
-            ])
-        ).alias("m"),
-    ).select("model", "m.metric", "m.value", F.lit(None).cast("string").alias("text"))
     figures = models.metrics_frame(spark, {(n, "auc"): a for n, a in chosen.auc.items()})
-    models.save_metrics(figures.unionByName(ratios), path)
+    models.save_metrics(figures.unionByName(training.report_metrics(chosen)), path)
     return spark.read.parquet(path)
 
 

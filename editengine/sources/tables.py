@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editengine import schema as S
 from editengine.operators.ingest import parse_lines
-from editengine.operators.serving import upsert_latest
+from editengine.operators.serving import alive, upsert_latest
 
 _MESSAGE_DDL = "key string, value string"
 
@@ -65,13 +66,21 @@ def read_silver_union(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(*paths)
 
 
-def scan_store(spark: SparkSession, path: str) -> DataFrame:
-    """The edit store's current rows, lower-case columns.
+def scan_store(spark: SparkSession, path: str, as_of: Column | None = None) -> DataFrame:
+    """The edit store's current rows, lower-case columns; none where nothing was written yet.
 
     Micro-batches append their rows under ``batch_id=``, so there the newest version of a key is
     chosen while reading. A compacted snapshot holds each key once and is read as it is, without a
-    shuffle and with its folder per wiki available for pruning.
+    shuffle and with its folder per wiki available for pruning. ``as_of`` leaves expired rows out, after
+    the newest versions are chosen: an expired version does not bring an older one back.
     """
-    rows = spark.read.parquet(path)
+    try:
+        rows = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], S.STORE_DDL)
     rows = rows.toDF(*[c.lower() for c in rows.columns])
-    return upsert_latest(rows, "batch_id") if "batch_id" in rows.columns else rows
+    if "batch_id" in rows.columns:
+        rows = upsert_latest(rows, "batch_id")
+    return rows if as_of is None else alive(rows, as_of)

@@ -80,14 +80,24 @@ def compact_store(
     spark: SparkSession, store: str, snapshot: str, as_of: Column | None = None, partitions: int | None = None
 ) -> None:
     """Turn a store of micro-batches into a snapshot at another path, without the rows expired at ``as_of``."""
-    rows = tables.scan_store(spark, store)
-    write_snapshot(rows if as_of is None else serving.alive(rows, as_of), snapshot, partitions)
+    write_snapshot(tables.scan_store(spark, store, as_of), snapshot, partitions)
 
 
 def write_messages(messages: DataFrame, path: str) -> None:
     messages.write.mode("append").parquet(path)
 
 
+def write_kafka(messages: DataFrame, servers: str, topic: str) -> None:
+    """Publish (key, value) messages. Needs the Kafka connector on the class path."""
+    (
+        messages.select(F.col("key").cast("string"), F.col("value").cast("string"))
+        .write.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .save()
+    )
+
+
 def run_to_table(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
     """Run a stream over what is available now and read back the table it wrote."""
     spark: SparkSession = stream.sparkSession

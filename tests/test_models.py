@@ -161,3 +161,19 @@ def test_hash_sample(spark):
     one, two = (features.hash_sample(d, 500).toPandas()["id"].tolist() for d in (df, df.repartition(3)))
     assert one == two and len(one) == 500
     assert features.hash_sample(spark.range(10), 500).count() == 10
+
+
+def test_training_job_saves_everything(spark, tmp_path):
+    from editengine.plans import training
+
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    silver = catalog.silver_rows(spark, "/root/testdata/sf0.001")
+    done = training.train_all(silver, str(tmp_path))
+    assert models.load_model(f"{tmp_path}/bot_classifier").stages and models.load_model(f"{tmp_path}/volume_forecast").stages
+    saved = spark.read.parquet(f"{tmp_path}/metrics")
+    assert saved.where("metric = 'auc'").count() == 3 and saved.where("model like 'cluster %'").count() == 25
+    assert spark.read.parquet(f"{tmp_path}/trends/top_pages").count() == 15
+    forest = iforest.IsolationForest.load(spark, f"{tmp_path}/isolation_forest")
+    scaled = features.minmax_scale(features.ml_features(silver), S.CLUSTER_FEATURES)
+    one, two = (f.predict(scaled).orderBy("id").select("score", "anomaly").collect() for f in (forest, done.forest))
+    assert one == two

@@ -160,3 +160,19 @@ def test_silver_is_the_same_from_stream_and_json(spark, small):
     parsed = silver.to_silver(bronze.to_bronze(ingest.serialize(catalog.enriched(spark, small)))).select(*columns)
     assert direct.exceptAll(parsed).count() == 0 and direct.count() == parsed.count()
     assert events.stream_events(spark, small, max_files=1).isStreaming
+
+
+def test_empty_store_and_expired_rows(spark, small, tmp_path):
+    assert tables.scan_store(spark, f"{tmp_path}/none").columns == list(S.STORE_COLUMNS)
+    rows = catalog.store_rows(spark, small).where("type = 'edit'").limit(4)
+    rows.write.parquet(f"{tmp_path}/s/batch_id=0")
+    newer = rows.withColumn("ingestion_ts", F.lit(0).cast("long"))
+    newer.write.parquet(f"{tmp_path}/s/batch_id=1")
+    # The newer version has expired; the older one stays replaced.
+    assert tables.scan_store(spark, f"{tmp_path}/s", F.lit("2024-01-02").cast("timestamp")).count() == 0
+
+
+def test_kafka_sink_needs_its_connector(spark):
+    messages = spark.createDataFrame([("k", "v")], "key string, value string")
+    with pytest.raises(Exception, match="kafka"):
+        sinks.write_kafka(messages, "localhost:9092", "edits")
