@@ -35,6 +35,11 @@ def flag_or_false(flag: Column) -> Column:
     return F.coalesce(flag, F.lit(False))
 
 
+def flag_total(name: str) -> Column:
+    """How many rows have the flag set; null where no row knows it."""
+    return F.sum(F.col(name).cast("int"))
+
+
 def event_key(wiki: Column) -> Column:
     return F.coalesce(wiki, F.lit("unknown"))
 

@@ -15,7 +15,8 @@ def _score_counts(scored: DataFrame, score: str, label: str) -> DataFrame:
 
     A single running window over all scores would be one task. The scores' range is cut into 2**16
     slabs of 2**16 cells: slab totals (at most 65,536 rows), cell totals within a slab (at most
-    65,536) and scores within a cell are each summed in a window of their own, then added up.
+    65,536) and scores within a cell are each summed in a window of their own, then added up. A cell
+    spans 2**-32 of the scores' range, which for probabilities separates all but the closest scores.
     """
     counts = (
         scored.where(F.col(score).isNotNull() & F.col(label).isNotNull())

@@ -113,8 +113,8 @@ def minute_series(silver: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("editCount"),
             F.coalesce(F.avg("byte_delta"), F.lit(0.0)).alias("avgDelta"),
-            F.coalesce(F.sum(F.col("bot").cast("int")), F.lit(0)).alias("botEdits"),
-            F.coalesce(F.sum(F.col("isAnon").cast("int")), F.lit(0)).alias("anonEdits"),
+            F.coalesce(C.flag_total("bot"), F.lit(0)).alias("botEdits"),
+            F.coalesce(C.flag_total("isAnon"), F.lit(0)).alias("anonEdits"),
         )
         .select("wiki", F.col("span.start").alias("windowStart"), "editCount", "avgDelta", "botEdits", "anonEdits")
         .withColumns({"hourOfDay": F.hour("windowStart"), "dayOfWeek": F.dayofweek("windowStart")})

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from editengine import schema as S
+from editengine.functions import columns as C
 
 
 def article_edits(silver: DataFrame) -> DataFrame:
@@ -27,8 +28,8 @@ def windowed(
         .groupBy(F.window("eventTime", window).alias("span"), "wiki")
         .agg(
             F.count("*").alias("totalEdits"),
-            F.sum(F.col("bot").cast("int")).alias("botEdits"),
-            F.sum(F.col("isAnon").cast("int")).alias("anonEdits"),
+            C.flag_total("bot").alias("botEdits"),
+            C.flag_total("isAnon").alias("anonEdits"),
             F.avg("byte_delta").alias("avgByteDelta"),
             editors.alias("uniqueEditors"),
             F.avg("commentLen").alias("avgCommentLen"),
