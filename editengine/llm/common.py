@@ -107,3 +107,9 @@ def components(links: DataFrame, label: str) -> DataFrame:
         edges = after
         if not changed:
             return edges.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
+
+
+def arrow_schema(schema) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    return to_arrow_schema(schema)

@@ -3,13 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from editengine.session import prepare, shared_dir
 
-from . import packing, tokenstore
+from . import linededup, packing, simhash, tokenstore
 from .common import table
 
 
+def op2_line_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    store = linededup.LineStore(spark, shared_dir(spark, "lines"))
+    store.insert(docs)
+    kept = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256")
+    return store.apply(docs).select("doc_id", "n_lines", "n_dropped", kept)
+
+
 def op7_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     path = shared_dir(spark, "token-planes")
@@ -22,7 +32,14 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
 
 
+def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return simhash.groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op2_line_store": op2_line_store,
     "op7_token_planes": op7_token_planes,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_simhash_trie": op10_simhash_trie,
 }
