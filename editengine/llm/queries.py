@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from editengine.session import prepare, shared_dir
 
-from . import linededup, packing, simhash, tokenstore
-from .common import table
+from . import hmm, linededup, packing, simhash, tokenstore
+from .common import crc_rest, table
 
 
 def op2_line_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +27,13 @@ def op7_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.read(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op8_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    held_out = F.coalesce(crc_rest("doc_id", 5) == 1, F.lit(False))
+    scored = hmm.score(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
@@ -40,6 +47,7 @@ def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_line_store": op2_line_store,
     "op7_token_planes": op7_token_planes,
+    "op8_hidden_markov": op8_hidden_markov,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_simhash_trie": op10_simhash_trie,
 }
