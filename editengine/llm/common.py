@@ -38,7 +38,7 @@ def crc_rest(column: str, modulus: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list]]:
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", chars: int = SLICE_CHARS) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Parts of the batches, short enough to be handled at once, with one column as a list."""
     for batch in batches:
         k = batch.schema.get_field_index(column)
@@ -47,12 +47,12 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             values, first, size = part.column(k).to_pylist(), 0, 0
             for i, value in enumerate(values):
                 size += len(value or "")
-                if size > SLICE_CHARS or i + 1 == len(values):
+                if size > chars or i + 1 == len(values):
                     yield part.slice(first, i + 1 - first), values[first : i + 1]
                     first, size = i + 1, 0
 
 
-def by_slice(df: DataFrame, fn: Callable[[pa.RecordBatch, list], list], schema: str, column: str = "text") -> DataFrame:
+def by_slice(df: DataFrame, fn: Callable[[pa.RecordBatch, list], list], schema: str, column: str = "text", chars: int = SLICE_CHARS) -> DataFrame:
     """Apply ``fn(rows, texts) -> columns`` slice by slice in the tasks."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
@@ -60,7 +60,7 @@ def by_slice(df: DataFrame, fn: Callable[[pa.RecordBatch, list], list], schema:
     target = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches):
-        for part, values in slices(batches, column):
+        for part, values in slices(batches, column, chars):
             columns = fn(part, values)
             if columns is not None:
                 yield pa.RecordBatch.from_arrays(
