@@ -21,7 +21,7 @@ CAPACITY = 1024
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, ids binary, task int, nth long"
 
 
-def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
     """Every document's ids, those of longer ones cut from the end, so that only the first piece is shorter."""
     end = end_id.to_bytes(4, "little")
 
@@ -38,7 +38,7 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY
                 while start < n:
                     stop = start + ((n - start) % capacity or capacity)
                     own = ids[4 * start : 4 * stop]
-                    rows.append((doc_id, piece, start, stop - start, common.crc32(own), own, task, int(seen[stop - start])))
+                    rows.append((doc_id, piece, start, stop - start, common.crc32(own), own if with_ids else None, task, int(seen[stop - start])))
                     seen[stop - start] += 1
                     start, piece = stop, piece + 1
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int64())
@@ -86,13 +86,15 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
     return slots
 
 
-def pack(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
     """One row per piece: its document's ids from ``start`` on, and its place (``sequence_id``, ``offset``).
 
+    ``with_ids`` false leaves the ids themselves null; where they go and their checksum stay.
+
     Null and empty texts hold the end id alone. Repeated rows and null ids are packed like any other;
     an empty table gives no row.
     """
-    stored = common.cut(pieces(docs, tokenizer, capacity, end_id), "pieces")
+    stored = common.cut(pieces(docs, tokenizer, capacity, end_id, with_ids), "pieces")
     per_task = stored.groupBy("task", "length").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     base = per_task.select("task", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))

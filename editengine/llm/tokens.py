@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 from array import array
+from itertools import islice
 
-MEMO_ENTRIES, MEMO_CHARS = 400_000, 40
+MEMO_ENTRIES, MEMO_CHARS = 800_000, 40
 END_ID = 2
 
 
@@ -16,14 +18,41 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+# A closing mark between a letter and white space, and one that stands behind something else.
+MARK, ODD_MARK = re.compile(r"(?<=[^\W\d_])([.,])(?=[ \n])"), re.compile(r"[\W_][.,][ \n]")
+
+
+def _part_marks(text: str) -> str:
+    """A space and "\0" before the closing marks that begin a pre-token."""
+    if ODD_MARK.search(text):
+        return MARK.sub(" \0\\1", text)
+    for mark in (". ", ", ", ".\n", ",\n"):
+        text = text.replace(mark, " \0" + mark)
+    return text
+
+
+def _bytes_as_letters() -> dict[int, str]:
+    """How byte-level vocabularies spell bytes: printable ones as themselves, the others from U+0100 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + k) for k, b in enumerate(others)}
+
+
+LETTERS = _bytes_as_letters()
+
+
+def _spell(text: str) -> str:
+    return text if text.isascii() and " " not in text else text.encode().decode("latin-1").translate(LETTERS)
+
+
 class Encoder:
     """Ids of texts as little-endian 32-bit byte strings; special strings in a text are ordinary text.
 
     Neither vocabulary has a pre-token that runs from a non-space into white space. Where single
     spaces and line ends are all the white space a text has, its ids are therefore those of its words,
     each with the white space before it, one after the other; words repeat and are remembered. A mark
-    behind a letter begins a pre-token too, so closing marks are looked up apart from their words.
-    Any other text is encoded as a whole.
+    behind a letter begins a pre-token too and is looked up apart from its word. Any other text is
+    encoded as a whole. In the memo "\0" marks a word without white space before it.
     """
 
     def __init__(self, name_or_path: str):
@@ -31,35 +60,42 @@ class Encoder:
         from tokenizers import Tokenizer
 
         path = name_or_path if os.path.isabs(name_or_path) else tokenizer_path(name_or_path)
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.memo: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
+        # What the model gets for a Latin word behind a space, if it is either of these forms.
+        samples = ["the", "The", "WORDS", "a", "reouannd", "Zyxq", "été", "Straße", "ÑANDÚ", "öffnen"]
+        forms = (lambda w: _spell(" " + w)), (lambda w: _spell(w.lower()))
+        whole = self._encode([" " + w for w in samples])
+        self.form = next((f for f in forms if [self._pieces(f(w)) for w in samples] == whole), None)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array("I", x.ids).tobytes() for x in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _pieces(self, form: str) -> bytes:
+        return array("I", [x.id for x in self.model.tokenize(form)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.memo) > MEMO_ENTRIES:
-            self.memo.clear()
+            self.memo = dict(islice(self.memo.items(), MEMO_ENTRIES // 2))  # what came first is the most frequent
         out: list = [b""] * len(texts)
         whole, held, missing = [], [], set()
         for k, text in enumerate(texts):
-            words = text.replace("\n", " \n").split(" ")
-            if not words[0] or words[0][0] == "\n" or len(text.split()) != len(words):
+            words = _part_marks(text).replace("\n", " \n").split(" ")
+            if "\0" in text or not words[0] or words[0][0] == "\n" or len(text.split()) != text.count(" ") + text.count("\n") + 1:
                 whole.append(k)
                 continue
-            words[0] = "\0" + words[0]  # no space before it
+            words[0] = "\0" + words[0]
             ids = list(map(self.memo.get, words))
             if None in ids:
                 gaps = [i for i, x in enumerate(ids) if x is None]
-                missing.update(words[i] for i in gaps)
+                missing.update([words[i] for i in gaps])
                 held.append((k, words, ids, gaps))
             else:
                 out[k] = b"".join(ids)
         if missing:
             found = self._words(missing)
-            self.memo.update((w, x) for w, x in found.items() if len(w) <= MEMO_CHARS)
             for k, words, ids, gaps in held:
                 for i in gaps:
                     ids[i] = found[words[i]]
@@ -69,28 +105,13 @@ class Encoder:
         return out
 
     def _words(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words that the memo lacks; "\\0" marks a word without a space before it."""
-        parted, found, fresh, fresh_marks = {}, {}, set(), set()
+        found, rest = {}, []
         for word in words:
-            core = word.rstrip(".,;:!?")
-            if len(core) < len(word) and core and core[-1].isalpha():
-                mark = word[len(core):]
-                if mark not in self.marks:
-                    fresh_marks.add(mark)
-            else:
-                core, mark = word, ""
-            parted[word] = (core, mark)
-            if (known := self.memo.get(core)) is None:
-                fresh.add(core)
+            if self.form and word.isalpha() and (word.isascii() or max(word) < "\u0100"):
+                found[word] = self._pieces(self.form(word))
             else:
-                found[core] = known
-        fresh = list(fresh)
-        spelled = [x[1:] if x[0] == "\0" else x if x[0] == "\n" else " " + x for x in fresh]
-        found.update(zip(fresh, self._encode(spelled), strict=True))
-        marks = dict(self.marks)
-        if fresh_marks:
-            marks.update(zip(fresh_marks, self._encode(list(fresh_marks)), strict=True))
-            if len(marks) < 10_000:
-                self.marks = marks
-        self.memo.update((w, found[w]) for w in fresh if len(w) <= MEMO_CHARS)
-        return {w: found[c] + marks[m] if m else found[c] for w, (c, m) in parted.items()}
+                rest.append(word)
+        spelled = [x[1:] if x[0] == "\0" else x if x[0] == "\n" else " " + x for x in rest]
+        found.update(zip(rest, self._encode(spelled), strict=True))
+        self.memo.update((w, x) for w, x in found.items() if len(w) <= MEMO_CHARS)
+        return found
