@@ -83,7 +83,7 @@ class Encoder:
         whole, held, missing = [], [], set()
         for k, text in enumerate(texts):
             words = _part_marks(text).replace("\n", " \n").split(" ")
-            if "\0" in text or not words[0] or words[0][0] == "\n" or len(text.split()) != text.count(" ") + text.count("\n") + 1:
+            if "\0" in text or not words[0] or words[0][0] == "\n" or "" in words or "\n" in words or len(text.split()) != text.count(" ") + text.count("\n") + 1:
                 whole.append(k)
                 continue
             words[0] = "\0" + words[0]
