@@ -71,6 +71,13 @@ def by_slice(df: DataFrame, fn: Callable[[pa.RecordBatch, list], list], schema:
     return df.mapInArrow(run, schema)
 
 
+def each_row(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One row after the other, for rows that are large."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
+
+
 def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
@@ -87,7 +94,8 @@ def joined(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def components(links: DataFrame, label: str) -> DataFrame:
-    """``node``, ``root``: the smallest node reachable over the links (``a``, ``b``), for every linked node.
+    """``node``, ``root``: for every node that is not the smallest of its component over the links
+    (``a``, ``b``), the one that is.
 
     Large-star and small-star rounds: each hangs neighbours on the smallest one known, until nothing
     changes. A node's neighbours are only summed up by their minimum and then joined, never gathered;

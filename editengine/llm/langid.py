@@ -59,10 +59,10 @@ def subwords(texts: list[bytes]):
 
 
 class Model:
-    """``weights`` has a row per bucket, and a row of zeros for no subword."""
+    """``weights`` has a row per bucket, of zeros for one never seen, and a row of zeros for no subword."""
 
-    def __init__(self, labels: list[str], weights: np.ndarray, bias: np.ndarray, scale: float = 1.0, least: float = 0.0):
-        self.labels, self.weights, self.bias, self.scale, self.least = labels, weights, bias, scale, least
+    def __init__(self, labels: list[str], weights: np.ndarray, scale: float = 1.0, least: float = 0.0):
+        self.labels, self.weights, self.scale, self.least = labels, weights, scale, least
 
     def logits(self, texts: list[bytes]) -> np.ndarray:
         found, starts = subwords(texts)
@@ -71,7 +71,7 @@ class Model:
         for ids in found:
             total += np.add.reduceat(self.weights[ids], starts, axis=0, dtype=np.float64)
             number += np.add.reduceat((ids < BUCKETS).astype(np.int64), starts)
-        return total / np.maximum(number, 1)[:, None] + self.bias
+        return total / np.maximum(number, 1)[:, None]
 
     def probabilities(self, texts: list[bytes]) -> np.ndarray:
         return softmax(self.logits(texts) * self.scale)
@@ -93,7 +93,7 @@ def train(texts: list[bytes], langs: list[str], seed: int = SEED) -> Model | Non
     held, used = order[: len(order) // 5], order[len(order) // 5 :]
     table = rng.normal(scale=1 / DIM, size=(BUCKETS + 1, DIM)).astype(np.float32)
     table[BUCKETS] = 0
-    out, bias = np.zeros((DIM, len(labels)), dtype=np.float32), np.zeros(len(labels), dtype=np.float32)
+    out = np.zeros((DIM, len(labels)), dtype=np.float32)
     bags = []
     for text in texts:
         ids = np.concatenate(subwords([text])[0])
@@ -107,23 +107,26 @@ def train(texts: list[bytes], langs: list[str], seed: int = SEED) -> Model | Non
             sizes = np.array([len(bags[k]) for k in own])
             ids = np.concatenate([bags[k] for k in own])
             mean = np.add.reduceat(table[ids], np.cumsum(sizes) - sizes, axis=0) / sizes[:, None]
-            error = softmax(mean @ out + bias)
+            error = softmax(mean @ out)
             error[np.arange(len(own)), target[own]] -= 1
             back = (error @ out.T) / sizes[:, None]
             out -= rate * (mean.T @ error) / len(own) * DIM
-            bias -= rate * error.mean(axis=0)
             places, which = np.unique(ids, return_inverse=True)
             lanes = np.repeat(np.arange(len(own)), sizes)
             grown = np.stack([np.bincount(which, weights=back[lanes, k], minlength=len(places)) for k in range(DIM)], axis=1)
             table[places] -= (rate * DIM * grown).astype(np.float32)
         rng.shuffle(used)
-    model = Model(labels, (table @ out).astype(np.float32), bias)
+    known = np.zeros(BUCKETS + 1, dtype=bool)
+    for k in used:
+        known[bags[k]] = True
+    table[~known] = 0  # a subword that was never seen speaks for no language
+    model = Model(labels, (table @ out).astype(np.float32))
     if len(held):
         logits, right = model.logits([texts[k] for k in held]), target[held]
         loss = lambda t: -np.log(np.maximum(softmax(logits * t)[np.arange(len(held)), right], 1e-12)).mean()
         model.scale = float(min(np.geomspace(0.25, 64, 49), key=loss))
         sure = softmax(logits * model.scale).max(axis=1)
-        model.least = float(min(0.5, np.quantile(sure, 0.001)))
+        model.least = float(min(0.5, max(1.2 / len(labels), np.quantile(sure, 0.001))))
     return model
 
 
