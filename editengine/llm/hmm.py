@@ -19,14 +19,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
 STATES, CLASSES, ROUNDS, PRIOR, SEED = 8, 1 << 15, 5, 200.0, 7
-CHUNK_TOKENS, SLICE_CLASSES = 2_000_000, 4096
-BUCKET_WORDS = 2_000_000
+CHUNK_TOKENS, GROUP_TOKENS, SLICE_CLASSES = 1_000_000, 250_000, 4096
+BUCKET_WORDS = 1_000_000
 END = b"\n"  # no word holds it
 CODED = "chunk long, doc_ids array<long>, train array<boolean>, lengths array<long>, words binary, counts binary, tokens binary, n_words long"
 
@@ -40,7 +41,7 @@ def code(docs: DataFrame) -> DataFrame:
     def run(batches):
         from pyspark import TaskContext
 
-        chunk = TaskContext.get().partitionId() << 24
+        chunk, pack = TaskContext.get().partitionId() << 24, zstandard.ZstdCompressor(level=3)
 
         def fresh():
             local: defaultdict = defaultdict()
@@ -53,7 +54,7 @@ def code(docs: DataFrame) -> DataFrame:
             learned = every[np.repeat(np.array(train, dtype=bool), lengths)]
             words = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in local), np.uint64, len(local))
             counts = np.bincount(learned, minlength=len(local)).astype(np.int64)
-            values = chunk, ids, train, lengths, words.tobytes(), counts.tobytes(), every.tobytes(), len(local)
+            values = chunk, ids, train, lengths, words.tobytes(), pack.compress(counts.tobytes()), pack.compress(every.tobytes()), len(local)
             return pa.RecordBatch.from_arrays([pa.array([v], type=t) for v, t in zip(values, kinds, strict=True)], names=names)
 
         local, ids, train, tokens = fresh()
@@ -76,30 +77,31 @@ def code(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, CODED)
 
 
-def count_words(coded: DataFrame) -> tuple[DataFrame, int]:
+def count_words(coded: DataFrame, classes: int) -> tuple[DataFrame, int]:
     """For each chunk and bucket the corpus counts of the chunk's words in the bucket, in the chunk's order.
 
-    ``n_tokens``, ``n_distinct`` and ``n_once`` are the bucket's own totals.
+    A bucket's first row has its totals: ``n_tokens``, ``n_distinct``, ``n_once`` and the tokens of each class.
     """
     total = coded.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     buckets = max(8, -(-total // BUCKET_WORDS))
 
     def ask(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                words, counts = np.frombuffer(r["words"], np.uint64), np.frombuffer(r["counts"], np.int64)
-                of = words % np.uint64(buckets)
-                order = np.argsort(of, kind="stable")
-                ends = np.searchsorted(of[order], np.arange(buckets + 1, dtype=np.uint64))
-                own = [order[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(buckets)), pa.array(np.full(buckets, r["chunk"])), pa.array([words[x].tobytes() for x in own], pa.binary()), pa.array([counts[x].astype(np.uint32).tobytes() for x in own], pa.binary())],
-                    names=["bucket", "chunk", "words", "counts"],
-                )
+        unpack, pack = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
+        for r in common.each_row(batches):
+            words, counts = np.frombuffer(r["words"], np.uint64), np.frombuffer(unpack.decompress(r["counts"]), np.int64)
+            of = words % np.uint64(buckets)
+            order = np.argsort(of, kind="stable")
+            ends = np.searchsorted(of[order], np.arange(buckets + 1, dtype=np.uint64))
+            own = [order[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(buckets)), pa.array(np.full(buckets, r["chunk"])), pa.array([words[x].tobytes() for x in own], pa.binary()), pa.array([pack.compress(counts[x].tobytes()) for x in own], pa.binary())],
+                names=["bucket", "chunk", "words", "counts"],
+            )
 
     def answer(rows: pa.Table) -> pa.Table:
+        unpack, pack = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
         words = [np.frombuffer(x, np.uint64) for x in rows["words"].to_pylist()]
-        counts = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["counts"].to_pylist()]).astype(np.float64)
+        counts = np.concatenate([np.frombuffer(unpack.decompress(x), np.int64) for x in rows["counts"].to_pylist()]).astype(np.float64)
         known, place = np.unique(np.concatenate(words), return_inverse=True)
         sums = np.bincount(place, weights=counts, minlength=len(known)).astype(np.int64)
         ends = np.cumsum([0, *(len(x) for x in words)])
@@ -107,63 +109,73 @@ def count_words(coded: DataFrame) -> tuple[DataFrame, int]:
         once = np.zeros(n, dtype=np.int64)
         tokens, distinct = once.copy(), once.copy()
         tokens[0], distinct[0], once[0] = sums.sum(), (sums > 0).sum(), (sums == 1).sum()
-        found = [sums[place[a:b]].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
-        return pa.table([rows["chunk"], rows["bucket"], pa.array(found, pa.binary()), pa.array(tokens), pa.array(distinct), pa.array(once)], names=["chunk", "bucket", "sums", "n_tokens", "n_distinct", "n_once"])
+        of_class = np.bincount(_class_of(known, sums, classes), weights=sums, minlength=classes + 1).astype(np.int64)
+        found = [pack.compress(sums[place[a:b]].tobytes()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        data = rows["chunk"], rows["bucket"], pa.array(found, pa.binary()), pa.array(tokens), pa.array(distinct), pa.array(once), pa.array([pack.compress(of_class.tobytes())] + [None] * (n - 1), pa.binary())
+        return pa.table(list(data), names=["chunk", "bucket", "sums", "n_tokens", "n_distinct", "n_once", "of_class"])
 
     asked = coded.select("chunk", "words", "counts").mapInArrow(ask, "bucket long, chunk long, words binary, counts binary")
-    return asked.groupBy("bucket").applyInArrow(answer, "chunk long, bucket long, sums binary, n_tokens long, n_distinct long, n_once long"), buckets
+    return asked.groupBy("bucket").applyInArrow(answer, "chunk long, bucket long, sums binary, n_tokens long, n_distinct long, n_once long, of_class binary"), buckets
+
+
+def _class_of(words: np.ndarray, total: np.ndarray, classes: int) -> np.ndarray:
+    return np.where(total >= 2, (words % np.uint64(classes)).astype(np.int64), classes)
 
 
 def classify(coded: DataFrame, classes: int = CLASSES) -> tuple[DataFrame, int, np.ndarray]:
     """Chunks with a class for each token and the parts of each document's score that no state decides."""
-    answers, buckets = count_words(coded)
+    answers, buckets = count_words(coded, classes)
     answers = common.cut(answers, "counts")
     sums = answers.agg(*(F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("n_tokens", "n_distinct", "n_once"))).first()
     n, distinct, once = sums["n_tokens"], sums["n_distinct"], sums["n_once"]
 
-    def own_counts(batches):
-        for batch in batches:
-            out = np.zeros(classes + 1, dtype=np.int64)
-            for r in batch.to_pylist():
-                words, counts, total = _aligned(r, buckets)
-                np.add.at(out, np.where(total >= 2, (words % np.uint64(classes)).astype(np.int64), classes), counts)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(classes + 1)), pa.array(out)], names=["class", "n"])
+    def add(batches):
+        out = np.zeros(classes + 1, dtype=np.int64)
+        for r in common.each_row(batches):
+            out += np.frombuffer(zstandard.ZstdDecompressor().decompress(r["of_class"]), np.int64)
+        at = np.flatnonzero(out)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(out[at])], names=["class", "n"])
 
-    by_chunk = answers.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("bucket", "sums"))).alias("answers"))  # of one chunk
-    both = coded.join(by_chunk, "chunk")
-    counted = both.select("words", "counts", "answers").mapInArrow(own_counts, "class long, n long").groupBy("class").agg(F.sum("n").alias("n")).collect()
+    counted = answers.where("of_class IS NOT NULL").select("of_class").mapInArrow(add, "class long, n long").groupBy("class").agg(F.sum("n").alias("n")).collect()
     class_sums = np.zeros(classes + 1)
     for r in counted:
         class_sums[r["class"]] = r["n"]
     class_sums[classes] += 0.5
 
     def run(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                words, _, total = _aligned(r, buckets)
-                of = np.where(total >= 2, (words % np.uint64(classes)).astype(np.int64), classes)
-                base = np.log10((total + 0.5) / (n + 0.5 * (distinct + 1)))
-                share = np.where(total >= 2, total / np.maximum(class_sums[of], 1), np.where(total == 1, 0.5 / max(once, 1), 0.5))
-                tokens = np.frombuffer(r["tokens"], np.uint32)
-                starts = np.cumsum([0, *r["lengths"]])[:-1]
-                values = [np.add.reduceat(x[tokens], starts) for x in ((total > 0).astype(np.int64), base, np.log10(share))]
-                data = r["chunk"], r["doc_ids"], r["train"], r["lengths"], of[tokens].astype(np.uint32).tobytes(), *values
-                yield pa.RecordBatch.from_arrays([pa.array([x], type=t) for x, t in zip(data, kinds, strict=True)], names=names)
+        unpack, pack = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=3)
+        for r in common.each_row(batches):
+            words = np.frombuffer(r["words"], np.uint64)
+            total = np.empty(len(words), dtype=np.int64)
+            total[np.argsort(words % np.uint64(buckets), kind="stable")] = np.concatenate([np.frombuffer(unpack.decompress(x["sums"]), np.int64) for x in r["answers"]])
+            of = _class_of(words, total, classes)
+            base = np.log10((total + 0.5) / (n + 0.5 * (distinct + 1)))
+            share = np.where(total >= 2, total / np.maximum(class_sums[of], 1), np.where(total == 1, 0.5 / max(once, 1), 0.5))
+            tokens = np.frombuffer(unpack.decompress(r["tokens"]), np.uint32)
+            starts = np.cumsum([0, *r["lengths"]])[:-1]
+            values = [np.add.reduceat(x[tokens], starts) for x in ((total > 0).astype(np.int64), base, np.log10(share))]
+            data = r["chunk"], r["doc_ids"], r["train"], r["lengths"], pack.compress(of[tokens].astype(np.uint32).tobytes()), *values
+            yield pa.RecordBatch.from_arrays([pa.array([x], type=t) for x, t in zip(data, kinds, strict=True)], names=names)
 
     longs, doubles = pa.list_(pa.int64()), pa.list_(pa.float64())
     kinds = (pa.int64(), longs, pa.list_(pa.bool_()), longs, pa.binary(), longs, doubles, doubles)
     names = ["chunk", "doc_ids", "train", "lengths", "classes", "n_known", "base", "fixed"]
     schema = "chunk long, doc_ids array<long>, train array<boolean>, lengths array<long>, classes binary, n_known array<long>, base array<double>, fixed array<double>"
-    return common.cut(both.mapInArrow(run, schema), "classes"), n, class_sums
+    by_chunk = answers.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("bucket", "sums"))).alias("answers"))  # of one chunk
+    return common.cut(coded.drop("counts").join(by_chunk, "chunk").mapInArrow(run, schema), "classes"), n, class_sums
 
 
-def _aligned(row: dict, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A chunk's words, its own training counts, and the corpus counts, all in the chunk's order."""
-    words = np.frombuffer(row["words"], np.uint64)
-    total = np.empty(len(words), dtype=np.int64)
-    order = np.argsort(words % np.uint64(buckets), kind="stable")
-    total[order] = np.concatenate([np.frombuffer(x["sums"], np.int64) for x in row["answers"]])
-    return words, np.frombuffer(row["counts"], np.int64), total
+def documents_of(row: dict, chosen: np.ndarray | None = None):
+    """(places of documents, side by side) of a chunk: some documents of like length at a time."""
+    lengths = np.array(row["lengths"], dtype=np.int64)
+    ends = np.cumsum(np.r_[0, lengths])
+    classes = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["classes"]), np.uint32)
+    order = np.argsort(-lengths, kind="stable")
+    order = order if chosen is None else order[chosen[order]]
+    group = np.cumsum(lengths[order]) // GROUP_TOKENS
+    for k in np.unique(group):
+        own = order[group == k]
+        yield own, Chunk(lengths[own], np.concatenate([classes[ends[i] : ends[i + 1]] for i in own]))
 
 
 class Chunk:
@@ -255,13 +267,9 @@ def fit(classed: DataFrame, frequency: np.ndarray, states: int = STATES, rounds:
 
             now, task = sent.value, TaskContext.get().partitionId()
             starts, moves, emits, score = np.zeros(states), np.zeros((states, states)), np.zeros_like(now.emit), 0.0
-            for batch in batches:
-                for r in batch.to_pylist():
-                    lengths, train = np.array(r["lengths"]), np.array(r["train"], dtype=bool)
-                    if not train.any():
-                        continue
-                    classes = np.frombuffer(r["classes"], np.uint32)[np.repeat(train, lengths)]
-                    more = Chunk(lengths[train], classes).expect(now.start, now.move, now.emit)
+            for r in common.each_row(batches):
+                for _, chunk in documents_of(r, np.array(r["train"], dtype=bool)):
+                    more = chunk.expect(now.start, now.move, now.emit)
                     starts, moves, emits, score = starts + more[0], moves + more[1], emits + more[2], score + more[3]
             blobs = [x.astype(np.float32).tobytes() for x in np.split(emits, range(SLICE_CLASSES, len(emits), SLICE_CLASSES))]
             blobs.append(np.r_[starts, moves.ravel(), score].tobytes())
@@ -300,14 +308,15 @@ def score(docs: DataFrame, train, states: int = STATES, classes: int = CLASSES,
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                now, chunk = sent.value, Chunk(np.array(r["lengths"]), np.frombuffer(r["classes"], np.uint32))
-                own = chunk.log10(chunk.forward(now.start, now.move, now.emit)[1]) + np.array(r["fixed"])
-                rest = [pa.array(r[k], t) for k, t in (("lengths", pa.int64()), ("n_known", pa.int64()))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(r["doc_ids"], pa.int64()), pa.array(r["train"], pa.bool_()), *rest, pa.array(np.full(len(own), n, dtype=np.int64)), pa.array(r["base"], pa.float64()), pa.array(own)],
-                    names=["doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
+        now = sent.value
+        for r in common.each_row(batches):
+            own = np.array(r["fixed"])
+            for at, chunk in documents_of(r):
+                own[at] += chunk.log10(chunk.forward(now.start, now.move, now.emit)[1])
+            rest = [pa.array(r[k], t) for k, t in (("lengths", pa.int64()), ("n_known", pa.int64()))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(r["doc_ids"], pa.int64()), pa.array(r["train"], pa.bool_()), *rest, pa.array(np.full(len(own), n, dtype=np.int64)), pa.array(r["base"], pa.float64()), pa.array(own)],
+                names=["doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
 
     return classed.mapInArrow(run, "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
