@@ -22,8 +22,7 @@ from pyspark.sql import functions as F
 from . import common
 
 LENGTH, GRAM = 50, 24
-CHUNK_BYTES = 4 << 20
-BUCKET_ANCHORS, BUCKET_BYTES = 2_000_000, 24 << 20
+CHUNK_BYTES, BUCKET_ANCHORS, REFINE_BYTES = 2 << 20, 1_000_000, 1 << 18
 LAST = np.iinfo(np.int64).max  # stands for a missing id: after all others
 CHUNKS = "chunk long, doc_ids array<long>, lengths array<long>, data binary"
 U = np.uint64
@@ -138,8 +137,9 @@ def refine(data: np.ndarray, length: int) -> np.ndarray:
     if len(data) < length or length < 8:
         raise ValueError("too short")
     code = eights(data)
-    order = np.argsort(code, kind="stable")
-    pointer = pointers(order, code[order][1:] != code[order][:-1])
+    order = np.argsort(code)
+    code = code[order]
+    pointer = pointers(order, code[1:] != code[:-1])
     reach = 8
     while reach < length:
         step = min(reach, length - reach)  # the two halves may overlap
@@ -147,7 +147,7 @@ def refine(data: np.ndarray, length: int) -> np.ndarray:
         sizes = np.bincount(pointer[:n], minlength=len(code))
         active = np.flatnonzero(sizes[pointer[:n]] > 1)
         later = pointer[active + step]
-        order = active[np.lexsort((later, pointer[active]))]
+        order = active[np.argsort((pointer[active].astype(U) << U(32)) | later.astype(U))]
         own, later = pointer[order], pointer[order + step]
         fresh = np.r_[True, (own[1:] != own[:-1]) | (later[1:] != later[:-1])]
         bucket = np.r_[True, own[1:] != own[:-1]]
@@ -177,9 +177,21 @@ def smallest(pieces: list[bytes], anchors: list[int], docs: np.ndarray, length:
     for k, (piece, at) in enumerate(zip(pieces, anchors, strict=True)):
         by.setdefault(piece[at : at + GRAM], []).append(k)
     out: list = docs.tolist()
-    mixed = [k for own in by.values() if len(own) > 1 for k in own]
-    if not mixed:
-        return out
+    mixed, size = [], 0
+    for own in by.values():
+        if len(own) > 1:
+            mixed += own
+            size += sum(len(pieces[k]) for k in own)
+            if size >= REFINE_BYTES:
+                _refined(pieces, mixed, docs, length, out)
+                mixed, size = [], 0
+    if mixed:
+        _refined(pieces, mixed, docs, length, out)
+    return out
+
+
+def _refined(pieces: list[bytes], mixed: list[int], docs: np.ndarray, length: int, out: list) -> None:
+    """Put the smallest documents of the strings of some anchors' pieces into ``out``."""
     data, ends = common.joined([pieces[k] for k in mixed])
     pointer = refine(data, length)
     count = np.diff(ends) - length + 1
@@ -189,9 +201,8 @@ def smallest(pieces: list[bytes], anchors: list[int], docs: np.ndarray, length:
     least = np.full(len(data), LAST)
     np.minimum.at(least, found, np.repeat(docs[mixed], count))
     found = least[found]
-    for k, a, n in zip(mixed, offset, count, strict=True):
+    for k, a, n in zip(mixed, offset.tolist(), count.tolist(), strict=True):
         out[k] = found[a : a + n]
-    return out
 
 
 def _dealt(values: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -206,15 +217,14 @@ def shared_anchors(stored: DataFrame, length: int) -> tuple[DataFrame, int]:
     buckets = max(8, -(-2 * size // ((length - GRAM + 2) * BUCKET_ANCHORS)))
 
     def ask(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                chunk = Chunk(r, length)
-                marks, several = distinct_marks(chunk)
-                order, ends = _dealt(marks, buckets)
-                sent = ((marks & ~U(1)) | several.astype(U))[order] & U((1 << 48) - 1)
-                low, high = (sent & U(0xFFFFFFFF)).astype(np.uint32), (sent >> U(32)).astype(np.uint16)
-                own = [low[a:b].tobytes() + high[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets)), pa.array(np.full(buckets, r["chunk"])), pa.array(own, pa.binary())], names=["bucket", "chunk", "marks"])
+        for r in common.each_row(batches):
+            chunk = Chunk(r, length)
+            marks, several = distinct_marks(chunk)
+            order, ends = _dealt(marks, buckets)
+            sent = ((marks & ~U(1)) | several.astype(U))[order] & U((1 << 48) - 1)
+            low, high = (sent & U(0xFFFFFFFF)).astype(np.uint32), (sent >> U(32)).astype(np.uint16)
+            own = [low[a:b].tobytes() + high[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets)), pa.array(np.full(buckets, r["chunk"])), pa.array(own, pa.binary())], names=["bucket", "chunk", "marks"])
 
     def answer(rows: pa.Table) -> pa.Table:
         parts = []
@@ -291,20 +301,19 @@ def mark(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def ask(batches):
         pack = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            for r in batch.to_pylist():
-                chunk = Chunk(r, length)
-                runs = _shared_runs(chunk, r["answers"], buckets)
-                own = Pieces(chunk, runs, length, dealt)
-                rows = []
-                for k in range(dealt):
-                    at = own.order[own.ends[k] : own.ends[k + 1]]
-                    if len(at):
-                        texts = [own.texts[i] for i in at]
-                        sizes = np.array([len(x) for x in texts], dtype=np.uint16)
-                        rows.append((k, r["chunk"], len(at), pack.compress(own.docs[at].tobytes() + sizes.tobytes() + own.at[at].tobytes() + b"".join(texts))))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["bucket", "chunk", "n", "pieces"])
+        for r in common.each_row(batches):
+            chunk = Chunk(r, length)
+            runs = _shared_runs(chunk, r["answers"], buckets)
+            own = Pieces(chunk, runs, length, dealt)
+            rows = []
+            for k in range(dealt):
+                at = own.order[own.ends[k] : own.ends[k + 1]]
+                if len(at):
+                    texts = [own.texts[i] for i in at]
+                    sizes = np.array([len(x) for x in texts], dtype=np.uint16)
+                    rows.append((k, r["chunk"], len(at), pack.compress(own.docs[at].tobytes() + sizes.tobytes() + own.at[at].tobytes() + b"".join(texts))))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["bucket", "chunk", "n", "pieces"])
 
     def answer(rows: pa.Table) -> pa.Table:
         unpack, pack = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
@@ -350,69 +359,68 @@ def mark(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def remove(batches):
         unpack = zstandard.ZstdDecompressor()
-        for batch in batches:
-            for r in batch.to_pylist():
-                chunk = Chunk(r, length)
-                cover = np.zeros(len(chunk.data) + 1, dtype=np.int32)
-                if r["least"]:
-                    runs = _shared_runs(chunk, r["answers"], buckets)
-                    own = Pieces(chunk, runs, length, dealt)
-                    windows = (chunk.last - chunk.first + 1)[runs]
-                    of_piece = np.zeros(len(own.texts), dtype=np.int64)
-                    of_piece[own.of] = windows
-                    # Parts of pieces whose strings have one smallest document.
-                    piece, start, size, value = [], [], [], []
-                    for x in r["least"]:
-                        raw = unpack.decompress(x["least"])
-                        n = int.from_bytes(raw[:8], "little")
-                        values, shape = np.frombuffer(raw, np.int64, n, 8), np.frombuffer(raw, np.uint16, offset=8 + 8 * n)
-                        at = own.order[own.ends[x["bucket"]] : own.ends[x["bucket"] + 1]]
-                        if len(shape) == len(at):
-                            number, lead = np.ones(len(at), dtype=np.int64), np.zeros(len(at), dtype=np.int64)
-                        else:
-                            number, s, k = np.empty(len(at), dtype=np.int64), shape.tolist(), 0
-                            gaps = []
-                            for j in range(len(at)):
-                                number[j] = s[k]
-                                edge = 0
-                                gaps.append(0)
-                                for g in s[k + 1 : k + s[k]]:
-                                    edge += g
-                                    gaps.append(edge)
-                                k += s[k]
-                            lead = np.array(gaps, dtype=np.int64)
-                        who = np.repeat(at, number)
-                        nexts = np.r_[lead[1:], 0]
-                        final_part = np.r_[who[1:] != who[:-1], True] if len(who) else np.zeros(0, bool)
-                        piece.append(who)
-                        start.append(lead)
-                        size.append(np.where(final_part, of_piece[who], nexts) - lead)
-                        value.append(values)
-                    piece, start, size, value = (np.concatenate(x) for x in (piece, start, size, value))
-                    order = np.argsort(piece, kind="stable")
-                    piece, start, size, value = piece[order], start[order], size[order], value[order]
-                    lo, hi = np.searchsorted(piece, own.of, "left"), np.searchsorted(piece, own.of, "right")
-                    each = np.repeat(np.arange(len(runs)), hi - lo)
-                    part = np.arange(len(each)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + lo[each]
-                    gone = value[part] < chunk.ids[chunk.doc[runs[each]]]
-                    each, part = each[gone], part[gone]
-                    a = chunk.first[runs[each]] + start[part]
-                    np.add.at(cover, a, 1)
-                    np.add.at(cover, a + size[part] - 1 + length, -1)
-                covered = np.r_[False, np.cumsum(cover[:-1]) > 0, False]
-                edges = chunk.ends[:-1]
-                inside = covered[1:-1]
-                open_at = np.flatnonzero(inside & (~covered[:-2] | _begins(len(inside), edges)))
-                stop_at = np.flatnonzero(inside & (~covered[2:] | np.r_[_begins(len(inside), edges)[1:], True])) + 1
-                split = np.searchsorted(open_at, chunk.ends)
-                raw, e = chunk.data.tobytes(), chunk.ends
-                starts = [(open_at[x:y] - z).tolist() for x, y, z in zip(split[:-1], split[1:], e[:-1], strict=True)]
-                stops = [(stop_at[x:y] - z).tolist() for x, y, z in zip(split[:-1], split[1:], e[:-1], strict=True)]
-                lists = pa.list_(pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(r["doc_ids"], pa.int64()), pa.array([raw[x:y] for x, y in zip(e[:-1], e[1:], strict=True)], pa.binary()), pa.array(starts, lists), pa.array(stops, lists)],
-                    names=["doc_id", "text", "starts", "stops"],
-                )
+        for r in common.each_row(batches):
+            chunk = Chunk(r, length)
+            cover = np.zeros(len(chunk.data) + 1, dtype=np.int32)
+            if r["least"]:
+                runs = _shared_runs(chunk, r["answers"], buckets)
+                own = Pieces(chunk, runs, length, dealt)
+                windows = (chunk.last - chunk.first + 1)[runs]
+                of_piece = np.zeros(len(own.texts), dtype=np.int64)
+                of_piece[own.of] = windows
+                # Parts of pieces whose strings have one smallest document.
+                piece, start, size, value = [], [], [], []
+                for x in r["least"]:
+                    raw = unpack.decompress(x["least"])
+                    n = int.from_bytes(raw[:8], "little")
+                    values, shape = np.frombuffer(raw, np.int64, n, 8), np.frombuffer(raw, np.uint16, offset=8 + 8 * n)
+                    at = own.order[own.ends[x["bucket"]] : own.ends[x["bucket"] + 1]]
+                    if len(shape) == len(at):
+                        number, lead = np.ones(len(at), dtype=np.int64), np.zeros(len(at), dtype=np.int64)
+                    else:
+                        number, s, k = np.empty(len(at), dtype=np.int64), shape.tolist(), 0
+                        gaps = []
+                        for j in range(len(at)):
+                            number[j] = s[k]
+                            edge = 0
+                            gaps.append(0)
+                            for g in s[k + 1 : k + s[k]]:
+                                edge += g
+                                gaps.append(edge)
+                            k += s[k]
+                        lead = np.array(gaps, dtype=np.int64)
+                    who = np.repeat(at, number)
+                    nexts = np.r_[lead[1:], 0]
+                    final_part = np.r_[who[1:] != who[:-1], True] if len(who) else np.zeros(0, bool)
+                    piece.append(who)
+                    start.append(lead)
+                    size.append(np.where(final_part, of_piece[who], nexts) - lead)
+                    value.append(values)
+                piece, start, size, value = (np.concatenate(x) for x in (piece, start, size, value))
+                order = np.argsort(piece, kind="stable")
+                piece, start, size, value = piece[order], start[order], size[order], value[order]
+                lo, hi = np.searchsorted(piece, own.of, "left"), np.searchsorted(piece, own.of, "right")
+                each = np.repeat(np.arange(len(runs)), hi - lo)
+                part = np.arange(len(each)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + lo[each]
+                gone = value[part] < chunk.ids[chunk.doc[runs[each]]]
+                each, part = each[gone], part[gone]
+                a = chunk.first[runs[each]] + start[part]
+                np.add.at(cover, a, 1)
+                np.add.at(cover, a + size[part] - 1 + length, -1)
+            covered = np.r_[False, np.cumsum(cover[:-1]) > 0, False]
+            edges = chunk.ends[:-1]
+            inside = covered[1:-1]
+            open_at = np.flatnonzero(inside & (~covered[:-2] | _begins(len(inside), edges)))
+            stop_at = np.flatnonzero(inside & (~covered[2:] | np.r_[_begins(len(inside), edges)[1:], True])) + 1
+            split = np.searchsorted(open_at, chunk.ends)
+            raw, e = chunk.data.tobytes(), chunk.ends
+            starts = [(open_at[x:y] - z).tolist() for x, y, z in zip(split[:-1], split[1:], e[:-1], strict=True)]
+            stops = [(stop_at[x:y] - z).tolist() for x, y, z in zip(split[:-1], split[1:], e[:-1], strict=True)]
+            lists = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(r["doc_ids"], pa.int64()), pa.array([raw[x:y] for x, y in zip(e[:-1], e[1:], strict=True)], pa.binary()), pa.array(starts, lists), pa.array(stops, lists)],
+                names=["doc_id", "text", "starts", "stops"],
+            )
 
     return final.mapInArrow(remove, "doc_id long, text binary, starts array<long>, stops array<long>")
 
