@@ -21,6 +21,7 @@ def arguments() -> argparse.Namespace:
     publish.add_argument("lines", help="folder of JSON text lines")
     publish.add_argument("--wiki")
     publish.add_argument("--types", nargs="*")
+    publish.add_argument("--checkpoint", help="keep publishing new files as a stream, with its checkpoint here")
 
     run = jobs.add_parser("pipeline", help="run the four streams")
     run.add_argument("root", help="folder of the layer tables")
@@ -50,16 +51,23 @@ def main() -> None:
     args = arguments()
     spark = build_session(f"editengine-{args.job}")
     if args.job == "publish":
-        raw = tables.read_raw_events(tables.read_lines(spark, args.lines)).drop("ingestion_ts")
-        kept = ingest.filter_types(ingest.filter_wiki(raw, args.wiki), args.types)
-        messages = ingest.serialize(ingest.key_ordered(ingest.enrich(kept)).drop("key"))
-        if args.servers:
-            sinks.write_kafka(messages, args.servers, args.topic)
+        lines = tables.read_lines(spark, args.lines, stream=args.checkpoint is not None)
+        if args.checkpoint:
+            messages = ingest.publishable(ingest.observed(lines, wiki=args.wiki, types=args.types), args.wiki, args.types)
+            if args.servers:
+                running = sinks.stream_kafka(messages, args.servers, args.topic, args.checkpoint)
+            else:
+                running = sinks.write_parquet(messages, args.folder, args.checkpoint)
+            running.awaitTermination()
+        elif args.servers:
+            sinks.write_kafka(ingest.publishable(lines, args.wiki, args.types), args.servers, args.topic)
         else:
-            sinks.write_messages(messages, args.folder)
+            sinks.write_messages(ingest.publishable(lines, args.wiki, args.types), args.folder)
     elif args.job == "pipeline":
         if args.servers:
-            messages = tables.read_kafka_stream(spark, args.servers, args.topic)
+            # A run that ends with what is there must begin with what is there.
+            starting = "earliest" if args.once else "latest"
+            messages = tables.read_kafka_stream(spark, args.servers, args.topic, starting)
         else:
             messages = tables.read_message_stream(spark, args.folder)
         running = pipeline.start(messages, args.root, available_now=args.once)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from itertools import chain
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from editengine import schema as S
@@ -62,14 +62,14 @@ def is_ipv4_text(user: Column) -> Column:
 
 
 def edit_size(delta: Column) -> Column:
-    return (
-        F.when(delta > 5000, "large_add")
-        .when(delta > 500, "small_add")
-        .when(delta >= 0, "tiny")
-        .when(delta > -500, "small_del")
-        .when(delta.isNotNull(), "large_del")
-        .otherwise("unknown")
-    )
+    tests = {
+        "is null": delta.isNull(), "> 5000": delta > 5000, "> 500": delta > 500, ">= 0": delta >= 0,
+        "> -500": delta > -500, "is not null": delta.isNotNull(),
+    }
+    label = F.lit(None).cast("string")
+    for condition, name in reversed(S.SIZE_RULES):
+        label = F.when(tests[condition], name).otherwise(label)
+    return label
 
 
 def wiki_lang(wiki: Column) -> Column:
@@ -112,6 +112,11 @@ def comment_bin_label(ordinal: Column) -> Column:
     return F.element_at(F.array(*[F.lit(label) for *_, label in S.COMMENT_BINS]), ordinal + 1)
 
 
+def row_key(df: DataFrame, key: str) -> Column:
+    """The key as text; a row without one is told apart by its content, so it is never lost."""
+    return F.coalesce(F.col(key).cast("string"), F.concat(F.lit("row "), F.xxhash64(*df.columns).cast("string")))
+
+
 def hash_share(key: Column, share: float, seed: int = 42) -> Column:
     """True for about ``share`` of the keys; the same keys on every run and partitioning."""
     cut = format(min(int(share * 16**8), 16**8 - 1), "08x")

@@ -187,13 +187,11 @@ def collaboration(store: DataFrame, top: int | None = 20, min_editors: int = 3)
 def outlier_edits(store: DataFrame, top: int | None = 20, share: float = 0.95) -> DataFrame:
     """Edits whose absolute size change lies above the percentile, largest additions first."""
     rows = _edits(store)
-    # least() keeps the one value whose absolute amount does not fit an int.
-    size = F.least(C.magnitude(F.col("byte_delta")), F.lit(2**31 - 1)).cast("int")
-    cut = exact_percentile(rows.select(size.alias("size")), "size", share).scalar()
+    cut = exact_percentile(rows.select(C.magnitude(F.col("byte_delta")).alias("size")), "size", share).scalar()
     found = rows.where(C.magnitude(F.col("byte_delta")) > cut).select(
         "wiki", "title", "user_name", "byte_delta", "comment_len", "is_bot", "is_anon", "event_time", "event_id"
     )
-    return _ranked(found, top, F.desc("byte_delta"), "event_time", "event_id")
+    return _ranked(found, top, F.desc("byte_delta"), "event_time", "event_id").drop("event_id")
 
 
 def negative_latency(store: DataFrame) -> DataFrame:

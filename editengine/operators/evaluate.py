@@ -5,49 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from editengine.operators.features import hash_sample
+from editengine.session import written
 
-_CELLS = 1 << 16
 
 
 def _score_counts(scored: DataFrame, score: str, label: str) -> DataFrame:
-    """Positives and negatives per distinct score, with the totals above each score.
+    """Positives and negatives per distinct score, with the totals above each score and of all.
 
-    A single running window over all scores would be one task. The scores' range is cut into 2**16
-    slabs of 2**16 cells: slab totals (at most 65,536 rows), cell totals within a slab (at most
-    65,536) and scores within a cell are each summed in a window of their own, then added up. A cell
-    spans 2**-32 of the scores' range, which for probabilities separates all but the closest scores.
+    Distinct scores are dealt into ranges by their order, not by their value, so that one far score
+    does not crowd the others into a task. Each range sums up for itself; what stands above a range is
+    the sum of the few range totals before it. The dealt counts are written, so that both sums see one
+    dealing, and the input is read once.
     """
     counts = (
         scored.where(F.col(score).isNotNull() & F.col(label).isNotNull())
         .groupBy(F.col(score).cast("double").alias("score"))
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
     )
-    span = counts.agg(F.struct(F.min("score").alias("low"), F.max("score").alias("high")).alias("s")).scalar()
-    width = span.getField("high") - span.getField("low")
-    place = F.when(width > 0, (F.col("score") - span.getField("low")) / width * (_CELLS - 1)).otherwise(F.lit(0.0))
-    placed = counts.withColumn("_place", place).select(
-        "score", "pos", "neg",
-        F.floor("_place").cast("int").alias("slab"),
-        F.floor((F.col("_place") - F.floor("_place")) * _CELLS).cast("int").alias("cell"),
+    dealt = written(counts.repartitionByRange(F.desc("score")).withColumn("range", F.spark_partition_id()), "scores")
+    earlier = (Window.unboundedPreceding, -1)
+    own = Window.partitionBy("range").orderBy(F.desc("score")).rowsBetween(*earlier)
+    ranges = dealt.groupBy("range").agg(F.sum("pos").alias("posIn"), F.sum("neg").alias("negIn"))
+    before, every = Window.orderBy("range").rowsBetween(*earlier), Window.partitionBy()  # one row per range
+    totals = ranges.select(
+        "range",
+        *[F.coalesce(F.sum(f"{c}In").over(before), F.lit(0)).alias(f"{c}Before") for c in ("pos", "neg")],
+        *[F.sum(f"{c}In").over(every).alias(f"{c}All") for c in ("pos", "neg")],
     )
-
-    def above(df, window, suffix):
-        """Totals of the rows before this one in the window, which runs from high to low."""
-        earlier = window.rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumns({f"{c}{suffix}": F.coalesce(F.sum(c).over(earlier), F.lit(0)) for c in ("pos", "neg")})
-
-    cells = placed.groupBy("slab", "cell").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    slabs = cells.groupBy("slab").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    slab_above = above(slabs, Window.partitionBy(F.lit(0)).orderBy(F.desc("slab")), "Slab").drop("pos", "neg")
-    cell_above = above(cells, Window.partitionBy("slab").orderBy(F.desc("cell")), "Cell").drop("pos", "neg")
-    own = above(placed, Window.partitionBy("slab", "cell").orderBy(F.desc("score")), "Own")
-    # slab_above has at most 2**16 rows of three numbers, whatever the input.
-    joined = own.join(cell_above, ["slab", "cell"]).join(F.broadcast(slab_above), "slab")
-    return joined.select(
-        "score", "pos", "neg",
-        (F.col("posSlab") + F.col("posCell") + F.col("posOwn")).alias("posAbove"),
-        (F.col("negSlab") + F.col("negCell") + F.col("negOwn")).alias("negAbove"),
+    summed = dealt.withColumns({f"{c}Own": F.coalesce(F.sum(c).over(own), F.lit(0)) for c in ("pos", "neg")})
+    return summed.join(totals, "range").select(
+        "score", "pos", "neg", "posAll", "negAll",
+        (F.col("posBefore") + F.col("posOwn")).alias("posAbove"),
+        (F.col("negBefore") + F.col("negOwn")).alias("negAbove"),
     )
 
 
@@ -63,16 +52,10 @@ def roc_auc(scored: DataFrame, score: str = "score", label: str = "label") -> Da
 
 def roc_curve(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """(threshold, fpr, tpr) per distinct score, after the starting point with a null threshold."""
-    counts = _score_counts(scored, score, label)
-    totals = (
-        scored.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .agg(F.struct(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) != 1).alias("n")).alias("t"))
-        .scalar()
-    )
-    points = counts.select(
+    points = _score_counts(scored, score, label).select(
         F.col("score").alias("threshold"),
-        F.try_divide(F.col("negAbove") + F.col("neg"), totals.getField("n")).alias("fpr"),
-        F.try_divide(F.col("posAbove") + F.col("pos"), totals.getField("p")).alias("tpr"),
+        F.try_divide(F.col("negAbove") + F.col("neg"), F.col("negAll")).alias("fpr"),
+        F.try_divide(F.col("posAbove") + F.col("pos"), F.col("posAll")).alias("tpr"),
     )
     start = scored.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
@@ -157,43 +140,3 @@ def silhouette(clustered: DataFrame, features: str = "features", cluster: str =
     from pyspark.ml.evaluation import ClusteringEvaluator
 
     return ClusteringEvaluator(predictionCol=cluster, featuresCol=features).evaluate(clustered)
-
-
-def silhouette_sampled(
-    clustered: DataFrame, columns: list[str], cluster: str = "cluster", key: str = "id", sample_size: int = 2000
-) -> DataFrame:
-    """Mean Euclidean silhouette of a fixed-size sample; one row.
-
-    The sample (the rows with the smallest key hashes) is the operator's own parameter, so its
-    matrix is a bounded broadcast; each task sums distances to it for its share of the sample.
-    """
-    import numpy as np
-    import pandas as pd
-
-    spark = clustered.sparkSession
-    chosen = hash_sample(clustered.select(key, *columns, cluster), sample_size, key)
-    local = chosen.drop(key).toPandas()  # at most sample_size rows
-    shared = spark.sparkContext.broadcast((local[columns].to_numpy("float64"), local[cluster].to_numpy()))
-
-    def widths(batches):
-        points, groups = shared.value
-        names, sizes = np.unique(groups, return_counts=True)
-        member = (groups[:, None] == names[None, :]).astype("float64")
-        for batch in batches:
-            x = batch[columns].to_numpy("float64")
-            distance = np.sqrt(((x[:, None, :] - points[None, :, :]) ** 2).sum(axis=2))
-            sums = distance @ member
-            at = np.searchsorted(names, batch[cluster].to_numpy())
-            rows = np.arange(len(x))
-            inside = sums[rows, at] / np.maximum(sizes[at] - 1, 1)
-            means = sums / sizes
-            means[rows, at] = np.inf
-            outside = means.min(axis=1)
-            width = (outside - inside) / np.maximum(np.maximum(inside, outside), 1e-300)
-            width[sizes[at] == 1] = 0.0
-            yield pd.DataFrame({"width": width})
-
-    if local.empty:
-        return spark.range(1).select(F.lit(None).cast("double").alias("silhouette"))
-    spread = spark.createDataFrame(local).repartition(8)
-    return spread.mapInPandas(widths, "width double").agg(F.avg("width").alias("silhouette"))

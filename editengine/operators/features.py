@@ -4,20 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from editengine import schema as S
 from editengine.functions import columns as C
 from editengine.operators.gold import article_edits
 
-_ZERO_FILLED = ("byte_delta", "title_len", "commentLen", "latencyMs", "hourOfDay")
-
 
 def ml_features(silver: DataFrame) -> DataFrame:
     """Article edits with a known bot flag, nulls filled, flags as ints; ``id`` is kept for splitting."""
-    filled = {n: F.coalesce(F.col(n), F.lit(0)) for n in _ZERO_FILLED}
+    filled = {n: F.coalesce(F.col(n), F.lit(0)) for n in S.ZERO_FILLED_FEATURES}
     filled["dayOfWeek"] = F.coalesce("dayOfWeek", F.lit(1))
     return (
         article_edits(silver)
@@ -89,22 +87,11 @@ def minmax_scale(df: DataFrame, columns: Sequence[str], constant: float = 0.5) -
 
 
 def split_by_key(df: DataFrame, key: str = "id", test_share: float = 0.2, seed: int = 42):
-    """(train, test): a row's side depends on its key alone, not on partitioning."""
-    test = C.hash_share(F.col(key), test_share, seed)
+    """(train, test): a row's side depends on its key alone, not on partitioning; without a key, on its content."""
+    test = C.hash_share(C.row_key(df, key), test_share, seed)
     return df.where(~test), df.where(test)
 
 
-def hash_sample(df: DataFrame, n: int, key: str = "id", seed: int = 42) -> DataFrame:
-    """``n`` rows chosen by key hash, the same on every run.
-
-    Rows beyond about twice the wanted share are dropped where they are read, so that few rows reach
-    the final ordering however large the input is.
-    """
-    share = min(1.0, (2.0 * n + 200) / max(df.count(), 1))
-    few = df if share == 1.0 else df.where(C.hash_share(F.col(key), share, seed))
-    return few.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)
-
-
 def minute_series(silver: DataFrame) -> DataFrame:
     """Per wiki and minute: events of the main namespace, mean size change, bot and anonymous counts."""
     return (
@@ -121,9 +108,9 @@ def minute_series(silver: DataFrame) -> DataFrame:
     )
 
 
-def add_lags(series: DataFrame) -> DataFrame:
+def add_lags(series: DataFrame, by: Sequence[str] = ("wiki",)) -> DataFrame:
     """Earlier rows of the same wiki beside each row; a window row is a minute, not an event."""
-    order = Window.partitionBy("wiki").orderBy("windowStart")
+    order = Window.partitionBy(*by).orderBy("windowStart")
     lagged = series.withColumns(
         {
             **{f"editLag{k}": F.lag("editCount", k).over(order) for k in (1, 2, 3)},
@@ -138,25 +125,29 @@ def lag_features(silver: DataFrame) -> DataFrame:
     return add_lags(minute_series(silver))
 
 
-def dense_minutes(series: DataFrame) -> DataFrame:
-    """The series with one row for every minute between a wiki's first and last, missing ones as 0."""
-    minute = F.expr("interval 1 minute")
-    grid = (
-        series.groupBy("wiki")
-        .agg(F.min("windowStart").alias("first"), F.max("windowStart").alias("last"))
-        .select("wiki", F.explode(F.sequence("first", "last", minute)).alias("windowStart"))
-    )
-    known = series.drop("hourOfDay", "dayOfWeek")
-    return (
-        grid.join(known, ["wiki", "windowStart"], "left")
-        .fillna(0, ["editCount", "avgDelta", "botEdits", "anonEdits"])
-        .withColumns({"hourOfDay": F.hour("windowStart"), "dayOfWeek": F.dayofweek("windowStart")})
-    )
+def dense_minutes(series: DataFrame, longest_gap: int = 7 * 86_400) -> DataFrame:
+    """The series with its missing minutes as 0; ``run`` counts the stretches of a wiki.
 
+    Each row lays out the minutes up to the next one, so no array is longer than a gap. After a silence
+    of more than ``longest_gap`` seconds a new stretch begins: one event with a time far ahead, which the
+    rules for valid times allow, does not fill the years before it with minutes.
+    """
+    order = Window.partitionBy("wiki").orderBy("windowStart")
+    minute, start = F.expr("interval 1 minute"), F.unix_seconds("windowStart")
+    after, before = (F.abs(F.unix_seconds(f("windowStart").over(order)) - start) for f in (F.lead, F.lag))
+    stop = F.when(after <= longest_gap, F.lead("windowStart").over(order) - minute).otherwise(F.col("windowStart"))
+    stretches = series.drop("hourOfDay", "dayOfWeek").withColumns({"stop": stop, "fresh": (before > longest_gap).cast("int")})
+    numbered = stretches.withColumn("run", F.coalesce(F.sum("fresh").over(order), F.lit(0)))
+    laid = numbered.withColumn("minute", F.explode(F.sequence("windowStart", "stop", minute)))
 
-def lag_features_dense(silver: DataFrame) -> DataFrame:
-    return add_lags(dense_minutes(minute_series(silver)))
+    def own(name, zero):
+        return F.when(F.col("minute") == F.col("windowStart"), F.col(name)).otherwise(F.lit(zero)).alias(name)
+
+    counts = [own(n, 0) for n in ("editCount", "botEdits", "anonEdits")]
+    filled = laid.select("wiki", "run", F.col("minute"), *counts, own("avgDelta", 0.0)).withColumnRenamed("minute", "windowStart")
+    columns = ["wiki", "windowStart", "editCount", "avgDelta", "botEdits", "anonEdits", "run"]
+    return filled.select(*columns).withColumns({"hourOfDay": F.hour("windowStart"), "dayOfWeek": F.dayofweek("windowStart")})
 
 
-def fit_transform(df: DataFrame, *stages) -> DataFrame:
-    return Pipeline(stages=list(stages)).fit(df).transform(df)
+def lag_features_dense(silver: DataFrame) -> DataFrame:
+    return add_lags(dense_minutes(minute_series(silver)), ("wiki", "run")).drop("run")

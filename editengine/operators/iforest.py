@@ -17,6 +17,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from editengine.session import written
+
 # Workers get these functions with the task, so the package need not be installed on them.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -53,6 +55,11 @@ def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple]:
     return nodes
 
 
+def _scaled(x: np.ndarray, base: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """Each column to [0, 1] as when the forest was fitted; a column that was constant then becomes 0.5."""
+    return np.where(span > 0, (x - base) / np.where(span > 0, span, 1.0), 0.5)
+
+
 def _samples(df: DataFrame, columns: Sequence[str], key: str, trees: int, size: int, seed: int) -> DataFrame:
     """About ``size`` rows for each tree, drawn independently per tree.
 
@@ -81,7 +88,11 @@ def _samples(df: DataFrame, columns: Sequence[str], key: str, trees: int, size:
 
 @dataclass
 class IsolationForest:
+    """``base`` and ``span`` are the columns' smallest values and ranges where the forest was fitted."""
+
     columns: list[str]
+    base: np.ndarray
+    span: np.ndarray
     feature: np.ndarray
     cut: np.ndarray
     low: np.ndarray
@@ -99,6 +110,7 @@ class IsolationForest:
             spark.createDataFrame(nodes)
             .withColumns({
                 "columns": F.array(*[F.lit(c) for c in self.columns]), "norm": F.lit(self.norm),
+                "base": F.array(*[F.lit(float(v)) for v in self.base]), "span": F.array(*[F.lit(float(v)) for v in self.span]),
                 "levels": F.lit(self.levels), "threshold": F.lit(self.threshold),
             })
             .write.mode("overwrite").parquet(path)
@@ -111,37 +123,44 @@ class IsolationForest:
         arrays = {n: nodes[n].to_numpy().reshape(shape) for n in _ARRAYS}
         first = nodes.iloc[0]
         return cls(
-            list(first["columns"]), **arrays, norm=float(first["norm"]), levels=int(first["levels"]),
+            list(first["columns"]), np.array(first["base"], dtype="float64"), np.array(first["span"], dtype="float64"), **arrays, norm=float(first["norm"]), levels=int(first["levels"]),
             threshold=float(first["threshold"]),
         )
 
     def score(self, df: DataFrame, output: str = "score") -> DataFrame:
         """Add the anomaly score in (0, 1); higher is more isolated."""
         shared = df.sparkSession.sparkContext.broadcast(
-            (self.feature, self.cut, self.low, self.high, self.path, self.norm, self.levels)
+            (self.base, self.span, self.feature, self.cut, self.low, self.high, self.path, self.norm, self.levels)
         )
 
         @F.pandas_udf("double")
         def isolation(rows: pd.DataFrame) -> pd.Series:
-            feature, cut, low, high, path, norm, levels = shared.value
-            x = rows.to_numpy("float64")
-            row = np.arange(len(x))
-            depth = np.zeros(len(x))
-            for t in range(len(feature)):
-                at = np.zeros(len(x), dtype="int32")
+            base, span, feature, cut, low, high, path, norm, levels = shared.value
+            x = _scaled(rows.to_numpy("float64"), base, span)
+            n, (trees, nodes) = len(x), feature.shape
+            out = np.empty(n)
+            for begin in range(0, n, 2048):  # all trees at once, for as many rows as stay in the cache
+                part = np.ascontiguousarray(x[begin : begin + 2048])
+                row = (np.arange(len(part)) * part.shape[1])[:, None]
+                root = (np.arange(trees) * nodes)[None, :]
+                at = np.broadcast_to(root, (len(part), trees)).copy()
                 for _ in range(levels):
-                    f = feature[t][at]
-                    step = np.where(x[row, np.maximum(f, 0)] <= cut[t][at], low[t][at], high[t][at])
+                    f = feature.ravel()[at]
+                    below = part.ravel()[row + np.maximum(f, 0)] <= cut.ravel()[at]
+                    step = root + np.where(below, low.ravel()[at], high.ravel()[at])
                     at = np.where(f < 0, at, step)
-                depth += path[t][at]
-            return pd.Series(2.0 ** (-depth / len(feature) / norm))
+                out[begin : begin + 2048] = path.ravel()[at].mean(axis=1)
+            return pd.Series(2.0 ** (-out / norm))
 
         return df.withColumn(output, isolation(F.struct(*[F.col(c).cast("double").alias(c) for c in self.columns])))
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Add ``score``, ``anomaly`` (0/1) and ``outlier`` (1 normal, -1 anomaly)."""
+        return self.flag(self.score(df))
+
+    def flag(self, scored: DataFrame) -> DataFrame:
         flagged = F.col("score") > F.lit(self.threshold)
-        return self.score(df).withColumns(
+        return scored.withColumns(
             {"anomaly": flagged.cast("int"), "outlier": F.when(flagged, -1).otherwise(1)}
         )
 
@@ -156,19 +175,43 @@ def fit(
     seed: int = 42,
     accuracy: int = 100_000,
 ) -> IsolationForest:
+    return fit_predict(df, columns, key, trees, sample_size, contamination, seed, accuracy)[0]
+
+
+def fit_predict(
+    df: DataFrame,
+    columns: Sequence[str],
+    key: str = "id",
+    trees: int = 100,
+    sample_size: int = 256,
+    contamination: float = 0.05,
+    seed: int = 42,
+    accuracy: int = 100_000,
+) -> tuple[IsolationForest, DataFrame]:
+    """The forest, and ``key`` and ``columns`` of the rows it was fitted on with their predictions.
+
+    The rows' key and columns are written once; growing, scoring and the threshold read them there, and
+    each row is scored once. Columns are scaled to their ranges, which stay with the forest.
+    """
     columns = list(columns)
+    kept = written(df.select(key, *[F.col(c).cast("double").alias(c) for c in columns]), "forest-rows")
+    ranges = kept.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("low", F.min), ("high", F.max))]).first()
+    if any(ranges[f"low_{c}"] is None for c in columns):
+        raise ValueError("isolation forest needs at least one row")
+    base = np.array([ranges[f"low_{c}"] for c in columns])
+    span = np.array([ranges[f"high_{c}"] for c in columns]) - base
 
     def grow(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("place")
         tree = int(rows["tree"].iloc[0])
         limit = max(1, math.ceil(math.log2(max(len(rows), 2))))
-        nodes = _grow(rows[columns].to_numpy("float64"), np.random.default_rng([seed, tree]), limit)
+        nodes = _grow(_scaled(rows[columns].to_numpy("float64"), base, span), np.random.default_rng([seed, tree]), limit)
         return pd.DataFrame(
             [(tree, *n) for n in nodes],
             columns=["tree", "node", "feature", "cut", "low", "high", "depth", "rows"],
         )
 
-    samples = _samples(df, columns, key, trees, sample_size, seed)
+    samples = _samples(kept, columns, key, trees, sample_size, seed)
     grown = samples.groupBy("tree").applyInPandas(grow, _NODES).toPandas()  # at most trees * 2 * sample_size rows
     names = {t: i for i, t in enumerate(sorted(grown["tree"].unique()))}
     shape = (len(names), int(grown["node"].max()) + 1)
@@ -179,11 +222,10 @@ def fit(
     path[at] = grown["depth"].to_numpy() + _average_path(grown["rows"].to_numpy())
     roots = grown[grown["node"] == 0]["rows"]
     forest = IsolationForest(
-        columns, feature, cut, low, high, path,
+        columns, base, span, feature, cut, low, high, path,
         norm=float(max(_average_path(roots.max()), 1e-9)),
         levels=int(grown["depth"].max()),
     )
-    forest.threshold = forest.score(df).agg(
-        F.percentile_approx("score", 1.0 - contamination, accuracy).alias("t")
-    ).first()["t"]
-    return forest
+    scored = written(forest.score(kept), "forest-scores")
+    forest.threshold = scored.agg(F.percentile_approx("score", 1.0 - contamination, accuracy).alias("t")).first()["t"]
+    return forest, forest.flag(scored)

@@ -50,7 +50,8 @@ def key_ordered(events: DataFrame, partitions: int | None = None) -> DataFrame:
 
     Ranges over (key, arrival, id) keep the order of a key across neighbouring partitions, so a wiki
     with a large part of all events is spread over many tasks instead of filling one. The order holds
-    for tables; tasks that publish to a broker run side by side, so consumers order by event time.
+    for tables; tasks that publish to a broker run side by side, so there the contract is in the message:
+    consumers order a key by ``ingestion_ts``, then ``id``.
     """
     keyed = events.withColumn("key", C.event_key(F.col("wiki")))
     order = ["key", "ingestion_ts", "id"]
@@ -59,30 +60,64 @@ def key_ordered(events: DataFrame, partitions: int | None = None) -> DataFrame:
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
-    """Raw records of JSON ``value`` lines, with the line and its outcome alongside."""
+    """Raw records of JSON ``value`` lines, with the line and its outcome alongside; only objects are records."""
     value = F.col("value")
     outcome = (
         F.when(value.isNull() | (F.trim(value) == ""), "blank")
-        .when(F.try_parse_json(value).isNull(), "error")
+        .when(F.try_parse_json(value).isNull() | ~F.ltrim(value).startswith("{"), "error")
         .otherwise("record")
     )
     record = F.from_json(value, f"{S.RAW_DDL}, ingestion_ts long")
-    return lines.select(value, outcome.alias("outcome"), record.alias("e"))
+    # A generator: what is built on the record reads it, and does not parse it again.
+    return lines.select(F.inline(F.array(F.struct(value.alias("value"), outcome.alias("outcome"), record.alias("e")))))
 
 
-def counters(
-    lines: DataFrame, wiki: str | None = None, types: Sequence[str] | None = None
-) -> DataFrame:
-    """One row: published, filtered out, unparsable and blank lines, in a single pass."""
+def _kept(wiki: str | None, types: Sequence[str] | None):
     kept = F.lit(True)
     if wiki is not None:
         kept = kept & F.col("e.wiki").eqNullSafe(wiki)
     if types:
         kept = kept & F.coalesce(F.col("e.type").isin(*types), F.lit(False))
-    record = F.col("outcome") == "record"
-    return parse_lines(lines).agg(
+    return kept
+
+
+def publishable(lines: DataFrame, wiki: str | None = None, types: Sequence[str] | None = None) -> DataFrame:
+    """``(key, value)`` messages of the feed's records, batch or stream, each as it came with the derived fields added.
+
+    The record's own text is kept, so fields outside the schema, nulls and nested objects survive. The
+    derived fields come last; a reader takes the last of two fields of one name.
+    """
+    records = parse_lines(lines).where((F.col("outcome") == "record") & _kept(wiki, types))
+    stamped = F.coalesce(F.col("e.ingestion_ts"), F.unix_millis(F.current_timestamp()))
+    derived = F.to_json(F.struct(
+        stamped.alias("ingestion_ts"),
+        C.flag_or_false(F.col("e.bot")).alias("is_bot"),
+        C.namespace_label(F.col("e.namespace")).alias("namespace_str"),
+        C.size_change(F.col("e.length")).alias("byte_delta"),
+        C.text_length(F.col("e.title")).alias("title_len"),
+    ))
+    body = F.regexp_replace("value", r"\s*\}\s*$", "")
+    comma = F.when(body.endswith("{"), "").otherwise(",")
+    return records.select(C.event_key(F.col("e.wiki")).alias("key"), F.concat(body, comma, F.substring(derived, 2, 1 << 20)).alias("value"))
+
+
+def counters(
+    lines: DataFrame, wiki: str | None = None, types: Sequence[str] | None = None
+) -> DataFrame:
+    """One row: published, filtered out, unparsable and blank lines, in a single pass."""
+    return parse_lines(lines).agg(*_counted(wiki, types))
+
+
+def _counted(wiki: str | None, types: Sequence[str] | None) -> list:
+    kept, record = _kept(wiki, types), F.col("outcome") == "record"
+    return [
         F.count_if(record & kept).alias("published"),
         F.count_if(record & ~kept).alias("filtered_out"),
         F.count_if(F.col("outcome") == "error").alias("parse_errors"),
         F.count_if(F.col("outcome") == "blank").alias("blank"),
-    )
+    ]
+
+
+def observed(lines: DataFrame, name: str = "feed", wiki: str | None = None, types: Sequence[str] | None = None) -> DataFrame:
+    """The lines of a stream, counted as they pass; the figures come with every progress report, from which rates follow."""
+    return parse_lines(lines).observe(name, *_counted(wiki, types)).select("value")

@@ -147,7 +147,9 @@ class Forecast:
 
 
 def volume_forecast(lagged: DataFrame, by_time: bool = False, min_rows: int = S.MIN_LAGGED_ROWS) -> Forecast | None:
-    """Gradient-boosted forecast of a minute's events; ``None`` where there are too few rows.
+    """Gradient-boosted forecast of a minute's events; ``few`` says that there were under ``min_rows`` rows.
+
+    ``None`` only where no row is left to learn from, or none to test on.
 
     The default split is random by (wiki, minute); ``by_time`` tests on the last fifth of the time
     span, so that nothing later than a test row is learnt from.
@@ -155,14 +157,13 @@ def volume_forecast(lagged: DataFrame, by_time: bool = False, min_rows: int = S.
     # One row per wiki and minute: kept while fitting, so the events behind it are read once.
     lagged = lagged.persist()
     try:
-        if lagged.limit(min_rows).count() < min_rows:
-            return None
-        return _fit_forecast(lagged, by_time)
+        few = lagged.limit(min_rows).count() < min_rows
+        return _fit_forecast(lagged, by_time, few)
     finally:
         lagged.unpersist()
 
 
-def _fit_forecast(lagged: DataFrame, by_time: bool) -> Forecast:
+def _fit_forecast(lagged: DataFrame, by_time: bool, few: bool) -> Forecast | None:
     if by_time:
         cut = lagged.agg(F.percentile_approx(F.unix_seconds("windowStart"), 0.8).alias("t")).first()["t"]
         late = F.unix_seconds("windowStart") > F.lit(cut)
@@ -170,6 +171,8 @@ def _fit_forecast(lagged: DataFrame, by_time: bool) -> Forecast:
     else:
         keyed = lagged.withColumn("_key", F.concat_ws("|", "wiki", F.unix_seconds("windowStart")))
         train, test = (side.drop("_key") for side in split_by_key(keyed, "_key"))
+    if train.isEmpty() or test.isEmpty():
+        return None
     model = Pipeline(
         stages=[
             VectorAssembler(inputCols=list(S.FORECAST_FEATURES), outputCol="features", handleInvalid="skip"),
@@ -178,7 +181,7 @@ def _fit_forecast(lagged: DataFrame, by_time: bool) -> Forecast:
     ).fit(train)
     predictions = model.transform(test)
     row = evaluate.regression_metrics(predictions, "editCount").first()
-    return Forecast(model, predictions, row["rmse"], row["r2"])
+    return Forecast(model, predictions.withColumn("few", F.lit(few)), row["rmse"], row["r2"])
 
 
 def regression_score(predictions: DataFrame, metric: str = "rmse", label: str = "editCount") -> float:

@@ -7,12 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from editengine import schema as S
 from editengine.functions import columns as C
 
-DISPLAY_COLUMNS = (
-    "id", "wiki", "title", "user", "bot", "byte_delta", "type", "namespace", "editSizeCategory", "eventTime",
-)
-
 
 def kpi_silver(silver: DataFrame) -> DataFrame:
     return silver.agg(
@@ -44,7 +41,7 @@ def schema_table(df: DataFrame) -> DataFrame:
     return counted.select(F.inline(rows))
 
 
-def sample_rows(df: DataFrame, columns: Sequence[str] = DISPLAY_COLUMNS, key: str = "id", n: int = 50) -> DataFrame:
+def sample_rows(df: DataFrame, columns: Sequence[str] = S.DISPLAY_COLUMNS, key: str = "id", n: int = 50) -> DataFrame:
     """The first ``n`` rows by key, with those display columns that exist."""
     return df.orderBy(key).limit(n).select(*[c for c in columns if c in df.columns])
 
@@ -94,5 +91,5 @@ def scatter_points(
     scored: DataFrame, share: float | None = None, columns: Sequence[str] = ("byte_delta", "commentLen", "anomaly")
 ) -> DataFrame:
     """Points to draw: all of them, or a repeatable share by id."""
-    points = scored if share is None else scored.where(C.hash_share(F.col("id"), share))
+    points = scored if share is None else scored.where(C.hash_share(C.row_key(scored, "id"), share))
     return points.select(*columns)

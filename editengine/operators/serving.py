@@ -49,22 +49,31 @@ def serving_rejects(silver: DataFrame) -> DataFrame:
     return silver.where(F.col("eventTime").isNull())
 
 
-def upsert_latest(rows: DataFrame, *version: str) -> DataFrame:
+def upsert_latest(rows: DataFrame, *version: str, also: tuple[str, ...] = ()) -> DataFrame:
     """One row per store key: the last written.
 
     ``version`` columns (a batch number, say) decide first, then the arrival time, then the content.
     Spark limits each map task to one row per key before the shuffle (window group limit), so a key
-    that repeats millions of times moves one row per task.
+    that repeats millions of times moves one row per task. ``also`` names columns that follow from the
+    key: rows that are dealt out by some of them already are not moved again.
     """
     content = ["type", "title", "user_name", "byte_delta", "comment"]
     # The key's most selective part comes first: the sort compares it by its binary prefix.
     key = sorted(S.STORE_KEY, key=("event_time", "event_id", "wiki", "wiki_lang").index)
-    newest = Window.partitionBy(*key).orderBy(
+    newest = Window.partitionBy(*key, *also).orderBy(
         *[F.desc(c) for c in (*version, "ingestion_ts", *content)]
     )
     return rows.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank", *version)
 
 
+def by_wiki_and_day(rows: DataFrame, salts: int = 8) -> DataFrame:
+    """Rows dealt out by wiki and day, each over ``salts`` tasks, with both as columns ``event_date`` and ``salt``."""
+    dated = rows.withColumns({
+        "event_date": F.to_date("event_time"), "salt": F.pmod(F.xxhash64("event_time", "event_id"), F.lit(salts)),
+    })
+    return dated.repartition("wiki", "event_date", "salt")
+
+
 def newest_first(rows: DataFrame, partitions: int | None = None) -> DataFrame:
     """Physical order of the store: by wiki, newest first; a large wiki spans several ranges."""
     order = [F.col("wiki"), F.col("wiki_lang"), F.desc("event_time"), F.desc("event_id")]
@@ -102,9 +111,13 @@ def hourly_stream(rows: DataFrame, watermark: str = S.GOLD_WATERMARK, types: tup
     )
 
 
-def batch_summary(silver: DataFrame) -> DataFrame:
-    return silver.agg(
+def summary_columns(bot: str = "bot") -> list[Column]:
+    return [
         F.count("*").alias("written"),
         F.count_if(F.col("type") == "edit").alias("edits"),
-        F.count_if(F.coalesce(F.col("bot"), F.lit(False))).alias("bots"),
-    )
+        F.count_if(F.coalesce(F.col(bot), F.lit(False))).alias("bots"),
+    ]
+
+
+def batch_summary(silver: DataFrame) -> DataFrame:
+    return silver.agg(*summary_columns())

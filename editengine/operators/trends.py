@@ -31,7 +31,7 @@ def top_pages(silver: DataFrame, n: int | None = 15) -> DataFrame:
         )
         .orderBy(F.desc("editCount"), "title")
     )
-    return pages if n is None else pages.limit(n)
+    return _first(pages, n)
 
 
 def hourly_edits(silver: DataFrame) -> DataFrame:
@@ -53,8 +53,12 @@ def _by_language(silver: DataFrame, total: str) -> DataFrame:
     )
 
 
-def top_wikis(silver: DataFrame, n: int = 10) -> DataFrame:
-    return _by_language(silver, "editCount").orderBy(F.desc("editCount"), "wikiLang").limit(n)
+def _first(rows: DataFrame, n: int | None) -> DataFrame:
+    return rows if n is None else rows.limit(n)
+
+
+def top_wikis(silver: DataFrame, n: int | None = 10) -> DataFrame:
+    return _first(_by_language(silver, "editCount").orderBy(F.desc("editCount"), "wikiLang"), n)
 
 
 def size_distribution(silver: DataFrame) -> DataFrame:
@@ -67,11 +71,6 @@ def size_distribution(silver: DataFrame) -> DataFrame:
     )
 
 
-def bot_ratio_by_wiki(silver: DataFrame, n: int = 10) -> DataFrame:
+def bot_ratio_by_wiki(silver: DataFrame, n: int | None = 10) -> DataFrame:
     ratio = F.try_divide("botEdits", "totalEdits")
-    return (
-        _by_language(silver, "totalEdits")
-        .withColumn("botRatio", ratio)
-        .orderBy(F.desc("botRatio"), "wikiLang")
-        .limit(n)
-    )
+    return _first(_by_language(silver, "totalEdits").withColumn("botRatio", ratio).orderBy(F.desc("botRatio"), "wikiLang"), n)

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +21,7 @@ from editengine.operators import (
 )
 from editengine.operators.percentiles import exact_percentile
 from editengine.plans import registry, training
-from editengine.session import prepare, shared_dir
+from editengine.session import prepare, shared_dir, written
 from editengine.sources import events, tables
 from editengine.streaming import pipeline, sinks
 
@@ -197,6 +197,41 @@ def _(spark, d):
     return messages.select("key", back).select("key", *[f"e.{c}" for c in RECORD])
 
 
+def extended_lines(spark, d):
+    """Feed lines with fields outside the schema, a null and a nested object."""
+    more = F.concat(
+        F.lit('{"extra_field":'), F.get_json_object("value", "$.id"),
+        F.lit(',"$schema":"/x/1","gone":null,"deep":{"a":[1,{"b":"}"}]},'), F.substring("value", 2, 1 << 20),
+    )
+    known = F.get_json_object("value", "$.id").isNotNull()
+    return lines(spark, d).select(F.when(known, more).otherwise(F.col("value")).alias("value"))
+
+
+def published(messages):
+    field = lambda path: F.get_json_object("value", path)
+    back = F.from_json("value", S.EVENT_DDL).alias("e")
+    rows = messages.select(
+        "key", back, field("$.extra_field").alias("extra"), field("$['$schema']").alias("other"), field("$.deep").alias("deep"),
+        F.col("value").contains('"gone":null').alias("kept_null"),
+    )
+    return rows.select("key", *[f"e.{c}" for c in RECORD], "extra", "other", "deep", "kept_null")
+
+
+@query("publish")
+def _(spark, d):
+    path = shared_dir(spark, "feed")
+    extended_lines(spark, d).write.text(path)
+    return published(ingest.publishable(tables.read_lines(spark, path)))
+
+
+@query("publish_stream")
+def _(spark, d):
+    path = shared_dir(spark, "feed")
+    extended_lines(spark, d).write.text(path)
+    arriving = ingest.observed(tables.read_lines(spark, path, stream=True))
+    return published(sinks.run_to_table(ingest.publishable(arriving), "published"))
+
+
 @query("ingest_counters")
 def _(spark, d):
     return ingest.counters(lines(spark, d), wiki="enwiki", types=["edit", "new"])
@@ -204,7 +239,13 @@ def _(spark, d):
 
 @query("key_ordered_partitions")
 def _(spark, d):
-    return ingest.key_ordered(raw(spark, d)).select("key", "ingestion_ts", "id")
+    """With a flag: does the row come after the one before it in its partition?"""
+    laid = ingest.key_ordered(raw(spark, d)).select(
+        "key", "ingestion_ts", "id", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place")
+    )
+    own = F.struct("key", "ingestion_ts", "id")
+    earlier = F.lag(own).over(Window.partitionBy("part").orderBy("place"))
+    return laid.select("key", "ingestion_ts", "id", F.coalesce(earlier <= own, F.lit(True)).alias("in_order"))
 
 
 # --- Bronze ---
@@ -309,6 +350,17 @@ def _(spark, d):
     return tables.scan_store(spark, f"{root}/store").select(*S.STORE_COLUMNS)
 
 
+@query("store_restart")
+def _(spark, d):
+    """Two streams with checkpoints of their own write one store: half of the events each."""
+    root = shared_dir(spark, "store-restart")
+    for turn in (0, 1):
+        half = silver_stream(spark, d).where(F.col("id") % 2 == turn)
+        running, _ = sinks.write_store(half, f"{root}/store", f"{root}/checkpoint-{turn}", available_now=True)
+        running.awaitTermination()
+    return tables.scan_store(spark, f"{root}/store").select(*S.STORE_COLUMNS)
+
+
 @query("batch_summary")
 def _(spark, d):
     return serving.batch_summary(silver_rows(spark, d))
@@ -323,9 +375,9 @@ def _(spark, d):
 @query("compact_store")
 def _(spark, d):
     root = shared_dir(spark, "compaction")
-    for batch, rows in enumerate((store_rows(spark, d), redelivered(spark, d))):
-        rows.write.parquet(f"{root}/store/batch_id={batch}")
-    sinks.compact_store(spark, f"{root}/store", f"{root}/snapshot", F.lit(AS_OF).cast("timestamp"))
+    sinks.write_snapshot(store_rows(spark, d), f"{root}/earlier")
+    redelivered(spark, d).write.parquet(f"{root}/store/batch_id=1")
+    sinks.compact_store(spark, f"{root}/store", f"{root}/snapshot", F.lit(AS_OF).cast("timestamp"), f"{root}/earlier")
     return tables.scan_store(spark, f"{root}/snapshot").select(*S.STORE_COLUMNS)
 
 
@@ -441,7 +493,7 @@ def _(spark, d):
 
 @query("query_registry")
 def _(spark, d):
-    return registry.report_sizes(store_rows(spark, d))
+    return registry.report_sizes(written(store_rows(spark, d), "store-rows"))
 
 
 @query("x1_negative_latency")
@@ -486,6 +538,8 @@ for _name, _fn in {
     "size_distribution": trends.size_distribution, "bot_ratio_by_wiki": trends.bot_ratio_by_wiki,
 }.items():
     query(_name)(lambda spark, d, f=_fn: f(silver_rows(spark, d)))
+    if _name in ("top_pages", "top_wikis", "bot_ratio_by_wiki"):
+        query(f"{_name}_all")(lambda spark, d, f=_fn: f(silver_rows(spark, d), n=None))
 
 
 # --- Overview ---
@@ -510,6 +564,11 @@ def _(spark, d):
     return overview.sample_rows(silver_rows(spark, d))
 
 
+@query("sample_store_rows")
+def _(spark, d):
+    return overview.sample_rows(store_rows(spark, d), S.STORE_DISPLAY_COLUMNS, key="event_id")
+
+
 @query("class_distribution")
 def _(spark, d):
     return overview.class_distribution(feature_rows(spark, d))
@@ -598,7 +657,11 @@ def _(spark, d):
 
 def _bot_predictions(pipe_for, spark, d):
     train, test = features.split_by_key(feature_rows(spark, d))
-    model = pipe_for(train).fit(train)
+    train = train.persist()
+    try:
+        model = pipe_for(train).fit(train)
+    finally:
+        train.unpersist()
     return models.with_probability(model.transform(test)).select("id", "isBot", "prediction", "botProbability")
 
 
@@ -641,8 +704,7 @@ def _(spark, d):
 
 @query("isolation_forest")
 def _(spark, d):
-    rows = features.minmax_scale(feature_rows(spark, d), S.CLUSTER_FEATURES)
-    return iforest.fit(rows, S.CLUSTER_FEATURES).predict(rows).select("id", "score", "anomaly", "outlier")
+    return iforest.fit_predict(feature_rows(spark, d), S.CLUSTER_FEATURES)[1].select("id", "score", "anomaly", "outlier")
 
 
 @query("volume_forecast")
@@ -716,11 +778,6 @@ def _(spark, d):
     return models.metrics_frame(spark, {("centroids", "silhouette"): evaluate.silhouette(rows)})
 
 
-@query("silhouette_sampled")
-def _(spark, d):
-    return evaluate.silhouette_sampled(clustered_rows(spark, d), list(S.CLUSTER_FEATURES))
-
-
 @query("regression_metrics")
 def _(spark, d):
     mean = (F.col("editLag1") + F.col("editLag2") + F.col("editLag3")) / 3.0
@@ -754,6 +811,7 @@ def _(spark, d):
 @query("percentile_quantity")
 def _(spark, d):
     rows = spark.read.parquet(f"{d}/lineitem.parquet").select(
-        "l_returnflag", F.col("l_extendedprice").cast("int").alias("price")
+        "l_returnflag", F.col("l_extendedprice").cast("decimal(15,2)").alias("price")
     )
-    return exact_percentile(rows, "price", 0.95, ["l_returnflag"], "p95")
+    found = exact_percentile(rows, "price", 0.95, ["l_returnflag"], "p95")
+    return found.withColumn("p95", F.round("p95", 4))

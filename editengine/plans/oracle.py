@@ -220,9 +220,9 @@ def _reports() -> dict[str, tuple[str, str, int]]:
                having count(distinct user_name) >= 3""",
             '"uniqueEditors" desc, title', 20),
         "q12": (
-            """select wiki, title, user_name, byte_delta, comment_len, is_bot, is_anon, event_time, event_id from edits
+            """select wiki, title, user_name, byte_delta, comment_len, is_bot, is_anon, event_time, event_id as _id from edits
                where abs(byte_delta) > (select quantile_cont(abs(byte_delta), 0.95) from edits)""",
-            "byte_delta desc, event_time, event_id", 20),
+            "byte_delta desc, event_time, _id", 20),
     }
 
 
@@ -257,12 +257,16 @@ def oracle() -> dict[str, str]:
     put("ingestion_ts", base, 'select count(*) as "rows", cast(1 as bigint) as stamps from raw')
     put("event_key", base, "select id, coalesce(wiki, 'unknown') as key from raw")
     put("serialize_events", base, f"select coalesce(wiki, 'unknown') as key, {_names(RECORD)} from raw")
+    extended = f"""select coalesce(wiki, 'unknown') as key, {_names(RECORD)}, cast(id as varchar) as extra, '/x/1' as other,
+      '{{"a":[1,{{"b":"}}"}}]}}' as deep, true as kept_null from raw where {readable}"""
+    put("publish", base, extended)
+    put("publish_stream", base, extended)
     put("ingest_counters", base, f"""
       select count(*) filter ({readable} and keep) as published,
         count(*) filter ({readable} and not keep) as filtered_out,
         count(*) filter ({TRUNCATED} and not ({BLANKED})) as parse_errors, count(*) filter ({BLANKED}) as blank
       from (select id, coalesce(wiki = 'enwiki', false) and type in ('edit', 'new') as keep from raw)""")
-    put("key_ordered_partitions", base, "select coalesce(wiki, 'unknown') as key, ingestion_ts, id from raw")
+    put("key_ordered_partitions", base, "select coalesce(wiki, 'unknown') as key, ingestion_ts, id, true as in_order from raw")
 
     # Bronze
     put("parse_to_bronze", base, f"""
@@ -294,6 +298,7 @@ def oracle() -> dict[str, str]:
     every = _names(S.STORE_COLUMNS)
     put("serving_rows", store, f"select {every} from store")
     put("write_batch", store, f"select {every} from store")
+    put("store_restart", store, f"select {every} from store")
     put("serving_rejects", base, """select id, type, "timestamp" * 1000000 as "timestamp" from bronze where type = 'new'""")
     put("upsert_latest", store, f"""
       , first as (select * replace (case when type = 'categorize' then 0 else event_id end as event_id) from store),
@@ -353,9 +358,10 @@ def oracle() -> dict[str, str]:
     reports = _reports()
     for key, name in _REPORT_NAMES.items():
         body, order, top = reports[key]
-        put(name, store, f"{body}\norder by {order} limit {top}")
+        shown = "* exclude (_id)" if "_id" in order.split(", ") else "*"
+        put(name, store, f"select {shown} from (select * from ({body}) order by {order} limit {top})")
         if key != "q9":
-            put(f"{name}_all", store, body)
+            put(f"{name}_all", store, f"select {shown} from ({body})")
     put("q6_sessions_stream", store, f"""
       select * exclude ("sessionId") from ({reports['q6'][0]})
       where "sessionEnd" + interval '30 minutes' <= (select max(event_time) from edits) - interval '1 minute'""")
@@ -399,6 +405,14 @@ def oracle() -> dict[str, str]:
     put("top_pages", gold, f"""
       select title, count(*) as "editCount", cast(sum(coalesce(byte_delta, 0)) as bigint) as "totalDelta", {bots}
       from article where title is not null group by title order by "editCount" desc, title limit 15""")
+    put("top_pages_all", gold, f"""
+      select title, count(*) as "editCount", cast(sum(coalesce(byte_delta, 0)) as bigint) as "totalDelta", {bots}
+      from article where title is not null group by title""")
+    put("top_wikis_all", gold, f"""
+      select "wikiLang", count(title) as "editCount", {bots} from article group by 1""")
+    put("bot_ratio_by_wiki_all", gold, f"""
+      select *, "botEdits"::double / "totalEdits"::double as "botRatio" from (
+        select "wikiLang", count(title) as "totalEdits", {bots} from article group by 1)""")
     put("hourly_edits", gold, 'select "hourOfDay", count(*) as "editCount" from article group by 1')
     put("top_wikis", gold, f"""
       select "wikiLang", count(title) as "editCount", {bots} from article group by 1 order by 2 desc, 1 limit 10""")
@@ -423,9 +437,8 @@ def oracle() -> dict[str, str]:
         f"""select '{c}' as "column", '{spark_type[(record_types | _TYPES)[c]]}' as type, count("{c}") as present from silver"""
         for c in SILVER
     ))
-    put("sample_rows", base, """
-      select id, wiki, title, "user", bot, byte_delta, type, namespace, "editSizeCategory", "eventTime"
-      from silver order by id limit 50""")
+    put("sample_rows", base, f"select {_names(S.DISPLAY_COLUMNS)} from silver order by id limit 50")
+    put("sample_store_rows", store, f"select {_names(S.STORE_DISPLAY_COLUMNS)} from store order by event_id limit 50")
     put("class_distribution", feats, """
       select "isBot", (select count(*) from features f where f."isBot" = c."isBot") as edits
       from (values (0), (1)) c("isBot")""")
@@ -514,5 +527,5 @@ def oracle() -> dict[str, str]:
       from (select "editCount"::double as y,
         "editCount" - ("editLag1" + "editLag2" + "editLag3") / 3.0::double as error from lagged)""")
     sql["percentile_quantity"] = """
-      select l_returnflag, quantile_cont(cast(floor(l_extendedprice) as int), 0.95) as p95 from lineitem group by l_returnflag"""
+      select l_returnflag, round(quantile_cont(cast(l_extendedprice as decimal(15,2))::double, 0.95), 4) as p95 from lineitem group by l_returnflag"""
     return sql

@@ -50,11 +50,10 @@ def train_all(silver: DataFrame, out: str | None = None) -> Training:
     rows = features.ml_features(silver).persist()
     try:
         selection = models.select_bot_model(rows)
-        clusters = models.edit_clusters(rows)
+        clusters = models.edit_clusters(rows, starts=10)
         clustered = clusters.transform(rows)
-        scaled = features.minmax_scale(rows, S.CLUSTER_FEATURES)
-        forest = iforest.fit(scaled, S.CLUSTER_FEATURES)
-        anomalies = forest.predict(scaled).agg(F.sum("anomaly")).first()[0]
+        forest, flagged = iforest.fit_predict(rows, S.CLUSTER_FEATURES)
+        anomalies = flagged.agg(F.sum("anomaly")).first()[0]
         forecast = models.volume_forecast(features.lag_features(silver))
         top = trends.top_pages(silver, 1).first()
         figures = {(name, "auc"): auc for name, auc in selection.auc.items()}

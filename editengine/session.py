@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that a running session can still take over.
 RUNTIME = {
@@ -29,6 +31,9 @@ DEFAULTS = {
 }
 
 
+_OWN: list[str] = []
+
+
 def build_session(app: str = "editengine", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the package defaults; ``conf`` keys use ``__`` for ``.``."""
     builder = SparkSession.builder.appName(app)
@@ -51,12 +56,22 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh path for checkpoints, streams and written tables.
 
-    It lies under ``spark.checkpoint.dir``, which every executor can reach. Only a local session
-    without that setting gets a folder of its own.
+    It lies under ``spark.checkpoint.dir``, which every executor can reach. Local sessions without that
+    setting share one folder of the process, which goes when it ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="editengine-")
+        if not _OWN:
+            _OWN.append(tempfile.mkdtemp(prefix="editengine-"))
+            atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
+        base = _OWN[0]
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows out of a table in the shared folder: computed once, the same for every later reader."""
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

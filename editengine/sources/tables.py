@@ -28,7 +28,8 @@ def read_kafka_stream(
     servers: str,
     topic: str,
     starting: str = "latest",
-    max_records: int | None = S.MAX_RECORDS_PER_TRIGGER,
+    fail_on_data_loss: bool = False,
+    max_records: int | None = None,
 ) -> DataFrame:
     """(key, value) messages of one topic. Needs the Kafka connector on the class path."""
     reader = (
@@ -36,7 +37,7 @@ def read_kafka_stream(
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)
-        .option("failOnDataLoss", "false")
+        .option("failOnDataLoss", str(fail_on_data_loss).lower())
     )
     if max_records:
         reader = reader.option("maxOffsetsPerTrigger", max_records)
@@ -66,21 +67,42 @@ def read_silver_union(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(*paths)
 
 
-def scan_store(spark: SparkSession, path: str, as_of: Column | None = None) -> DataFrame:
-    """The edit store's current rows, lower-case columns; none where nothing was written yet.
-
-    Micro-batches append their rows under ``batch_id=``, so there the newest version of a key is
-    chosen while reading. A compacted snapshot holds each key once and is read as it is, without a
-    shuffle and with its folder per wiki available for pruning. ``as_of`` leaves expired rows out, after
-    the newest versions are chosen: an expired version does not bring an older one back.
-    """
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         rows = spark.read.parquet(path)
     except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return spark.createDataFrame([], S.STORE_DDL)
-    rows = rows.toDF(*[c.lower() for c in rows.columns])
-    if "batch_id" in rows.columns:
-        rows = upsert_latest(rows, "batch_id")
+        return None
+    return rows.toDF(*[c.lower() for c in rows.columns])
+
+
+def store_versions(spark: SparkSession, path: str, snapshot: str | None = None) -> tuple[DataFrame, list[str]]:
+    """All versions of the store's rows, and the columns that tell the newer of two; none for a snapshot alone."""
+    rows = _stored(spark, path)
+    if snapshot is not None and (older := _stored(spark, snapshot)) is not None:
+        # What was compacted is older than any batch since.
+        older = older.drop("event_date").withColumns({"written_ms": F.lit(-1).cast("long"), "batch_id": F.lit(-1)})
+        if rows is not None and "written_ms" not in rows.columns:
+            rows = rows.withColumn("written_ms", F.lit(0).cast("long"))
+        rows = older if rows is None else older.unionByName(rows, allowMissingColumns=True)
+    if rows is None:
+        rows = spark.createDataFrame([], S.STORE_DDL)
+    return rows, [c for c in ("written_ms", "batch_id") if c in rows.columns]
+
+
+def scan_store(
+    spark: SparkSession, path: str, as_of: Column | None = None, snapshot: str | None = None
+) -> DataFrame:
+    """The edit store's current rows, lower-case columns; none where nothing was written yet.
+
+    Micro-batches append their rows under ``stream=`` and ``batch_id=``, so there the newest version of a
+    key is chosen while reading, by the time of writing. A compacted snapshot holds each key once and is
+    read as it is, without a shuffle and with its folders per wiki and day (``event_date``) available for
+    pruning. With ``snapshot`` the batches since then are read over it. ``as_of`` leaves expired rows
+    out, after the newest versions are chosen: an expired version does not bring an older one back.
+    """
+    rows, version = store_versions(spark, path, snapshot)
+    if version:
+        rows = upsert_latest(rows, *version).drop("stream")
     return rows if as_of is None else alive(rows, as_of)

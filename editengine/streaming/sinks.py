@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import logging
+import time
+from collections import deque
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from editengine import schema as S
 from editengine.operators import serving
@@ -27,38 +29,46 @@ def write_parquet(
     mode: str = "append",
     available_now: bool = False,
     every: str = S.TRIGGER,
+    partition_by: tuple[str, ...] = (),
 ) -> StreamingQuery:
-    """Append to a table; the sink's commit log makes every micro-batch count exactly once."""
+    """Append to a table; the sink's commit log makes every micro-batch count exactly once.
+
+    ``partition_by`` columns become folders, so that reads of some days or wikis open only those.
+    """
     writer = (
         stream.writeStream.outputMode(mode)
         .format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     return _triggered(writer, available_now, every).start()
 
 
 class StoreWriter:
     """``foreachBatch`` target: a micro-batch of silver becomes one folder of the edit store.
 
-    The folder is named by the batch and overwritten, so a batch that is delivered again after a
-    failure replaces itself. Executors write all rows; the driver sees three counts per batch, taken
-    from the written folder, so the batch itself is not computed again. Rows are sorted by wiki and
-    time within a file, which lets a scan skip row groups of other wikis.
+    The folder is named by the stream, whose id lies in its checkpoint, and the batch, and is
+    overwritten. So a batch that is delivered again after a failure replaces itself, while a stream with
+    a new checkpoint writes beside what is there. ``written_ms`` says which of two versions of a key came
+    later. Executors write all rows; three counts per batch are observed on the way, and the last
+    ``keep`` summaries are kept. Rows are sorted by wiki and time within a file, which lets a scan skip
+    row groups of other wikis.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, keep: int = 100):
         self.path = path
-        self.summaries: list[dict] = []
+        self.summaries: deque[dict] = deque(maxlen=keep)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        folder = f"{self.path}/batch_id={batch_id}"
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        folder = f"{self.path}/stream={stream}/batch_id={batch_id}"
         order = [F.col("wiki"), F.col("wiki_lang"), F.desc("event_time"), F.desc("event_id")]
-        serving.serving_rows(batch).sortWithinPartitions(*order).write.mode("overwrite").parquet(folder)
-        written = batch.sparkSession.read.parquet(folder).withColumnRenamed("is_bot", "bot")
-        self.summaries.append({"batch_id": batch_id, **serving.batch_summary(written).first().asDict()})
+        seen = Observation("batch")
+        rows = serving.serving_rows(batch).observe(seen, *serving.summary_columns("is_bot"))
+        rows.sortWithinPartitions(*order).withColumn("written_ms", F.lit(time.time_ns() // 1_000_000)).write.mode("overwrite").parquet(folder)
+        self.summaries.append({"batch_id": batch_id, **seen.get})
         log.info("batch: %s", self.summaries[-1])
 
 
@@ -70,23 +80,48 @@ def write_store(
     return _triggered(writer, available_now, every).start(), target
 
 
-def write_snapshot(rows: DataFrame, path: str, partitions: int | None = None) -> None:
-    """A compacted store: newest versions, a folder per wiki, newest rows first in each file."""
-    current = serving.newest_first(serving.upsert_latest(rows), partitions)
-    current.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("wiki").parquet(path)
+def write_snapshot(rows: DataFrame, path: str, *version: str, as_of: Column | None = None) -> None:
+    """A compacted store: newest versions, a folder per wiki and day, newest rows first in each file.
+
+    Rows are dealt out once, by wiki and day; newest versions are chosen and files written where they lie.
+    Rows expired at ``as_of`` are left out, once the newest versions are known.
+    """
+    laid = serving.upsert_latest(serving.by_wiki_and_day(rows), *version, also=("event_date", "salt"))
+    kept = (laid if as_of is None else serving.alive(laid, as_of)).drop("salt", "stream")
+    order = [F.col("wiki"), F.col("event_date"), F.col("wiki_lang"), F.desc("event_time"), F.desc("event_id")]
+    files = kept.sortWithinPartitions(*order).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    files.partitionBy("wiki", "event_date").parquet(path)
 
 
 def compact_store(
-    spark: SparkSession, store: str, snapshot: str, as_of: Column | None = None, partitions: int | None = None
+    spark: SparkSession, store: str, snapshot: str, as_of: Column | None = None, earlier: str | None = None
 ) -> None:
-    """Turn a store of micro-batches into a snapshot at another path, without the rows expired at ``as_of``."""
-    write_snapshot(tables.scan_store(spark, store, as_of), snapshot, partitions)
+    """Turn a store of micro-batches, and the ``earlier`` snapshot it follows, into a snapshot at another path.
+
+    The store may go on growing meanwhile; ``scan_store`` reads its newer batches over the snapshot.
+    """
+    rows, version = tables.store_versions(spark, store, earlier)
+    write_snapshot(rows, snapshot, *version, as_of=as_of)
 
 
 def write_messages(messages: DataFrame, path: str) -> None:
     messages.write.mode("append").parquet(path)
 
 
+def stream_kafka(
+    messages: DataFrame, servers: str, topic: str, checkpoint: str, available_now: bool = False, every: str = S.TRIGGER
+) -> StreamingQuery:
+    """Publish a stream of (key, value) messages. Needs the Kafka connector on the class path."""
+    writer = (
+        messages.select(F.col("key").cast("string"), F.col("value").cast("string"))
+        .writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+    )
+    return _triggered(writer, available_now, every).start()
+
+
 def write_kafka(messages: DataFrame, servers: str, topic: str) -> None:
     """Publish (key, value) messages. Needs the Kafka connector on the class path."""
     (
@@ -106,8 +141,25 @@ def run_to_table(stream: DataFrame, label: str, mode: str = "append") -> DataFra
     return spark.read.schema(stream.schema).parquet(f"{root}/table")
 
 
-def dropped_late(query: StreamingQuery) -> int:
-    """Rows that came after the watermark had passed them, over the query's recent triggers."""
-    return sum(
-        op.numRowsDroppedByWatermark for progress in query.recentProgress for op in progress.stateOperators
-    )
+class LateRows(StreamingQueryListener):
+    """Adds up, for each query, the rows that came after the watermark had passed them, from its first trigger on.
+
+    Put it to ``spark.streams.addListener`` before the queries start; it holds one number per query.
+    """
+
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        key = str(event.progress.id)
+        self.dropped[key] = self.dropped.get(key, 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass

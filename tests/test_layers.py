@@ -104,9 +104,9 @@ def test_bronze_reads_bytes(spark):
 def test_raw_reader_and_counters_agree(messages):
     row = ingest.counters(messages, wiki="enwiki").first()
     kept = tables.read_raw_events(messages).count()
-    # Trailing text is an error for the feed reader.
-    assert row["parse_errors"] == 2 and row["blank"] == 3
-    assert row["published"] + row["filtered_out"] == kept == len(JSON) - 5
+    # Trailing text is an error for the feed reader, and so is what is no object.
+    assert row["parse_errors"] == 4 and row["blank"] == 3
+    assert row["published"] + row["filtered_out"] == kept == len(JSON) - 7
 
 
 def test_filters(spark):

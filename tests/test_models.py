@@ -72,25 +72,6 @@ def test_clusters(rows):
     assert mine.join(clustered.select("id", "cluster"), "id").where("mine <> cluster").count() == 0
 
 
-def test_sampled_silhouette_by_hand(spark):
-    rng = np.random.default_rng(6)
-    data = pd.DataFrame({"id": range(120), "x": rng.normal(0, 1, 120), "y": rng.normal(0, 1, 120), "cluster": rng.integers(0, 3, 120)})
-    data.loc[0, "cluster"] = 9  # a cluster of one counts as 0
-    points, groups = data[["x", "y"]].to_numpy(), data["cluster"].to_numpy()
-    distance = np.sqrt(((points[:, None] - points[None]) ** 2).sum(2))
-    widths = []
-    for i in range(120):
-        same = groups == groups[i]
-        if same.sum() == 1:
-            widths.append(0.0)
-            continue
-        a = distance[i][same].sum() / (same.sum() - 1)
-        b = min(distance[i][groups == g].mean() for g in set(groups) - {groups[i]})
-        widths.append((b - a) / max(a, b))
-    got = evaluate.silhouette_sampled(spark.createDataFrame(data), ["x", "y"]).first()["silhouette"]
-    assert got == pytest.approx(np.mean(widths))
-
-
 def test_isolation_forest_finds_planted_outliers(spark):
     n = 4000
     base = spark.range(n).select("id", (F.randn(1)).alias("a"), (F.randn(2)).alias("b"))
@@ -121,7 +102,9 @@ def test_forecast(spark):
     assert forecast.rmse > 0
     assert models.regression_score(forecast.predictions) == pytest.approx(forecast.rmse)
     assert models.regression_score(forecast.predictions, "r2") == pytest.approx(forecast.r2)
-    assert models.volume_forecast(lagged.limit(99)) is None
+    assert not forecast.predictions.first()["few"]
+    assert models.volume_forecast(lagged.orderBy("wiki", "windowStart").limit(60)).predictions.first()["few"]
+    assert models.volume_forecast(lagged.limit(0)) is None
 
 
 def test_scalers_handle_constants(spark):
@@ -156,11 +139,37 @@ def test_metrics_are_saved_in_long_form(spark, tmp_path):
         ("a", "auc", 0.5, None), ("a", "best", None, "x"), ("b", "n", 3.0, None)}
 
 
-def test_hash_sample(spark):
-    df = spark.range(20_000)
-    one, two = (features.hash_sample(d, 500).toPandas()["id"].tolist() for d in (df, df.repartition(3)))
-    assert one == two and len(one) == 500
-    assert features.hash_sample(spark.range(10), 500).count() == 10
+def test_split_keeps_rows_without_a_key(spark):
+    df = spark.createDataFrame([(None, k) for k in range(200)] + [(k, k) for k in range(200)], "id long, v int")
+    train, test = features.split_by_key(df)
+    assert train.count() + test.count() == 400 and train.unionAll(test).exceptAll(df).count() == 0
+    assert test.where("id is null").count() > 0 and train.where("id is null").count() > 0
+
+
+def test_dense_minutes_stop_at_a_far_event(spark):
+    """An event years ahead begins a stretch of its own and lays out no minutes before it."""
+    rows = [("w", "2024-01-01 00:00:00", 2), ("w", "2024-01-01 00:04:00", 1), ("w", "9999-01-01 00:00:00", 5), ("w", "9999-01-01 00:03:00", 1)]
+    series = spark.createDataFrame(rows, "wiki string, at string, editCount long").select(
+        "wiki", F.col("at").cast("timestamp").alias("windowStart"), "editCount", F.lit(0.5).alias("avgDelta"),
+        F.lit(0).cast("long").alias("botEdits"), F.lit(0).cast("long").alias("anonEdits"), F.lit(0).alias("hourOfDay"), F.lit(1).alias("dayOfWeek"))
+    dense = features.dense_minutes(series)
+    assert [(r["run"], r["editCount"]) for r in dense.orderBy("windowStart").collect()] == [
+        (0, 2), (0, 0), (0, 0), (0, 0), (0, 1), (1, 5), (1, 0), (1, 0), (1, 1)]
+    assert features.add_lags(dense, ("wiki", "run")).count() == 3
+
+
+def test_roc_with_one_extreme_score(spark):
+    rows = spark.range(30_000).select((F.rand(1) + F.col("id") % 3).alias("score"), (F.rand(2) < 0.3).cast("int").alias("label"))
+    far = rows.union(spark.createDataFrame([(1e12, 1)], "score double, label int")).persist()
+    counts = evaluate._score_counts(far, "score", "label")
+    sizes = [r["count"] for r in counts.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 1 or max(sizes) <= 3 * sum(sizes) / len(sizes)
+    ranked = spark.sql("select 1").sparkSession.createDataFrame(far.toPandas())
+    local = ranked.toPandas().sort_values("score")
+    pos, neg = local["label"].sum(), (1 - local["label"]).sum()
+    wins = (local["label"] * (1 - local["label"]).cumsum()).sum()
+    got = evaluate.roc_auc(far).first()
+    assert got["areaUnderROC"] == pytest.approx(wins / (pos * neg)) and got["positives"] == pos
 
 
 def test_training_job_saves_everything(spark, tmp_path):
@@ -174,6 +183,9 @@ def test_training_job_saves_everything(spark, tmp_path):
     assert saved.where("metric = 'auc'").count() == 3 and saved.where("model like 'cluster %'").count() == 25
     assert spark.read.parquet(f"{tmp_path}/trends/top_pages").count() == 15
     forest = iforest.IsolationForest.load(spark, f"{tmp_path}/isolation_forest")
-    scaled = features.minmax_scale(features.ml_features(silver), S.CLUSTER_FEATURES)
-    one, two = (f.predict(scaled).orderBy("id").select("score", "anomaly").collect() for f in (forest, done.forest))
+    rows = features.ml_features(silver)
+    one, two = (f.predict(rows).orderBy("id").select("score", "anomaly").collect() for f in (forest, done.forest))
     assert one == two
+    # New rows are scaled as the forest's own were: a part of the rows gets the scores it had among all.
+    part = forest.predict(rows.where("id % 7 = 0")).select("id", "score").exceptAll(done.forest.predict(rows).select("id", "score"))
+    assert part.count() == 0

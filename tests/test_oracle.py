@@ -4,9 +4,10 @@ import pytest
 from check_oracle import compare, connect
 
 import __spark_entry__ as entry
+from editengine.plans.oracle import oracle
 from conftest import SMALL
 
-SQL = entry.oracle_sql()
+SQL = oracle()
 
 
 @pytest.fixture(scope="module")

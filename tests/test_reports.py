@@ -242,7 +242,7 @@ def test_class_distribution_reports_absent_classes(spark):
 
 def test_sample_and_labels(spark):
     df = spark.range(80).select(F.lit("x" * 60).alias("title"), "id")
-    assert overview.sample_rows(df).columns == ["id", "title"] and overview.sample_rows(df).count() == 50
+    assert overview.sample_rows(df).columns == ["title"] and overview.sample_rows(df).count() == 50
     top = overview.chart_top_n(df, "title", ["id"], width=45).collect()
     assert len(top) == 15 and len(top[0]["title"]) == 45
 

@@ -2,6 +2,8 @@
 
 from datetime import datetime
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,9 +42,16 @@ def test_late_rows_and_restart(spark, tmp_path):
     run_gold(spark, root, first.schema)
     assert windows(spark, root) == {("00:00", 1)}
     edit_rows(spark, "00:01:30", "00:19:30", "00:30:00").coalesce(1).write.mode("append").parquet(f"{root}/silver")
+    late = sinks.LateRows()
+    spark.streams.addListener(late)
     query = run_gold(spark, root, first.schema)
     assert windows(spark, root) == {("00:00", 1), ("00:15", 1), ("00:20", 1)}
-    assert sinks.dropped_late(query) == 1
+    for _ in range(50):
+        if late.dropped.get(str(query.id)):
+            break
+        time.sleep(0.2)
+    spark.streams.removeListener(late)
+    assert late.dropped[str(query.id)] == 1
     run_gold(spark, root, first.schema)  # nothing new: nothing is emitted twice
     assert spark.read.parquet(f"{root}/gold").count() == 3
 
@@ -82,7 +91,7 @@ def test_store_writer_is_idempotent(spark, small, tmp_path):
     target(batch.where("id % 2 = 1"), 1)
     target(batch.where("id % 2 = 1"), 1)  # delivered again
     target(batch.limit(0), 2)
-    assert sum(1 for _ in tmp_path.glob("batch_id=*")) == 2
+    assert sum(1 for _ in tmp_path.glob("stream=*/batch_id=*")) == 3
     assert target.summaries[1] == target.summaries[2]
     summary = serving.batch_summary(batch).first().asDict()
     assert {k: target.summaries[0][k] + target.summaries[1][k] for k in summary} == summary
@@ -98,6 +107,32 @@ def test_later_batch_wins_over_arrival_time(spark, small, tmp_path):
     assert {r["comment"] for r in tables.scan_store(spark, f"{tmp_path}/s").collect()} == {"second"}
 
 
+def test_batches_are_read_over_a_snapshot(spark, small, tmp_path):
+    rows = catalog.store_rows(spark, small)
+    sinks.write_snapshot(rows, f"{tmp_path}/snap")
+    newer = rows.where("type = 'edit'").withColumns({"comment": F.lit("newer"), "ingestion_ts": F.lit(1).cast("long"), "written_ms": F.lit(5).cast("long")})
+    newer.write.parquet(f"{tmp_path}/s/stream=a/batch_id=0")
+    found = tables.scan_store(spark, f"{tmp_path}/s", snapshot=f"{tmp_path}/snap")
+    assert found.count() == rows.count() and found.where("comment = 'newer'").count() == rows.where("type = 'edit'").count()
+    sinks.compact_store(spark, f"{tmp_path}/s", f"{tmp_path}/next", earlier=f"{tmp_path}/snap")
+    again = tables.scan_store(spark, f"{tmp_path}/next").select(*S.STORE_COLUMNS)
+    assert again.exceptAll(found.select(*S.STORE_COLUMNS)).count() == 0 and again.count() == rows.count()
+
+
+def test_compaction_deals_rows_out_once(spark, small):
+    laid = serving.upsert_latest(serving.by_wiki_and_day(catalog.store_rows(spark, small)), also=("event_date", "salt"))
+    assert laid._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+
+
+def test_layer_tables_may_have_folders_per_day(spark, small, tmp_path):
+    rows = catalog.silver_rows(spark, small).select("id", "wiki", F.to_date("eventTime").alias("event_date"))
+    rows.write.parquet(f"{tmp_path}/in")
+    arriving = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in")
+    sinks.write_parquet(arriving, f"{tmp_path}/out", f"{tmp_path}/ck", available_now=True, partition_by=("event_date",)).awaitTermination()
+    day = spark.read.parquet(f"{tmp_path}/out").where("event_date = '2024-01-02'")
+    assert "PartitionFilters: [isnotnull(event_date" in day._jdf.queryExecution().executedPlan().toString() and day.count() > 0
+
+
 def test_snapshot_is_read_without_a_shuffle_and_prunes(spark, small, tmp_path):
     sinks.write_snapshot(catalog.store_rows(spark, small), f"{tmp_path}/snap")
     plan = tables.scan_store(spark, f"{tmp_path}/snap").where("wiki = 'enwiki'")._jdf.queryExecution().executedPlan().toString()
