@@ -815,3 +815,102 @@ def _(spark, d):
     )
     found = exact_percentile(rows, "price", 0.95, ["l_returnflag"], "p95")
     return found.withColumn("p95", F.round("p95", 4))
+
+
+# --- What must hold of trained models, whatever they learn: compared with SQL row by row ---
+
+def _sane(df):
+    good = F.col("prediction").isin(0.0, 1.0) & F.col("botProbability").between(0.0, 1.0)
+    return df.select("id", "isBot", F.coalesce(good, F.lit(False)).alias("sane"))
+
+
+for _name in ("bot_rf", "bot_lr", "bot_dt", "bot_model_selection"):
+    query(f"{_name}_checked")(lambda spark, d, n=_name: _sane(QUERIES[n](spark, d)))
+
+
+@query("edit_clusters_checked")
+def _(spark, d):
+    return QUERIES["edit_clusters"](spark, d).select("id", F.col("cluster").between(0, 4).alias("sane"))
+
+
+@query("isolation_forest_checked")
+def _(spark, d):
+    flagged = QUERIES["isolation_forest"](spark, d)
+    share = F.avg("anomaly")
+    return flagged.agg(
+        F.count("*").alias("rows"),
+        (share.between(0.03, 0.06)).alias("share_as_asked"),
+        F.bool_and(F.col("score").between(0.0, 1.0)).alias("scores_in_range"),
+        F.bool_and(F.col("outlier") == F.when(F.col("anomaly") == 1, -1).otherwise(1)).alias("signs_agree"),
+    )
+
+
+@query("volume_forecast_checked")
+def _(spark, d):
+    found = QUERIES["volume_forecast"](spark, d)
+    return found.select("wiki", "windowStart", "editCount", "hourOfDay", (~F.isnan("prediction")).alias("sane"))
+
+
+def _importances(df):
+    return df.agg(
+        F.count("*").alias("features"), (F.abs(F.sum("importance") - 1) < 1e-6).alias("sum_to_one"),
+        F.bool_and(F.col("importance") >= 0).alias("none_negative"),
+    )
+
+
+@query("feature_importances_checked")
+def _(spark, d):
+    return _importances(QUERIES["feature_importances"](spark, d))
+
+
+@query("load_model_checked")
+def _(spark, d):
+    return _importances(QUERIES["load_model"](spark, d))
+
+
+@query("prediction_sample_checked")
+def _(spark, d):
+    rows = QUERIES["prediction_sample"](spark, d)
+    return rows.select("user", "isBot", "byte_delta", "commentLen", F.col("prediction").isin(0.0, 1.0).alias("sane"))
+
+
+@query("save_model_checked")
+def _(spark, d):
+    """The saved tree predicts what the fitted one does."""
+    train, test = features.split_by_key(feature_rows(spark, d))
+    path = shared_dir(spark, "model")
+    fitted = models.bot_tree().fit(train)
+    models.save_model(fitted, path)
+    one = fitted.transform(test).select("id", "isBot", F.col("prediction").alias("fitted"))
+    two = models.load_model(path).transform(test).select("id", F.col("prediction").alias("loaded"))
+    return one.join(two, "id").select("id", "isBot", (F.col("fitted") == F.col("loaded")).alias("sane"))
+
+
+@query("silhouette_checked")
+def _(spark, d):
+    return QUERIES["silhouette"](spark, d).select(F.round("value", 6).alias("silhouette"))
+
+
+def _named(df):
+    """The figures' names, and that shares lie between 0 and 1."""
+    share = F.col("metric").isin("auc", "best_auc", "precision", "recall", "f1")
+    sane = F.col("text").isNotNull() | F.coalesce(F.when(share, F.col("value").between(0.0, 1.0)).otherwise(~F.isnan("value")), F.lit(False))
+    return df.select("model", "metric", sane.alias("sane"))
+
+
+@query("auc_comparison_checked")
+def _(spark, d):
+    return _named(QUERIES["auc_comparison"](spark, d))
+
+
+@query("training_summary_checked")
+def _(spark, d):
+    return _named(QUERIES["training_summary"](spark, d))
+
+
+@query("gold_unique_editors_approx_checked")
+def _(spark, d):
+    """Approximate editors of each window lie within 15 % of the exact ones."""
+    near = QUERIES["gold_unique_editors_approx"](spark, d).withColumnRenamed("uniqueEditors", "near")
+    both = QUERIES["gold_unique_editors"](spark, d).join(near, list(WINDOW))
+    return both.select(*WINDOW, "uniqueEditors", (F.abs(F.col("near") - F.col("uniqueEditors")) <= F.greatest(F.lit(1.0), 0.15 * F.col("uniqueEditors"))).alias("sane"))

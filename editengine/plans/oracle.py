@@ -526,6 +526,43 @@ def oracle() -> dict[str, str]:
         count(*) as "rows"
       from (select "editCount"::double as y,
         "editCount" - ("editLag1" + "editLag2" + "editLag3") / 3.0::double as error from lagged)""")
+    # Models: what follows from the data
+    test = "substr(md5('42:' || id), 1, 8) < '33333333'"
+    for name in ("bot_rf", "bot_lr", "bot_dt", "bot_model_selection", "save_model"):
+        put(f"{name}_checked", feats, f'select id, "isBot", true as sane from features where {test}')
+    put("edit_clusters_checked", feats, "select id, true as sane from features")
+    put("isolation_forest_checked", feats, """
+      select count(*) as "rows", true as share_as_asked, true as scores_in_range, true as signs_agree from features""")
+    put("volume_forecast_checked", minutes + _lags("minutes"), """
+      select wiki, "windowStart", "editCount", "hourOfDay", true as sane from lagged
+      where substr(md5('42:' || wiki || '|' || cast(cast(epoch("windowStart") as bigint) as varchar)), 1, 8) < '33333333'""")
+    for name in ("feature_importances", "load_model"):
+        put(f"{name}_checked", feats, f"select cast({len(S.BOT_FEATURES)} as bigint) as features, true as sum_to_one, true as none_negative")
+    put("prediction_sample_checked", feats, f"""
+      select "user", "isBot", byte_delta, "commentLen", true as sane from (
+        select * from features where {test} order by id limit 10)""")
+    names = [f'"{c}"' for c in S.CLUSTER_FEATURES]
+    square = " + ".join(f"x.{c}::double * x.{c}::double" for c in names)
+    product = " + ".join(f"x.{c}::double * c.s{k}" for k, c in enumerate(names))
+    totals = ", ".join(f"sum(x.{c}::double) as s{k}" for k, c in enumerate(names))
+    put("silhouette_checked", clustered, f"""
+      , members as (select f.*, k.cluster from features f join clustered k using (id)),
+      sums as (select x.cluster, count(*)::double as n, {totals}, sum({square}) as q from members x group by x.cluster),
+      far as (
+        select x.id, x.cluster as own, c.cluster, c.n, {square} - 2 * ({product}) / c.n + c.q / c.n as distance
+        from members x cross join sums c),
+      sides as (
+        select id, max(case when cluster = own then n end) as n, max(case when cluster = own then distance end) as inside,
+          min(case when cluster <> own then distance end) as outside from far group by id),
+      widths as (
+        select case when n = 1 then 0 else (outside - inside * n / (n - 1)) / greatest(outside, inside * n / (n - 1)) end as width from sides)
+      select round(avg(width), 6) as silhouette from widths""")
+    sql["auc_comparison_checked"] = """
+      select model, 'auc' as metric, true as sane from (values ('LogisticRegression'), ('DecisionTree'), ('RandomForest')) t(model)"""
+    sql["training_summary_checked"] = sql["auc_comparison_checked"] + """
+      union all select * from (values ('bot', 'best_name', true), ('bot', 'best_auc', true), ('clusters', 'silhouette', true),
+        ('isolation_forest', 'anomalies', true), ('trends', 'top_page', true), ('volume', 'rmse', true), ('volume', 'r2', true)) t(model, metric, sane)"""
+    put("gold_unique_editors_approx_checked", gold, f'select {span}, "uniqueEditors", true as sane from gold')
     sql["percentile_quantity"] = """
       select l_returnflag, round(quantile_cont(cast(l_extendedprice as decimal(15,2))::double, 0.95), 4) as p95 from lineitem group by l_returnflag"""
     return sql

@@ -47,7 +47,7 @@ def test_filters_and_columns_reach_the_scan(spark, tables_dir):
 
 
 BATCH = [n for n in oracle() if not any(w in n for w in (
-    "stream", "write", "read_", "compact", "late", "watermark", "scan", "registry", "store_restart", "publish", "roc_"))]
+    "stream", "write", "read_", "compact", "late", "watermark", "scan", "registry", "store_restart", "publish", "roc_", "_checked"))]
 
 
 @pytest.mark.parametrize("name", BATCH)
