@@ -26,6 +26,7 @@ def arguments() -> argparse.Namespace:
     run = jobs.add_parser("pipeline", help="run the four streams")
     run.add_argument("root", help="folder of the layer tables")
     run.add_argument("--once", action="store_true", help="process what is there and end")
+    run.add_argument("--rejects", action="store_true", help="keep the messages that bronze leaves out in a table")
 
     for job in (publish, run):
         target = job.add_mutually_exclusive_group(required=True)
@@ -70,7 +71,7 @@ def main() -> None:
             messages = tables.read_kafka_stream(spark, args.servers, args.topic, starting)
         else:
             messages = tables.read_message_stream(spark, args.folder)
-        running = pipeline.start(messages, args.root, available_now=args.once)
+        running = pipeline.start(messages, args.root, available_now=args.once, keep_rejects=args.rejects)
         if not args.once:
             running.await_any()
     elif args.job == "reports":

@@ -19,12 +19,14 @@ from editengine.streaming import sinks
 
 
 def with_counters(messages: DataFrame, name: str = "ingest") -> DataFrame:
-    """Count messages and blank ones as they pass; the figures come with every progress report."""
+    """Count messages and the blank and malformed ones as they pass; the figures come with every progress report."""
     value = F.col("value").cast("string")
+    blank = value.isNull() | (F.trim(value) == "")
     return messages.observe(
         name,
         F.count(F.lit(1)).alias("messages"),
-        F.count_if(value.isNull() | (F.trim(value) == "")).alias("blank"),
+        F.count_if(blank).alias("blank"),
+        F.count_if(~blank & (F.try_parse_json(value).isNull() | ~F.ltrim(value).startswith("{"))).alias("parse_errors"),
     )
 
 
@@ -58,9 +60,14 @@ def _follow(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
 
 
 def start(
-    messages: DataFrame, root: str, available_now: bool = False, every: str = S.TRIGGER, watermark: str = S.GOLD_WATERMARK
+    messages: DataFrame, root: str, available_now: bool = False, every: str = S.TRIGGER, watermark: str = S.GOLD_WATERMARK,
+    keep_rejects: bool = False,
 ) -> Pipeline:
-    """Start the four queries. With ``available_now`` each layer finishes before the next begins."""
+    """Start the four queries. With ``available_now`` each layer finishes before the next begins.
+
+    ``keep_rejects`` adds a query on the same source that keeps the messages bronze leaves out, with
+    their causes, in a table ``rejects``.
+    """
     spark = messages.sparkSession
     run = Pipeline(root)
 
@@ -74,6 +81,8 @@ def start(
     table("bronze", parsed)
     cleaned = silver.to_silver(_follow(spark, run.path("bronze"), parsed))
     table("silver", cleaned)
+    if keep_rejects:
+        table("rejects", bronze.rejects(messages))
     table("gold", gold.to_gold(_follow(spark, run.path("silver"), cleaned), watermark=watermark))
     run.queries["store"], run.store = sinks.write_store(
         _follow(spark, run.path("silver"), cleaned), run.path("store"), run.checkpoint("store"), available_now, every
