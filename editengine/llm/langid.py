@@ -23,7 +23,7 @@ BUCKETS, DIM, EPOCHS, BATCH, RATE, SEED = 1 << 16, 16, 4, 64, 0.5, 11
 SIZES = (2, 3, 4)
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
-SLICE = 1_000_000
+SLICE, SHARES = 1_000_000, 1 << 30
 
 
 def _fold() -> np.ndarray:
@@ -126,15 +126,22 @@ def train(texts: list[bytes], langs: list[str], seed: int = SEED) -> Model | Non
         loss = lambda t: -np.log(np.maximum(softmax(logits * t)[np.arange(len(held)), right], 1e-12)).mean()
         model.scale = float(min(np.geomspace(0.25, 64, 49), key=loss))
         sure = softmax(logits * model.scale).max(axis=1)
-        model.least = float(min(0.5, max(1.2 / len(labels), np.quantile(sure, 0.001))))
+        # Near the even share nothing speaks for any language; a text of two languages is well above it.
+        model.least = float(min(0.99, np.clip(np.quantile(sure, 0.001), 1.2 / len(labels), 1.4 / len(labels))))
     return model
 
 
 def fit(docs: DataFrame, texts: int = TEXTS, seed: int = SEED) -> Model | None:
     """Learn from ``text`` and non-null ``lang``: windows, spread over whole texts, of ``texts`` per language."""
-    rows = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
+    rows = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("id"))
+    rows = rows.where("lang IS NOT NULL AND text IS NOT NULL")
+    # A hash keeps about twice what is wanted of each language where the texts are read; few are ordered.
+    shares = [x for r in rows.groupBy("lang").count().collect() for x in (F.lit(r["lang"]), F.lit(min(SHARES, 2 * texts * SHARES // r["count"] + 1)))]
+    if not shares:
+        return None
+    hashed = rows.withColumn("h", F.xxhash64("text", "id")).where(F.pmod("h", F.lit(SHARES)) < F.create_map(*shares)[F.col("lang")])
     best = Window.partitionBy("lang").orderBy("h")
-    chosen = rows.withColumn("h", F.xxhash64("text")).withColumn("r", F.row_number().over(best)).where(F.col("r") <= texts).select("lang", "text")
+    chosen = hashed.withColumn("r", F.row_number().over(best)).where(F.col("r") <= texts).select("lang", "text")
 
     def cut(part, values):
         langs, windows = [], []
