@@ -37,6 +37,10 @@ class Words(dict):
         return found
 
 
+# Of this Python worker, kept from task to task.
+SEEN = Words()
+
+
 def shingles(words: np.ndarray) -> np.ndarray:
     """A hash for each run of ``SHINGLE`` words; one of all words if there are fewer."""
     size = min(SHINGLE, len(words))
@@ -169,9 +173,9 @@ def _groups(items: DataFrame) -> list[DataFrame]:
     return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k) for k in range(parts)]
 
 
-def _words(memo: Words, text: str) -> np.ndarray:
+def _words(text: str) -> np.ndarray:
     own = text.encode().lower().split()  # bytes: ASCII letters and ASCII white space only
-    return np.fromiter(map(memo.__getitem__, own), U, len(own))
+    return np.fromiter(map(SEEN.__getitem__, own), U, len(own))
 
 
 def matches(docs: DataFrame, items: DataFrame, least: float = LEAST, radius: int = RADIUS) -> DataFrame:
@@ -185,9 +189,8 @@ def matches(docs: DataFrame, items: DataFrame, least: float = LEAST, radius: int
         sent = docs.sparkSession.sparkContext.broadcast(Items([(r["item_id"], r["text"]) for r in group.collect()], least, radius))
 
         def run(batches, sent=sent):
-            memo = Words()
             for part, texts in common.slices(batches):
-                rows = [(doc_id, *m) for doc_id, text in zip(part.column(0).to_pylist(), texts, strict=True) for m in sent.value.find(_words(memo, text))]
+                rows = [(doc_id, *m) for doc_id, text in zip(part.column(0).to_pylist(), texts, strict=True) for m in sent.value.find(_words(text))]
                 if rows:
                     kinds = pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.int64()
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "item_id", "start_word", "n_words", "similarity", "n_windows"])
@@ -206,9 +209,8 @@ def clean(docs: DataFrame, items: DataFrame, least: float = LEAST, radius: int =
         sent = docs.sparkSession.sparkContext.broadcast(Items([(r["item_id"], r["text"]) for r in group.collect()], least, radius))
 
         def run(batches, sent=sent):
-            memo = Words()
             for part, texts in common.slices(batches, at):
-                yield part.filter(pa.array([not text or not sent.value.find(_words(memo, text)) for text in texts], pa.bool_()))
+                yield part.filter(pa.array([not text or not sent.value.find(_words(text)) for text in texts], pa.bool_()))
 
         out = out.mapInArrow(run, out.schema)
     return out.toDF(*names)
