@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
-from .tokens import END_ID, Encoder
+from .tokens import END_ID, shared_encoder
 
 TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 1024
@@ -28,7 +28,7 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY
     def run(batches):
         from pyspark import TaskContext
 
-        encoder, task = Encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, task = shared_encoder(tokenizer), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for part, texts in common.slices(batches):
             rows = []

@@ -22,6 +22,16 @@ def tokenizer_path(name: str) -> str:
 MARK, ODD_MARK = re.compile(r"(?<=[^\W\d_])([.,])(?=[ \n])"), re.compile(r"[\W_][.,][ \n]")
 
 
+def shared_encoder(name_or_path: str) -> Encoder:
+    """The encoder of this Python worker, which keeps it, and what it remembers, from task to task."""
+    if name_or_path not in _SHARED:
+        _SHARED[name_or_path] = Encoder(name_or_path)
+    return _SHARED[name_or_path]
+
+
+_SHARED: dict[str, Encoder] = {}
+
+
 def _part_marks(text: str) -> str:
     """A space and "\0" before the closing marks that begin a pre-token."""
     if ODD_MARK.search(text):

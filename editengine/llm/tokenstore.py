@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
-from .tokens import END_ID, Encoder
+from .tokens import END_ID, shared_encoder
 
 TOKENIZER = "word_bpe_49k.json"
 BLOCK_IDS, SEGMENT_IDS, LEVEL = 16_384, 65_536, 3
@@ -55,7 +55,7 @@ def write(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, unit: str = "b
     def run(batches):
         from pyspark import TaskContext
 
-        encoder, file, segment = Encoder(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, file, segment = shared_encoder(tokenizer), TaskContext.get().partitionId(), 0
         pack = zstandard.ZstdCompressor(level=LEVEL)
         doc_ids, held, size = [], [], 0
 
