@@ -11,6 +11,7 @@ finds is verified on the shingles themselves.
 from __future__ import annotations
 
 from collections import Counter
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from . import common
 
 SHINGLE, LEAST, RADIUS = 5, 0.8, 24
-ITEM_BYTES, MEMO = 16 << 20, 300_000
+ITEM_BYTES, MEMO = 16 << 20, 800_000
 EDGE = b".,;:!?\"'()[]{}*"
 U = np.uint64
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], dtype=U)
@@ -32,7 +33,8 @@ class Words(dict):
 
     def __missing__(self, word: bytes) -> int:
         if len(self) > MEMO:
-            self.clear()
+            for old in list(islice(reversed(self), MEMO // 2)):  # what came first is the most frequent
+                del self[old]
         found = self[word] = xxhash.xxh3_64_intdigest(word.strip(EDGE) or word)
         return found
 
@@ -116,6 +118,18 @@ class Items:
             out[at] = self.known[place] == hashes[at]
         return out
 
+    def candidates(self, texts: list[np.ndarray]) -> list[int]:
+        """The texts that may hold a match, looked through at once: those with a shingle of any item."""
+        if not len(self.known):
+            return []
+        if self.short:
+            return list(range(len(texts)))
+        ends = np.cumsum([len(x) for x in texts])
+        every = np.concatenate(texts)
+        if len(every) < SHINGLE:
+            return []
+        return np.unique(np.searchsorted(ends, np.flatnonzero(self.hits(shingles(every))), side="right")).tolist()
+
     def find(self, words: np.ndarray) -> list[tuple[int, int, int, float, int]]:
         """(item, first word, words, similarity, matching windows) of the best window for each item."""
         if not len(self.known):
@@ -190,7 +204,8 @@ def matches(docs: DataFrame, items: DataFrame, least: float = LEAST, radius: int
 
         def run(batches, sent=sent):
             for part, texts in common.slices(batches):
-                rows = [(doc_id, *m) for doc_id, text in zip(part.column(0).to_pylist(), texts, strict=True) for m in sent.value.find(_words(text))]
+                words, ids = [_words(text) for text in texts], part.column(0).to_pylist()
+                rows = [(ids[k], *m) for k in sent.value.candidates(words) for m in sent.value.find(words[k])]
                 if rows:
                     kinds = pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.int64()
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "item_id", "start_word", "n_words", "similarity", "n_windows"])
@@ -210,7 +225,10 @@ def clean(docs: DataFrame, items: DataFrame, least: float = LEAST, radius: int =
 
         def run(batches, sent=sent):
             for part, texts in common.slices(batches, at):
-                yield part.filter(pa.array([not text or not sent.value.find(_words(text)) for text in texts], pa.bool_()))
+                words, kept = [_words(text or "") for text in texts], np.ones(len(texts), dtype=bool)
+                for k in sent.value.candidates(words):
+                    kept[k] = not sent.value.find(words[k])
+                yield part.filter(pa.array(kept))
 
         out = out.mapInArrow(run, out.schema)
     return out.toDF(*names)
