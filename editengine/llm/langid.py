@@ -2,9 +2,14 @@
 
 A subword is a run of two to four bytes inside a word with its borders. A text is the mean of the
 embeddings of its subwords, which a softmax turns into languages. Both layers are trained in numpy by
-stochastic gradient descent on windows of a bounded number of labelled texts; a temperature, and the
-confidence below which a text is rejected, come from windows that took no part in it. As both layers
-are linear, they are multiplied out once, and a whole text costs one look-up for each subword.
+stochastic gradient descent on windows of a bounded number of labelled texts; a temperature comes from
+windows that took no part in it. As both layers are linear, they are multiplied out once, and a whole
+text costs one look-up for each subword.
+
+The softmax only compares the languages it knows. Whether a text is in any of them is judged by how
+familiar its subwords are: the mean logarithm of their share in the language where each is most frequent,
+so a text of several known languages is as familiar as one of a single language. The bound for a text's
+length comes from the held-out windows, cut to several lengths.
 """
 
 from __future__ import annotations
@@ -24,6 +29,8 @@ SIZES = (2, 3, 4)
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 SLICE, SHARES = 1_000_000, 1 << 30
+# Part of held-out windows that may be rejected, lengths in bytes they are cut to, share left to unseen subwords.
+REJECTED, CUTS, UNSEEN, TAIL = 0.001, (6, 12, 25, 50, 100, 200, 400), 0.05, 3.1
 
 
 def _fold() -> np.ndarray:
@@ -59,22 +66,42 @@ def subwords(texts: list[bytes]):
 
 
 class Model:
-    """``weights`` has a row per bucket, of zeros for one never seen, and a row of zeros for no subword."""
+    """``weights`` has a row per bucket, of zeros for one never seen, and a row of zeros for no subword.
 
-    def __init__(self, labels: list[str], weights: np.ndarray, scale: float = 1.0, least: float = 0.0):
-        self.labels, self.weights, self.scale, self.least = labels, weights, scale, least
+    Their last column is the familiarity. ``bounds`` are (logarithm of the number of subwords, least familiarity).
+    """
+
+    def __init__(self, labels: list[str], weights: np.ndarray, scale: float = 1.0, least: float = 0.0, bounds=((0.0, -np.inf),)):
+        self.labels, self.weights, self.scale, self.least, self.bounds = labels, weights, scale, least, np.array(bounds)
 
-    def logits(self, texts: list[bytes]) -> np.ndarray:
+    def measure(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Logits, familiarity and number of subwords of each text."""
         found, starts = subwords(texts)
-        total = np.zeros((len(texts), len(self.labels)))
+        total = np.zeros((len(texts), self.weights.shape[1]))
         number = np.zeros(len(texts))
         for ids in found:
             total += np.add.reduceat(self.weights[ids], starts, axis=0, dtype=np.float64)
             number += np.add.reduceat((ids < BUCKETS).astype(np.int64), starts)
-        return total / np.maximum(number, 1)[:, None]
+        mean = total / np.maximum(number, 1)[:, None]
+        return mean[:, :-1], mean[:, -1], number
+
+    def judge(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities of the languages, and whether a text is in one or several of them."""
+        logits, familiar, number = self.measure(texts)
+        sure = softmax(logits * self.scale)
+        bound = np.interp(np.log(np.maximum(number, 1)), *self.bounds.T)
+        return sure, (sure.max(axis=1) >= self.least) & (number > 0) & (familiar >= bound)
 
-    def probabilities(self, texts: list[bytes]) -> np.ndarray:
-        return softmax(self.logits(texts) * self.scale)
+
+def familiarity(bags: list[np.ndarray], target: np.ndarray, n: int) -> np.ndarray:
+    """For each bucket the logarithm of its share in the language, of ``n``, that uses it most; 0 for no subword."""
+    out = np.zeros(BUCKETS + 1)
+    out[:BUCKETS] = UNSEEN / BUCKETS
+    for lang in range(n):
+        count = np.bincount(np.concatenate([np.zeros(0, np.int64), *(bags[k] for k in np.flatnonzero(target == lang))]), minlength=BUCKETS + 1)[:BUCKETS]
+        out[:BUCKETS] = np.maximum(out[:BUCKETS], (1 - UNSEEN) * count / max(1, count.sum()) + UNSEEN / BUCKETS)
+    out[:BUCKETS] = np.log(out[:BUCKETS])
+    return out
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -120,17 +147,32 @@ def train(texts: list[bytes], langs: list[str], seed: int = SEED) -> Model | Non
     for k in used:
         known[bags[k]] = True
     table[~known] = 0  # a subword that was never seen speaks for no language
-    model = Model(labels, (table @ out).astype(np.float32))
+    spent = np.full(len(texts), -1)
+    spent[used] = target[used]
+    model = Model(labels, np.c_[table @ out, familiarity(bags, spent, len(labels))].astype(np.float32))
     if len(held):
-        logits, right = model.logits([texts[k] for k in held]), target[held]
+        logits, right = model.measure([texts[k] for k in held])[0], target[held]
         loss = lambda t: -np.log(np.maximum(softmax(logits * t)[np.arange(len(held)), right], 1e-12)).mean()
         model.scale = float(min(np.geomspace(0.25, 64, 49), key=loss))
-        sure = softmax(logits * model.scale).max(axis=1)
-        # Near the even share nothing speaks for any language; a text of two languages is well above it.
-        model.least = float(min(0.99, np.clip(np.quantile(sure, 0.001), 1.2 / len(labels), 1.4 / len(labels))))
+        # At the even share nothing speaks for any language; a text of two languages is well above it.
+        model.least = min(0.99, 1.2 / len(labels))
+        model.bounds = bounds(model, [texts[k] for k in held])
     return model
 
 
+def bounds(model: Model, windows: list[bytes]) -> np.ndarray:
+    """The familiarity that all but ``REJECTED`` of the windows reach, for each length they are cut to."""
+    rows = []
+    for size in CUTS:
+        _, familiar, number = model.measure([w[at : at + size] for w in windows for at in range(0, max(1, len(w) - size + 1), size)])
+        familiar, number = familiar[number > 0], number[number > 0]
+        if len(familiar):
+            # Few windows do not show their tail; the spread then stands for it.
+            least = min(np.quantile(familiar, REJECTED), familiar.mean() - TAIL * familiar.std())
+            rows.append((float(np.log(np.median(number))), float(least)))
+    return np.array(sorted(rows) or [(0.0, -np.inf)])
+
+
 def fit(docs: DataFrame, texts: int = TEXTS, seed: int = SEED) -> Model | None:
     """Learn from ``text`` and non-null ``lang``: windows, spread over whole texts, of ``texts`` per language."""
     rows = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("id"))
@@ -163,12 +205,12 @@ def _judge(model: Model | None, texts: list) -> tuple[list, np.ndarray, np.ndarr
         return langs, scores, kept
     at = np.flatnonzero(lettered)
     if len(at):
-        sure = model.probabilities([texts[k].encode() for k in at])
+        sure, familiar = model.judge([texts[k].encode() for k in at])
         best = sure.argmax(axis=1)
         for k, b in zip(at, best, strict=True):
             langs[k] = model.labels[b]
         scores[at] = sure.max(axis=1)
-        kept[at] = scores[at] >= model.least
+        kept[at] = familiar
     return langs, scores, kept
 
 
@@ -176,7 +218,8 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """``doc_id``, ``lang_pred``, ``score`` (calibrated), ``accepted``, for every whole text.
 
     A text that is null or has no letter is ``und``, score 0, not accepted. Any other gets the likeliest
-    language; it is accepted if the score reaches the model's bound. Without a model all are ``und``.
+    language; it is accepted if its subwords are as familiar as those of the held-out windows and the score is
+    above the even share. Without a model all are ``und``.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # buckets times languages
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
