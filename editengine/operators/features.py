@@ -149,5 +149,27 @@ def dense_minutes(series: DataFrame, longest_gap: int = 7 * 86_400) -> DataFrame
     return filled.select(*columns).withColumns({"hourOfDay": F.hour("windowStart"), "dayOfWeek": F.dayofweek("windowStart")})
 
 
+def whole_minutes(series: DataFrame) -> DataFrame:
+    """The series with every missing minute between a wiki's first and last one as 0, however long the gap.
+
+    Each row lays out the minutes up to the next one in steps of a thousand days, a day and a minute, so that
+    arrays stay short.
+    """
+    order = Window.partitionBy("wiki").orderBy("windowStart")
+    start = F.unix_seconds("windowStart")
+    own = series.drop("hourOfDay", "dayOfWeek")
+    # Minutes to the next row of the wiki; the last row lays out itself alone.
+    laid = own.withColumn("length", F.coalesce(((F.unix_seconds(F.lead("windowStart").over(order)) - start) / 60).cast("long"), F.lit(1)))
+    end = F.col("length") - 1
+    laid = laid.withColumn("era", F.explode(F.sequence(F.lit(0).cast("long"), end, F.lit(1_440_000).cast("long"))))
+    laid = laid.withColumn("day", F.explode(F.sequence("era", F.least(end, F.col("era") + 1_439_999), F.lit(1_440).cast("long"))))
+    laid = laid.withColumn("offset", F.explode(F.sequence("day", F.least(end, F.col("day") + 1_439))))
+    at, first = F.timestamp_seconds(start + F.col("offset") * 60), F.col("offset") == 0
+    counts = [F.when(first, F.col(n)).otherwise(F.lit(0)).alias(n) for n in ("editCount", "botEdits", "anonEdits")]
+    filled = laid.select("wiki", at.alias("windowStart"), *counts, F.when(first, F.col("avgDelta")).otherwise(F.lit(0.0)).alias("avgDelta"))
+    columns = ["wiki", "windowStart", "editCount", "avgDelta", "botEdits", "anonEdits"]
+    return filled.select(*columns).withColumns({"hourOfDay": F.hour("windowStart"), "dayOfWeek": F.dayofweek("windowStart")})
+
+
 def lag_features_dense(silver: DataFrame) -> DataFrame:
-    return add_lags(dense_minutes(minute_series(silver)), ("wiki", "run")).drop("run")
+    return add_lags(whole_minutes(minute_series(silver)))
