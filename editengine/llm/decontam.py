@@ -1,6 +1,6 @@
 """Benchmark decontamination: SimHash of item-sized windows, a multi-index of blocks, and an exact check.
 
-A window has as many words as an item. Similarity is that of the weighted five-word shingles: the sum of
+A window has as many words as an item; a document with fewer words is one window. Similarity is that of the weighted five-word shingles: the sum of
 smaller weights over the sum of larger ones, a shingle's weight being how often it occurs. A window that
 reaches ``LEAST`` shares a known number of shingles with the item, so only windows with so many shingles
 of any item are fingerprinted at all; this passes over no match. Fingerprints are cut into one block more
@@ -142,9 +142,15 @@ class Items:
         sums = np.r_[0, np.cumsum(flags)]
         best: dict[int, tuple] = {}
         for n, count, need, ids, weights, index in self.sizes:
+            size = min(n, len(words))
             if n > len(words):
-                break
-            if n < SHINGLE:
+                # Too short even if all of its shingles were the item's; the items that follow are longer yet.
+                if len(long) < max(1, self.least * count - 1e-9):
+                    break
+                if sums[-1] < self.least / (1 + self.least) * (len(long) + count) - 1e-9:
+                    continue
+                starts, rows = np.zeros(1, dtype=np.int64), long[None]
+            elif n < SHINGLE:
                 own = sum_words(words, n)
                 starts = np.flatnonzero(self.hits(own))
                 rows = own[starts][:, None]
@@ -160,10 +166,10 @@ class Items:
                 for j, k in zip(q.tolist(), v.tolist(), strict=True):
                     own = Counter(window[j].tolist())
                     common_weight = sum((own & weights[k]).values())
-                    likeness = common_weight / (2 * count - common_weight)
+                    likeness = common_weight / (window.shape[1] + count - common_weight)
                     if likeness >= self.least - 1e-12:
                         old = best.get(ids[k], (ids[k], 0, 0, -1.0, 0))
-                        best[ids[k]] = (ids[k], int(part[j]), n, likeness, old[4] + 1) if likeness > old[3] else (*old[:4], old[4] + 1)
+                        best[ids[k]] = (ids[k], int(part[j]), size, likeness, old[4] + 1) if likeness > old[3] else (*old[:4], old[4] + 1)
         return list(best.values())
 
 
