@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from editengine.session import prepare, shared_dir
 
-from . import anngraph, decontam, hmm, langid, linededup, packing, quality, simhash, suffixdedup, tokenstore
+from . import anngraph, decontam, hmm, jaccardjoin, langid, linededup, packing, quality, simhash, suffixdedup, tokenstore
 from .common import crc_rest, table
 
 
@@ -78,6 +78,11 @@ def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return jaccardjoin.groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_subword_language": op1_subword_language,
     "op2_line_store": op2_line_store,
@@ -89,4 +94,5 @@ QUERIES = {
     "op8_hidden_markov": op8_hidden_markov,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_simhash_trie": op10_simhash_trie,
+    "op11_prefix_orders": op11_prefix_orders,
 }
