@@ -9,13 +9,13 @@ of both. This holds for every order, so a pair must pass for each of several:
   how much work there is, never which links are found.
 * The others are hash orders of their own; a candidate whose prefixes have nothing in common there goes.
 
-What passes all is verified on the whole sets. The sets with one prefix token are gathered under the first
-of them, their leader: two with a common prefix token have a leader in common. Leaders' groups are dealt
-into parts of bounded size and pairs of parts are the tasks. Inside a task a set is compared with those that
-pass the filters and are not in its component already; what leaves it is a spanning forest of the links, never
-the pairs.
+The sets with one prefix token are gathered under the first of them, their leader: two with a common prefix
+token have a leader in common. Leaders' groups are dealt into parts of bounded size and pairs of parts are the
+tasks. A first round of tasks gets prefixes alone and keeps the sets that pass all filters with another one; a
+second gets whole sets, compares each with those that pass and are not in its component already, and gives a
+spanning forest of the links. Pairs never leave a task.
 
-A token is the 64-bit hash of a shingle.
+A token is the 64-bit hash of a shingle. Texts are read three times rather than their tokens stored.
 """
 
 from __future__ import annotations
@@ -23,63 +23,18 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
+from .wordhash import FACTORS, U, mixed, token_sets
 
 WORDS, LEAST = 4, 85
 # Orders beside the first one; tokens counted as frequent from here on; how many of them are sent to tasks.
-FURTHER, FREQUENT, SENT = 2, 16, 100_000
-# Tokens of a set that are counted: twice its prefix, or so many. Tokens in a part of a leader's group.
-COUNTED, PART = 48, 1_000_000
-MEMO = 800_000
-U = np.uint64
-FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=U)
-
-
-class Words(dict):
-    """Hashes of words, of this Python worker."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-SEEN = Words()
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    """Every bit of the input moves every bit of the output; one to one."""
-    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
-
-
-def token_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
-    """The distinct tokens of each text in rising order: one for each run of ``words`` words, one of the
-    whole sequence if there are fewer, none without a word."""
-    found = [x.encode().lower().split() for x in texts]  # bytes: ASCII letters and ASCII white space only
-    ends = np.cumsum([len(x) for x in found])
-    hashes = np.fromiter((SEEN[w] for own in found for w in own), U, int(ends[-1]) if len(ends) else 0)
-    runs = max(0, len(hashes) - words + 1)
-    full = np.zeros(runs, dtype=U)
-    for k in range(words):
-        full += hashes[k : k + runs] * FACTORS[k]
-    full = mixed(full)
-    out = []
-    for stop, own in zip(ends.tolist(), found, strict=True):
-        n, start = len(own), stop - len(own)
-        if n >= words:
-            out.append(np.unique(full[start : stop - words + 1].view(np.int64)))
-        elif n:
-            short = U(n) + sum((hashes[start + k] * FACTORS[-1 - k] for k in range(n)), U(0))
-            out.append(mixed(np.array([short], dtype=U)).view(np.int64))
-        else:
-            out.append(np.zeros(0, dtype=np.int64))
-    return out
+FURTHER, FREQUENT, SENT = 2, 16, 200_000
+# Tokens of a set that are counted: one and a half times its prefix, or so many. Tokens in a part of a leader's group.
+COUNTED, PART = 24, 1_000_000
+NAMES = [f"p{k}" for k in range(FURTHER + 1)]
 
 
 def needed(n):
@@ -92,223 +47,305 @@ def linked(shared, a, b):
     return 100 * shared >= LEAST * (a + b - shared)
 
 
-def _prefix_size(n: str) -> str:
-    return f"({n} - ({n} * {LEAST} + 99) div 100 + 1)"
+def offsets(sizes: np.ndarray) -> np.ndarray:
+    return np.r_[0, np.cumsum(sizes)]
 
 
-def _sets(docs: DataFrame, words: int, seed: int) -> DataFrame:
-    """``doc_id``, ``node`` and ``proof`` (two digests of the set), ``n``, ``tokens`` of every row."""
+def lists(values: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(bounds.astype(np.int32), values)
 
-    def run(part, texts):
-        own = token_sets(texts, words)
-        data = [x.tobytes() for x in own]
-        digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x, seed) for x in data), dtype="<i8").reshape(-1, 2)
-        offsets = np.cumsum([0, *map(len, own)]).astype(np.int32)
-        return part.column(0), digests[:, 0], digests[:, 1], np.diff(offsets), pa.ListArray.from_arrays(offsets, np.concatenate(own))
 
-    return common.by_slice(common.id_text(docs), run, "doc_id long, node long, proof long, n int, tokens array<long>")
+def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of lists one after the other, and the lists' sizes."""
+    return column.flatten().to_numpy(), np.diff(column.offsets.to_numpy()).astype(np.int64)
 
 
-def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent tokens in rising order, at most about ``SENT``, and for each the power of two of its count."""
-    first = F.expr(f"explode(slice(tokens, 1, greatest({COUNTED}, 2 * {_prefix_size('n')})))")
-    counts = sets.where(F.col("n") > 0).select(first.alias("token")).groupBy("token").count().where(F.col("count") >= FREQUENT)
-    counts = common.cut(counts.select("token", F.floor(F.log2("count")).cast("int").alias("power")), "frequent")
-    quota, wanted = SENT, F.lit(False)
-    for power, count in sorted(((r["power"], r["count"]) for r in counts.groupBy("power").count().collect()), reverse=True):
-        if count > quota:  # of the last power those that come first in the order
-            wanted |= (F.col("power") == power) & (F.col("token") < int(-(2**63) + 2**64 * (quota / count)))
-            break
-        wanted |= F.col("power") == power
-        quota -= count
-    rows = counts.where(wanted).toArrow()
-    token, power = rows.column(0).to_numpy(), rows.column(1).to_numpy()
-    order = np.argsort(token)
-    return token[order], power[order]
+def first_of(rank: np.ndarray, sizes: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of sets one after the other as many tokens as their prefixes have, by rank, then as they lie; their bounds."""
+    own = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((rank, own))  # sets stay where they are
+    keep = np.arange(len(own)) - offsets(sizes)[own] < (sizes - needed(sizes) + 1)[own]
+    return tokens[order][keep], offsets(np.bincount(own[keep], minlength=len(sizes)))
 
 
-class Order:
-    """The first order: by the power of a token's count if it is known as frequent, then by hash."""
+class Orders:
+    """The global orders: by the power of two of a token's count if it is known as frequent, then by hash; and
+    hash orders."""
 
     def __init__(self, token: np.ndarray, power: np.ndarray):
         self.token, self.power = token, power
-        self.rough = np.zeros(1 << 20, dtype=bool)
-        self.rough[token.view(U) >> U(44)] = True
+        self.rough = np.zeros(1 << 22, dtype=bool)
+        self.rough[token.view(U) >> U(42)] = True
 
     def powers(self, tokens: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(tokens), dtype=np.int64)
-        at = np.flatnonzero(self.rough[tokens.view(U) >> U(44)])
+        out = np.zeros(len(tokens), dtype=np.int8)
+        at = np.flatnonzero(self.rough[tokens.view(U) >> U(42)])
         if len(at):
             place = np.minimum(np.searchsorted(self.token, tokens[at]), len(self.token) - 1)
             out[at] = np.where(self.token[place] == tokens[at], self.power[place], 0)
         return out
 
-    def prefixes(self, tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The prefix tokens of sets that lie one after the other, and the place of each one's set."""
-        return first_of(self.powers(tokens), sizes, tokens)
+    def prefixes(self, tokens: np.ndarray, sizes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each order the prefixes of the sets, and their bounds."""
+        ranks = [self.powers(tokens), *(mixed(tokens.view(U) + FACTORS[k]) for k in range(FURTHER))]
+        return [first_of(rank, sizes, tokens) for rank in ranks]
 
 
-def first_of(rank: np.ndarray, sizes: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each set as many tokens as its prefix has, by rank, then as they lie; with the place of their set."""
-    own = np.repeat(np.arange(len(sizes)), sizes)
-    order = np.lexsort((rank, own))
-    starts = np.cumsum(sizes) - sizes
-    keep = np.arange(len(own)) - starts[own] < (sizes - needed(sizes) + 1)[own]  # sorting leaves sets where they are
-    return tokens[order][keep], own[keep]
+def _counted(docs: DataFrame, words: int) -> DataFrame:
+    """``token``: of every text those first by hash."""
 
+    def run(part, texts):
+        tokens, sizes = token_sets(texts, words)
+        own = np.repeat(np.arange(len(sizes)), sizes)
+        most = np.maximum(COUNTED, 3 * (sizes - needed(sizes) + 1) // 2)
+        return (pa.array(tokens[np.arange(len(own)) - offsets(sizes)[own] < most[own]]),)
 
-def further_ranks(tokens: np.ndarray, k: int) -> np.ndarray:
-    """Places of tokens in the k-th further order."""
-    return mixed(tokens.view(U) + FACTORS[k] * np.arange(1, 2, dtype=U)).view(np.int64)
+    return common.by_slice(common.id_text(docs), run, "token long")
 
 
-def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    return column.flatten().to_numpy(), np.diff(column.offsets.to_numpy()).astype(np.int64)
+def _frequent(docs: DataFrame, words: int) -> Orders:
+    """Orders that know the frequent tokens, at most about ``SENT``."""
+    counts = _counted(docs, words).groupBy("token").count().where(F.col("count") >= FREQUENT)
+    counts = common.cut(counts.select("token", F.floor(F.log2("count")).cast("byte").alias("power")), "frequent")
+    quota, wanted = SENT, F.lit(False)
+    for power, count in sorted(((r["power"], r["count"]) for r in counts.groupBy("power").count().collect()), reverse=True):
+        if count > quota:  # of the last power those that come first in the order
+            wanted |= (F.col("power") == power) & (F.col("token") < int(-(2**63) + 2**64 * (quota / count)))
+            break
+        wanted |= F.col("power") == power
+        quota -= count
+    rows = counts.where(wanted).toArrow()
+    token, power = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+    order = np.argsort(token)
+    return Orders(token[order], power[order])
 
 
-def _prefix_rows(sets: DataFrame, order: Order) -> DataFrame:
-    sent = sets.sparkSession.sparkContext.broadcast(order)
+def digests(tokens: np.ndarray, sizes: np.ndarray, seed: int) -> np.ndarray:
+    """Two numbers for each set."""
+    data, bounds = tokens.tobytes(), (8 * offsets(sizes)).tolist()
+    return np.frombuffer(b"".join(xxhash.xxh3_128_digest(data[a:b], seed) for a, b in zip(bounds, bounds[1:], strict=False)), dtype="<i8").reshape(-1, 2)
 
-    def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                # Copies within the part count once.
-                part = part.take(np.unique(part.column(0).to_numpy(), return_index=True)[1])
-                node, (tokens, sizes) = part.column(0).to_numpy(), _flat(part.column(1))
-                token, own = sent.value.prefixes(tokens, sizes)
-                yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(node[own]), pa.array(sizes[own])], names=["token", "node", "n"])
 
-    # A set of k tokens has no partner but itself if k + 1 tokens need more than k.
-    small = next(k for k in range(1, 1000) if linked(k, k, k + 1))
-    return sets.where(F.col("n") >= small).select("node", "tokens").mapInArrow(run, "token long, node long, n long")
+def _sets(docs: DataFrame, orders: Orders, words: int, seed: int) -> DataFrame:
+    """``doc_id``, ``node`` and ``proof`` (two digests of the set), ``n`` and the prefixes of every row: of the
+    first order as tokens, of the others 16 bits of each, enough to tell that nothing is common."""
+    sent = docs.sparkSession.sparkContext.broadcast(orders)
 
+    def run(part, texts):
+        tokens, sizes = token_sets(texts, words)
+        (first, ends), *further = sent.value.prefixes(tokens, sizes)
+        node, proof = digests(tokens, sizes, seed).T
+        return part.column(0), np.ascontiguousarray(node), np.ascontiguousarray(proof), sizes, lists(first, ends), *(lists(x.astype(np.int16), e) for x, e in further)
 
-def _one_each(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The tokens of ``nodes``, once each. A bitmap of at most 8 MB first thins out what has to be joined."""
-    power = min(26, max(10, (16 * nodes.count()).bit_length()))
-    slot = F.shiftrightunsigned("node", 64 - power)
-    words = nodes.withColumn("slot", slot).selectExpr("shiftright(slot, 6) AS word", "shiftleft(1L, int(slot & 63)) AS bits")
-    rows = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    bitmap = np.zeros(1 << (power - 6), dtype=np.int64)
-    bitmap[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
-    sent = sets.sparkSession.sparkContext.broadcast(bitmap.view(U))
+    further = ", ".join(f"{x} array<short>" for x in NAMES[1:])
+    return common.by_slice(common.id_text(docs), run, f"doc_id long, node long, proof long, n long, {NAMES[0]} array<long>, {further}")
 
-    def run(batches):
-        for batch in batches:
-            at = batch.column(0).to_numpy().view(U) >> U(64 - power)
-            yield batch.filter(pa.array((sent.value[at >> U(6)] >> (at & U(63)) & U(1)).astype(bool)))
 
-    return sets.select("node", "tokens").mapInArrow(run, "node long, tokens array<long>").join(nodes, "node", "left_semi").dropDuplicates(["node"])
+class Bitmap:
+    """Tells which hashes surely are not among those of a column: 16 bits for each, but 8 MB at most."""
+
+    def __init__(self, hashes: DataFrame):
+        column = F.col(hashes.columns[0])
+        self.power = min(26, max(10, (16 * hashes.count()).bit_length()))
+        slots = hashes.select(F.shiftrightunsigned(column, 64 - self.power).alias("slot"))
+        words = slots.selectExpr("shiftright(slot, 6) AS word", "shiftleft(1L, int(slot & 63)) AS bits").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+        rows = words.toArrow()
+        self.words = np.zeros(1 << (self.power - 6), dtype=np.int64)
+        self.words[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        at = hashes.view(U) >> U(64 - self.power)
+        return (self.words[at >> U(6)].view(U) >> (at & U(63)) & U(1)).astype(bool)
+
+    def thinned(self, rows: DataFrame, column: str) -> DataFrame:
+        """The rows that may have one of the hashes."""
+        sent, place = rows.sparkSession.sparkContext.broadcast(self), rows.columns.index(column)
+
+        def run(batches):
+            for batch in batches:
+                yield batch.filter(pa.array(sent.value.has(batch.column(place).to_numpy())))
+
+        return rows.mapInArrow(run, rows.schema)
 
 
 class Index:
-    """Sets of a task side by side: their tokens as small numbers, and a prefix under every order."""
-
-    def __init__(self, tokens: np.ndarray, sizes: np.ndarray, order: Order):
-        self.sizes = sizes
-        self.starts = np.r_[0, np.cumsum(sizes)]
-        known, self.ids = np.unique(tokens, return_inverse=True)
-        ranks = [order.powers(tokens), *(further_ranks(tokens, k) for k in range(FURTHER))]
-        self.prefixes = []
-        for rank in ranks:
-            found, own = first_of(rank, sizes, self.ids)
-            self.prefixes.append((found, np.r_[0, np.cumsum(np.bincount(own, minlength=len(sizes)))]))
+    """Sets of a task side by side, by their prefixes under every order, and as a whole once ``tokens`` are given."""
+
+    def __init__(self, sizes: np.ndarray, prefixes: list[tuple[np.ndarray, np.ndarray]], tokens: np.ndarray | None = None):
+        self.sizes, self.prefixes = sizes, [(x.astype(np.int16).view(np.uint16), b) for x, b in prefixes]
         first, bounds = self.prefixes[0]
-        holder = np.repeat(np.arange(len(sizes)), np.diff(bounds))
         by = np.argsort(first, kind="stable")
-        self.holders, self.lists = holder[by], np.searchsorted(first[by], np.arange(len(known) + 1))
-        self.mask = np.zeros(len(known), dtype=bool)
-
-    def shared(self, own: np.ndarray, values: np.ndarray, bounds: np.ndarray, others: np.ndarray) -> np.ndarray:
-        """How many of the tokens ``own`` each of the others has among its values."""
+        self.holders = np.repeat(np.arange(len(sizes)), np.diff(bounds))[by]
+        self.lists = np.searchsorted(first[by], np.arange((1 << 16) + 1))
+        self.mask = np.zeros(1 << 16, dtype=bool)
+        if tokens is not None:
+            known, self.ids = np.unique(tokens, return_inverse=True)
+            self.starts, self.all = offsets(sizes), np.zeros(len(known), dtype=bool)
+
+    @staticmethod
+    def shared(mask: np.ndarray, own: np.ndarray, values: np.ndarray, bounds: np.ndarray, others: np.ndarray) -> np.ndarray:
+        """How many of the values ``own`` each of the others has among its own."""
         counts = bounds[others + 1] - bounds[others]
-        offsets = np.cumsum(counts) - counts
-        at = np.arange(int(counts.sum())) + np.repeat(bounds[others] - offsets, counts)
-        self.mask[own] = True
-        out = np.add.reduceat(self.mask[values[at]], offsets, dtype=np.int64)
-        self.mask[own] = False
+        before = np.cumsum(counts) - counts
+        at = np.arange(int(counts.sum())) + np.repeat(bounds[others] - before, counts)
+        mask[own] = True
+        out = np.add.reduceat(mask[values[at]], before, dtype=np.int64)
+        mask[own] = False
         return out
 
-    def partners(self, k: int, allowed: np.ndarray) -> np.ndarray:
-        """The allowed sets that link with the k-th one."""
+    def candidates(self, k: int, allowed: np.ndarray) -> np.ndarray:
+        """The allowed sets that pass every filter with the k-th one."""
         first, bounds = self.prefixes[0]
-        lists = [self.holders[self.lists[t] : self.lists[t + 1]] for t in first[bounds[k] : bounds[k + 1]].tolist()]
         seen = np.zeros(len(self.sizes), dtype=bool)
-        for x in lists:
-            seen[x] = True
-        others = np.flatnonzero(seen & allowed)
-        n = self.sizes[k]
+        for t in first[bounds[k] : bounds[k + 1]].tolist():
+            seen[self.holders[self.lists[t] : self.lists[t + 1]]] = True
+        others, n = np.flatnonzero(seen & allowed), self.sizes[k]
         others = others[100 * np.minimum(self.sizes[others], n) >= LEAST * np.maximum(self.sizes[others], n)]
         for values, bounds in self.prefixes[1:]:
-            if not len(others):
-                return others
-            others = others[self.shared(values[bounds[k] : bounds[k + 1]], values, bounds, others) > 0]
+            if len(others):
+                others = others[self.shared(self.mask, values[bounds[k] : bounds[k + 1]], values, bounds, others) > 0]
+        return others
+
+    def partners(self, k: int, allowed: np.ndarray) -> np.ndarray:
+        """The allowed sets that link with the k-th one."""
+        others = self.candidates(k, allowed)
         if not len(others):
             return others
-        both = self.shared(self.ids[self.starts[k] : self.starts[k + 1]], self.ids, self.starts, others)
-        return others[linked(both, self.sizes[others], n)]
+        both = self.shared(self.all, self.ids[self.starts[k] : self.starts[k + 1]], self.ids, self.starts, others)
+        return others[linked(both, self.sizes[others], self.sizes[k])]
+
+
+def _later(k: int, side: np.ndarray | None, n: int) -> np.ndarray:
+    """The sets behind the k-th one; with ``side``, those of the other side only."""
+    allowed = np.ones(n, dtype=bool) if side is None else side != side[k]
+    allowed[: k + 1] = False
+    return allowed
+
+
+def hopeful(index: Index, side: np.ndarray | None = None) -> np.ndarray:
+    """Which sets pass every filter with another one."""
+    found = np.zeros(len(index.sizes), dtype=bool)
+    for k in range(len(found)):
+        allowed = _later(k, side, len(found))
+        if found[k]:
+            allowed &= ~found
+        others = index.candidates(k, allowed)
+        found[others] = True
+        found[k] |= len(others) > 0
+    return found
 
 
 def forest(index: Index, side: np.ndarray | None = None) -> np.ndarray:
-    """For each set the first one of its component over the links; with ``side``, those between the sides only."""
+    """For each set the first one of its component over the links; with ``side``, over those between the sides."""
     label = np.arange(len(index.sizes))
     for k in range(len(label)):
-        allowed = label != label[k]
-        allowed[: k + 1] = False
-        if side is not None:
-            allowed &= side != side[k]
-        found = np.unique(label[index.partners(k, allowed)])
+        found = np.unique(label[index.partners(k, _later(k, side, len(label)) & (label != label[k]))])
         if len(found):
             label[np.isin(label, found) | (label == label[k])] = min(label[k], found[0])
     return label
 
 
-def _forests(tasks: DataFrame, order: Order) -> DataFrame:
-    """``a``, ``b``: what connects the sets that link within each (leader, u, v) of rows in that order."""
-    sent = tasks.sparkSession.sparkContext.broadcast(order)
+TASK = ["leader", "u", "v"]
 
-    def links(rows: pa.Table) -> pa.RecordBatch:
-        rows = rows.sort_by("node").combine_chunks()
-        node, own = rows.column("node").to_numpy(), rows.column("own").to_numpy()
-        u, v = rows.column("u")[0].as_py(), rows.column("v")[0].as_py()
-        index = Index(*_flat(rows.column("tokens").combine_chunks()), sent.value)
-        label = forest(index, None if u == v else own == u)
-        at = np.flatnonzero(label != np.arange(len(label)))
-        return pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[label[at]])], names=["a", "b"])
+
+def _by_task(rows: DataFrame, fn, schema: str) -> DataFrame:
+    """``fn`` of the rows of each (leader, u, v), sorted by node, as a table."""
 
     def run(batches):
-        held = []  # the rows of one task so far
+        held, key = [], None
         for batch in batches:
             keys = np.stack([batch.column(k).to_numpy() for k in range(3)])
             cuts = np.r_[0, np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1, batch.num_rows].tolist()
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                if held and held[0][0] != tuple(keys[:, a].tolist()):
-                    yield links(pa.Table.from_batches([x for _, x in held]))
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if held and key != tuple(keys[:, a].tolist()):
+                    yield fn(pa.Table.from_batches(held).sort_by("node").combine_chunks())
                     held = []
-                held.append((tuple(keys[:, a].tolist()), batch.slice(a, b - a)))
+                key = tuple(keys[:, a].tolist())
+                held.append(batch.slice(a, b - a))
         if held:
-            yield links(pa.Table.from_batches([x for _, x in held]))
+            yield fn(pa.Table.from_batches(held).sort_by("node").combine_chunks())
 
-    return tasks.mapInArrow(run, "a long, b long").distinct()
+    return rows.repartition(*TASK).sortWithinPartitions(*TASK).mapInArrow(run, schema)
 
 
-def components(sets: DataFrame) -> DataFrame:
-    """``node``, ``root``: for every set that is not the smallest node of its component, the one that is."""
-    order = Order(*_frequent(sets))
-    prefixes = common.cut(_prefix_rows(sets, order), "prefixes")
-    shared = prefixes.groupBy("token").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last")
-    members = common.cut(prefixes.join(shared.select("token", "leader"), "token").select("leader", "node", "n").distinct(), "members")
+def _side(rows: pa.Table) -> np.ndarray | None:
+    u, v = rows.column("u")[0].as_py(), rows.column("v")[0].as_py()
+    return None if u == v else rows.column("own").to_numpy() == u
+
+
+def _hopeful(tasks: DataFrame) -> DataFrame:
+    def run(rows: pa.Table) -> pa.RecordBatch:
+        prefixes = [flat(rows.column(x).combine_chunks()) for x in NAMES]
+        index = Index(rows.column("n").to_numpy(), [(x, offsets(s)) for x, s in prefixes])
+        kept = rows.select([*TASK, "own", "node"]).filter(pa.array(hopeful(index, _side(rows))))
+        return kept.combine_chunks().to_batches()[0] if kept.num_rows else pa.RecordBatch.from_pylist([], kept.schema)
+
+    return _by_task(tasks.select(*TASK, "own", "node", "n", *NAMES), run, "leader long, u int, v int, own int, node long")
+
+
+def _forests(tasks: DataFrame, orders: Orders) -> DataFrame:
+    """``a``, ``b``: what connects the sets that link within each task."""
+    sent = tasks.sparkSession.sparkContext.broadcast(orders)
+
+    def run(rows: pa.Table) -> pa.RecordBatch:
+        node, (tokens, sizes) = rows.column("node").to_numpy(), flat(rows.column("tokens").combine_chunks())
+        label = forest(Index(sizes, sent.value.prefixes(tokens, sizes), tokens), _side(rows))
+        at = np.flatnonzero(label != np.arange(len(label)))
+        return pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[label[at]])], names=["a", "b"])
+
+    return _by_task(tasks.select(*TASK, "own", "node", "tokens"), run, "a long, b long").distinct()
+
+
+def _candidates(sets: DataFrame) -> DataFrame:
+    """The rows (leader, u, v, own, node) of sets that pass every filter with another one of their task."""
+    # A set of k tokens has no partner but itself if k + 1 tokens need more than k.
+    small = next(k for k in range(1, 1000) if linked(k, k, k + 1))
+    some = sets.where(F.col("doc_id").isNotNull() & (F.col("n") >= small))
+    tokens = some.select(F.explode(NAMES[0]).alias("token"), "node", "n")
+    shared = tokens.groupBy("token").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last")
+    shared = common.cut(shared.select("token", "leader"), "shared")
+    held = Bitmap(shared.select("token")).thinned(tokens, "token")
+    members = common.cut(held.join(shared, "token").select("leader", "node", "n").distinct(), "members")
     large = members.groupBy("leader").agg(F.sum("n").alias("total")).where(F.col("total") > PART)
     large = large.select("leader", F.ceil(F.col("total") / PART).cast("int").alias("parts"))
     dealt = members.join(large, "leader", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.select("leader", F.least("own", "other").alias("u"), F.greatest("own", "other").alias("v"), "own", "node")
-    wanted = common.cut(_one_each(sets, members.select("node").distinct()), "wanted")
-    by = ["leader", "u", "v"]
-    tasks = dealt.join(wanted, "node").repartition(*by).sortWithinPartitions(*by).select(*by, "own", "node", "tokens")
-    return common.components(_forests(tasks, order), "components")
+    nodes = members.select("node").distinct()
+    short = [F.col(NAMES[0]), *NAMES[1:]]
+    prefixes = Bitmap(nodes).thinned(some.select("node", "n", *short), "node")
+    prefixes = prefixes.withColumn(NAMES[0], _low_bits(NAMES[0])).join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    return common.cut(_hopeful(dealt.join(prefixes, "node")), "hopeful")
+
+
+def _low_bits(name: str) -> Column:
+    """The lowest 16 bits of an array's longs, as numpy takes them."""
+    return F.expr(f"transform({name}, x -> cast(((x & 65535) ^ 32768) - 32768 AS short))")
+
+
+def _whole(docs: DataFrame, sets: DataFrame, nodes: DataFrame, words: int, seed: int) -> DataFrame:
+    """``node``, ``tokens`` of ``nodes``, from the text of one document of each."""
+    holders = sets.where("doc_id IS NOT NULL").select("doc_id", "node").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    sent = docs.sparkSession.sparkContext.broadcast(Bitmap(holders.select(F.xxhash64("doc_id").alias("h"))))
+
+    def run(part, texts):
+        kept = np.flatnonzero(sent.value.has(part.column(2).to_numpy())).tolist()
+        if not kept:
+            return None
+        tokens, sizes = token_sets([texts[k] for k in kept], words)
+        return np.ascontiguousarray(digests(tokens, sizes, seed)[:, 0]), lists(tokens, offsets(sizes))
+
+    rows = common.id_text(docs).where("doc_id IS NOT NULL").withColumn("h", F.xxhash64("doc_id"))
+    return common.by_slice(rows, run, "node long, tokens array<long>").join(nodes, "node", "left_semi").dropDuplicates(["node"])
+
+
+def components(docs: DataFrame, sets: DataFrame, orders: Orders, words: int = WORDS, seed: int = 0) -> DataFrame:
+    """``node``, ``root``: for every set that is not the smallest node of its component, the one that is."""
+    tasks = _candidates(sets)
+    nodes = common.cut(tasks.select("node").distinct(), "nodes")
+    whole = _whole(docs, sets, nodes, words, seed)
+    return common.components(_forests(tasks.join(whole, "node"), orders), "components")
 
 
 def groups(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -320,16 +357,16 @@ def groups(docs: DataFrame, words: int = WORDS) -> DataFrame:
     component of their set, null if no row with an id has it or their set is empty. Very long texts are
     taken whole. An empty table gives no row.
     """
+    orders = _frequent(docs, words)
     for seed in range(8):
-        sets = common.cut(_sets(docs, words, seed), "sets")
-        rows = sets.select("doc_id", "node", "proof", "n")
-        of = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("proof").alias("low"), F.max("proof").alias("high"))
+        sets = common.cut(_sets(docs, orders, words, seed), "sets")
+        of = sets.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("proof").alias("low"), F.max("proof").alias("high"))
         of = common.cut(of, "nodes")
         if of.where("low != high").isEmpty():  # else two sets have one node: digest anew
             break
-    roots = components(sets.where("doc_id IS NOT NULL"))
+    roots = components(docs, sets, orders, words, seed)
     placed = common.cut(of.join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root")), "placed")
     least = placed.groupBy("root").agg(F.min("least_id").alias("component"))
     found = placed.join(least, "root").select("node", "component")
-    out = rows.join(found, "node", "left")
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
+    out = sets.select("doc_id", "node", "n").join(found, "node", "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))

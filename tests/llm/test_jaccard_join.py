@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from brute import SMALL
 
-from editengine.llm import common, jaccardjoin, queries
+from editengine.llm import common, jaccardjoin, queries, wordhash
 
 
 def want(rows):
@@ -107,14 +107,13 @@ def test_prefixes_of_linked_sets_meet_under_every_order():
         both = len(np.intersect1d(a, b))
         if 100 * both < 85 * (len(a) + len(b) - both):
             continue
-        sizes = np.array([len(a), len(b)])
+        sizes, tokens = np.array([len(a), len(b)]), np.r_[a, b]
         some = np.sort(rng.choice(a, len(a) // 2, replace=False))
-        found, own = jaccardjoin.Order(some, rng.integers(4, 20, len(some))).prefixes(np.r_[a, b], sizes)
-        assert set(found[own == 0].tolist()) & set(found[own == 1].tolist())
-        index = jaccardjoin.Index(np.r_[a, b], sizes, jaccardjoin.Order(some, np.ones(len(some))))
-        for values, bounds in index.prefixes:
+        prefixes = jaccardjoin.Orders(some, rng.integers(4, 20, len(some))).prefixes(tokens, sizes)
+        for values, bounds in prefixes:
             assert set(values[: bounds[1]].tolist()) & set(values[bounds[1] :].tolist())
-        assert jaccardjoin.forest(index).tolist() == [0, 0]
+        index = jaccardjoin.Index(sizes, prefixes, tokens)
+        assert jaccardjoin.hopeful(index).all() and jaccardjoin.forest(index).tolist() == [0, 0]
 
 
 def test_a_large_group_of_near_misses_leaves_few_rows(spark):
@@ -133,19 +132,43 @@ def test_a_large_group_of_near_misses_leaves_few_rows(spark):
 
 
 def test_two_sets_with_one_node_are_digested_anew(spark, monkeypatch):
-    real, seeds = jaccardjoin._sets, []
+    real, seeds = jaccardjoin.digests, set()
 
-    def same_nodes(docs, words, seed):
-        seeds.append(seed)
-        out = real(docs, words, seed)
-        return out if seed else out.selectExpr("doc_id", "1L AS node", "proof", "n", "tokens")
+    def same_nodes(tokens, sizes, seed):
+        seeds.add(seed)
+        out = real(tokens, sizes, seed).copy()
+        out[:, 0] = out[:, 0] if seed else 1
+        return out
 
-    monkeypatch.setattr(jaccardjoin, "_sets", same_nodes)
+    monkeypatch.setattr(jaccardjoin, "digests", same_nodes)
     docs = spark.createDataFrame([(1, "a b c d e"), (2, "f g h i j"), (3, "a b c d e")], "doc_id long, text string")
     assert sorted(tuple(r) for r in jaccardjoin.groups(docs).collect()) == [(1, 2, 1), (2, 2, 2), (3, 2, 1)]
-    assert seeds == [0, 1]
 
 
 def test_op11_over_the_small_table(spark):
     rows = [(r["doc_id"], r["text"]) for r in common.table(spark, SMALL, "documents").collect()]
     assert got(queries.op11_prefix_orders(spark, SMALL)) == want(rows)
+
+
+def test_words_and_tokens_of_texts():
+    rng = random.Random(3)
+    alphabet = ["a", "B", "é", "漢", ".", "(", " ", " ", "\t", "\n", "\x0b", "\x85", "\u00a0", "😀"]
+    texts = ["", " ", "a", "x y", "one two three four", ".", "(.)", "(a)"] + ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(300)] + ["z" * 5000 + " end " * 3000]
+    for piece in (wordhash.PIECE, 64):
+        wordhash.PIECE, kept = piece, wordhash.PIECE
+        try:
+            for marks in (b"", b".("):
+                hashes, bounds = wordhash.words(texts, marks)
+                own = [[w.strip(marks.decode()) or w for w in brute.words(t)] for t in texts]
+                assert np.diff(bounds).tolist() == [len(x) for x in own]
+                known = {}
+                for h, w in zip(hashes.tolist(), (w for x in own for w in x), strict=True):
+                    assert known.setdefault(w, h) == h
+                assert len(set(known.values())) == len(known)
+            tokens, sizes = wordhash.token_sets(texts, 4)
+            runs = [{tuple(w[k : k + 4]) for k in range(max(1, len(w) - 3))} if w else set() for w in map(brute.words, texts)]
+            assert sizes.tolist() == [len(x) for x in runs]
+            assert len(set(tokens.tolist())) == len(set().union(*runs))
+        finally:
+            wordhash.PIECE = kept
+    assert [x.size for x in wordhash.token_sets([], 4)] == [0, 0]
