@@ -7,7 +7,8 @@ of both. This holds for every order, so a pair must pass for each of several:
 * The first order brings candidates together. Tokens known to be frequent come last in it, others by hash,
   so what many texts share (a passage, a licence) is in few prefixes. What counts as frequent only decides
   how much work there is, never which links are found.
-* The others are hash orders of their own; a candidate whose prefixes have nothing in common there goes.
+* The others are hash orders of their own, with prefixes longer by m - 1 tokens: linked sets have the first m
+  of their common tokens among those of both, so a candidate with fewer in common there goes.
 
 The sets with one prefix token are gathered under the first of them, their leader: two with a common prefix
 token have a leader in common. Leaders' groups are dealt into parts of bounded size and pairs of parts are the
@@ -60,11 +61,16 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(), np.diff(column.offsets.to_numpy()).astype(np.int64)
 
 
-def first_of(rank: np.ndarray, sizes: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of sets one after the other as many tokens as their prefixes have, by rank, then as they lie; their bounds."""
+def more(sizes):
+    """Common tokens that the longer prefixes of linked sets have at least; of two sets the smaller number counts."""
+    return (sizes - needed(sizes) + 1) // 2 + 1
+
+
+def first_of(rank: np.ndarray, sizes: np.ndarray, tokens: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of sets one after the other so many tokens, by rank, then as they lie; with their bounds."""
     own = np.repeat(np.arange(len(sizes)), sizes)
     order = np.lexsort((rank, own))  # sets stay where they are
-    keep = np.arange(len(own)) - offsets(sizes)[own] < (sizes - needed(sizes) + 1)[own]
+    keep = np.arange(len(own)) - offsets(sizes)[own] < lengths[own]
     return tokens[order][keep], offsets(np.bincount(own[keep], minlength=len(sizes)))
 
 
@@ -87,8 +93,9 @@ class Orders:
 
     def prefixes(self, tokens: np.ndarray, sizes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each order the prefixes of the sets, and their bounds."""
-        ranks = [self.powers(tokens), *(mixed(tokens.view(U) + FACTORS[k]) for k in range(FURTHER))]
-        return [first_of(rank, sizes, tokens) for rank in ranks]
+        least = sizes - needed(sizes)
+        first = first_of(self.powers(tokens), sizes, tokens, least + 1)
+        return [first, *(first_of(mixed(tokens.view(U) + FACTORS[k]), sizes, tokens, least + more(sizes)) for k in range(FURTHER))]
 
 
 def _counted(docs: DataFrame, words: int) -> DataFrame:
@@ -169,115 +176,138 @@ class Bitmap:
 
 
 class Index:
-    """Sets of a task side by side, by their prefixes under every order, and as a whole once ``tokens`` are given."""
+    """Sets side by side, those of a task together: their prefixes under every order, and with ``tokens`` the whole."""
 
     def __init__(self, sizes: np.ndarray, prefixes: list[tuple[np.ndarray, np.ndarray]], tokens: np.ndarray | None = None):
-        self.sizes, self.prefixes = sizes, [(x.astype(np.int16).view(np.uint16), b) for x, b in prefixes]
-        first, bounds = self.prefixes[0]
-        by = np.argsort(first, kind="stable")
-        self.holders = np.repeat(np.arange(len(sizes)), np.diff(bounds))[by]
-        self.lists = np.searchsorted(first[by], np.arange((1 << 16) + 1))
+        self.sizes, self.more = sizes, more(sizes)
+        self.prefixes = [(x.astype(np.int16).view(np.uint16), b) for x, b in prefixes]
         self.mask = np.zeros(1 << 16, dtype=bool)
         if tokens is not None:
             known, self.ids = np.unique(tokens, return_inverse=True)
             self.starts, self.all = offsets(sizes), np.zeros(len(known), dtype=bool)
 
     @staticmethod
-    def shared(mask: np.ndarray, own: np.ndarray, values: np.ndarray, bounds: np.ndarray, others: np.ndarray) -> np.ndarray:
-        """How many of the values ``own`` each of the others has among its own."""
+    def shared(mask: np.ndarray, k: int, values: np.ndarray, bounds: np.ndarray, others: np.ndarray) -> np.ndarray:
+        """How many of the values of the k-th set each of the others has among its own."""
         counts = bounds[others + 1] - bounds[others]
         before = np.cumsum(counts) - counts
         at = np.arange(int(counts.sum())) + np.repeat(bounds[others] - before, counts)
+        own = values[bounds[k] : bounds[k + 1]]
         mask[own] = True
         out = np.add.reduceat(mask[values[at]], before, dtype=np.int64)
         mask[own] = False
         return out
 
-    def candidates(self, k: int, allowed: np.ndarray) -> np.ndarray:
-        """The allowed sets that pass every filter with the k-th one."""
-        first, bounds = self.prefixes[0]
-        seen = np.zeros(len(self.sizes), dtype=bool)
-        for t in first[bounds[k] : bounds[k + 1]].tolist():
-            seen[self.holders[self.lists[t] : self.lists[t + 1]]] = True
-        others, n = np.flatnonzero(seen & allowed), self.sizes[k]
+    def candidates(self, k: int, others: np.ndarray) -> np.ndarray:
+        """Those of the other sets that pass every filter with the k-th one."""
+        n = self.sizes[k]
         others = others[100 * np.minimum(self.sizes[others], n) >= LEAST * np.maximum(self.sizes[others], n)]
-        for values, bounds in self.prefixes[1:]:
-            if len(others):
-                others = others[self.shared(self.mask, values[bounds[k] : bounds[k + 1]], values, bounds, others) > 0]
+        for order, (values, bounds) in enumerate(self.prefixes):
+            if not len(others):
+                break
+            least = np.minimum(self.more[others], self.more[k]) if order else 1
+            others = others[self.shared(self.mask, k, values, bounds, others) >= least]
+        return others
+
+    def partners(self, k: int, others: np.ndarray) -> np.ndarray:
+        """Those of the other sets that link with the k-th one."""
+        others = self.candidates(k, others)
+        if len(others):
+            others = others[linked(self.shared(self.all, k, self.ids, self.starts, others), self.sizes[others], self.sizes[k])]
         return others
 
-    def partners(self, k: int, allowed: np.ndarray) -> np.ndarray:
-        """The allowed sets that link with the k-th one."""
-        others = self.candidates(k, allowed)
-        if not len(others):
-            return others
-        both = self.shared(self.all, self.ids[self.starts[k] : self.starts[k + 1]], self.ids, self.starts, others)
-        return others[linked(both, self.sizes[others], self.sizes[k])]
-
-
-def _later(k: int, side: np.ndarray | None, n: int) -> np.ndarray:
-    """The sets behind the k-th one; with ``side``, those of the other side only."""
-    allowed = np.ones(n, dtype=bool) if side is None else side != side[k]
-    allowed[: k + 1] = False
-    return allowed
-
-
-def hopeful(index: Index, side: np.ndarray | None = None) -> np.ndarray:
-    """Which sets pass every filter with another one."""
-    found = np.zeros(len(index.sizes), dtype=bool)
-    for k in range(len(found)):
-        allowed = _later(k, side, len(found))
-        if found[k]:
-            allowed &= ~found
-        others = index.candidates(k, allowed)
+
+class Holders:
+    """Which sets of a large task have a prefix token of the first order, 16 bits of it."""
+
+    def __init__(self, index: Index, first: int, last: int):
+        values, bounds = index.prefixes[0]
+        own = values[bounds[first] : bounds[last]]
+        by = np.argsort(own, kind="stable")
+        self.holders = np.repeat(np.arange(first, last), np.diff(bounds[first : last + 1]))[by]
+        self.ends = np.searchsorted(own[by], np.arange((1 << 16) + 1))
+        self.index, self.seen, self.first = index, np.zeros(last - first, dtype=bool), first
+
+    def of(self, k: int) -> np.ndarray:
+        values, bounds = self.index.prefixes[0]
+        self.seen[:] = False
+        for t in values[bounds[k] : bounds[k + 1]].tolist():
+            self.seen[self.holders[self.ends[t] : self.ends[t + 1]] - self.first] = True
+        return np.flatnonzero(self.seen) + self.first
+
+
+def _others(index: Index, first: int, last: int, side: np.ndarray | None):
+    """For each set of a task those behind it that may pass; with ``side``, only those of the other side."""
+    holders = Holders(index, first, last) if last - first > 100 else None
+    for k in range(first, last - 1):
+        others = np.arange(k + 1, last) if holders is None else holders.of(k)
+        others = others[others > k]
+        yield k, others if side is None else others[side[others] != side[k]]
+
+
+def hopeful(index: Index, first: int, last: int, side: np.ndarray | None = None) -> np.ndarray:
+    """Which sets of a task pass every filter with another one."""
+    found = np.zeros(last, dtype=bool)
+    for k, others in _others(index, first, last, side):
+        others = index.candidates(k, others[~found[others]] if found[k] else others)
         found[others] = True
         found[k] |= len(others) > 0
-    return found
+    return found[first:]
 
 
-def forest(index: Index, side: np.ndarray | None = None) -> np.ndarray:
-    """For each set the first one of its component over the links; with ``side``, over those between the sides."""
-    label = np.arange(len(index.sizes))
-    for k in range(len(label)):
-        found = np.unique(label[index.partners(k, _later(k, side, len(label)) & (label != label[k]))])
+def forest(index: Index, first: int, last: int, side: np.ndarray | None = None) -> np.ndarray:
+    """For each set of a task the first one of its component over the links; with ``side``, over those between the sides."""
+    label = np.arange(last)
+    for k, others in _others(index, first, last, side):
+        found = np.unique(label[index.partners(k, others[label[others] != label[k]])])
         if len(found):
             label[np.isin(label, found) | (label == label[k])] = min(label[k], found[0])
-    return label
+    return label[first:]
 
 
 TASK = ["leader", "u", "v"]
+AT_ONCE = 8 << 20  # bytes
 
 
 def _by_task(rows: DataFrame, fn, schema: str) -> DataFrame:
-    """``fn`` of the rows of each (leader, u, v), sorted by node, as a table."""
+    """``fn`` of tables that hold the rows of whole (leader, u, v), ``AT_ONCE`` bytes or a little more at a time, in order
+    of node within each."""
+
+    def ordered(held: list) -> pa.Table:
+        return pa.Table.from_batches(held).sort_by([(x, "ascending") for x in (*TASK, "node")]).combine_chunks()
 
     def run(batches):
-        held, key = [], None
+        held, last, count = [], None, 0
         for batch in batches:
             keys = np.stack([batch.column(k).to_numpy() for k in range(3)])
-            cuts = np.r_[0, np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1, batch.num_rows].tolist()
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
             for a, b in zip(cuts, cuts[1:], strict=False):
-                if held and key != tuple(keys[:, a].tolist()):
-                    yield fn(pa.Table.from_batches(held).sort_by("node").combine_chunks())
-                    held = []
                 key = tuple(keys[:, a].tolist())
+                if count >= AT_ONCE and key != last:
+                    yield fn(ordered(held))
+                    held, count = [], 0
                 held.append(batch.slice(a, b - a))
+                last, count = key, count + held[-1].nbytes
         if held:
-            yield fn(pa.Table.from_batches(held).sort_by("node").combine_chunks())
+            yield fn(ordered(held))
 
     return rows.repartition(*TASK).sortWithinPartitions(*TASK).mapInArrow(run, schema)
 
 
-def _side(rows: pa.Table) -> np.ndarray | None:
-    u, v = rows.column("u")[0].as_py(), rows.column("v")[0].as_py()
-    return None if u == v else rows.column("own").to_numpy() == u
+def _tasks(rows: pa.Table):
+    """Where each task of a table begins and ends, and which rows are of its first side if it has two."""
+    leader, u, v, own = (rows.column(x).to_numpy() for x in (*TASK, "own"))
+    cuts = np.flatnonzero((leader[1:] != leader[:-1]) | (u[1:] != u[:-1]) | (v[1:] != v[:-1])) + 1
+    for first, last in zip([0, *cuts.tolist()], [*cuts.tolist(), len(leader)], strict=True):
+        yield first, last, None if u[first] == v[first] else own == u
 
 
 def _hopeful(tasks: DataFrame) -> DataFrame:
     def run(rows: pa.Table) -> pa.RecordBatch:
         prefixes = [flat(rows.column(x).combine_chunks()) for x in NAMES]
         index = Index(rows.column("n").to_numpy(), [(x, offsets(s)) for x, s in prefixes])
-        kept = rows.select([*TASK, "own", "node"]).filter(pa.array(hopeful(index, _side(rows))))
+        found = np.concatenate([hopeful(index, *task) for task in _tasks(rows)])
+        kept = rows.select([*TASK, "own", "node"]).filter(pa.array(found))
         return kept.combine_chunks().to_batches()[0] if kept.num_rows else pa.RecordBatch.from_pylist([], kept.schema)
 
     return _by_task(tasks.select(*TASK, "own", "node", "n", *NAMES), run, "leader long, u int, v int, own int, node long")
@@ -289,7 +319,8 @@ def _forests(tasks: DataFrame, orders: Orders) -> DataFrame:
 
     def run(rows: pa.Table) -> pa.RecordBatch:
         node, (tokens, sizes) = rows.column("node").to_numpy(), flat(rows.column("tokens").combine_chunks())
-        label = forest(Index(sizes, sent.value.prefixes(tokens, sizes), tokens), _side(rows))
+        index = Index(sizes, sent.value.prefixes(tokens, sizes), tokens)
+        label = np.concatenate([forest(index, *task) for task in _tasks(rows)])
         at = np.flatnonzero(label != np.arange(len(label)))
         return pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[label[at]])], names=["a", "b"])
 

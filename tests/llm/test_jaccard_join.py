@@ -110,10 +110,11 @@ def test_prefixes_of_linked_sets_meet_under_every_order():
         sizes, tokens = np.array([len(a), len(b)]), np.r_[a, b]
         some = np.sort(rng.choice(a, len(a) // 2, replace=False))
         prefixes = jaccardjoin.Orders(some, rng.integers(4, 20, len(some))).prefixes(tokens, sizes)
-        for values, bounds in prefixes:
-            assert set(values[: bounds[1]].tolist()) & set(values[bounds[1] :].tolist())
+        for order, (values, bounds) in enumerate(prefixes):
+            least = min(jaccardjoin.more(sizes)) if order else 1
+            assert len(set(values[: bounds[1]].tolist()) & set(values[bounds[1] :].tolist())) >= least
         index = jaccardjoin.Index(sizes, prefixes, tokens)
-        assert jaccardjoin.hopeful(index).all() and jaccardjoin.forest(index).tolist() == [0, 0]
+        assert jaccardjoin.hopeful(index, 0, 2).all() and jaccardjoin.forest(index, 0, 2).tolist() == [0, 0]
 
 
 def test_a_large_group_of_near_misses_leaves_few_rows(spark):
