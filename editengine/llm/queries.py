@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from editengine.session import prepare, shared_dir
 
-from . import anngraph, decontam, hmm, jaccardjoin, langid, linededup, packing, quality, simhash, suffixdedup, tokenstore
+from . import anngraph, decontam, hmm, jaccardjoin, langid, linededup, packing, quality, simhash, spelling, suffixdedup, tokenstore, whitening
 from .common import crc_rest, table
 
 
@@ -83,6 +83,16 @@ def op11_prefix_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccardjoin.groups(table(spark, sf_dir, "documents"))
 
 
+def op12_bloom_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_polarised_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_subword_language": op1_subword_language,
     "op2_line_store": op2_line_store,
@@ -95,4 +105,6 @@ QUERIES = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_simhash_trie": op10_simhash_trie,
     "op11_prefix_orders": op11_prefix_orders,
+    "op12_bloom_variants": op12_bloom_variants,
+    "op13_polarised_whitening": op13_polarised_whitening,
 }
