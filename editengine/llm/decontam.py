@@ -3,44 +3,28 @@
 A window has as many words as an item; a document with fewer words is one window. Similarity is that of the weighted five-word shingles: the sum of
 smaller weights over the sum of larger ones, a shingle's weight being how often it occurs. A window that
 reaches ``LEAST`` shares a known number of shingles with the item, so only windows with so many shingles
-of any item are fingerprinted at all; this passes over no match. Fingerprints are cut into one block more
-than the radius, so two within the radius agree in a block, and the index looks up equal blocks. What it
-finds is verified on the shingles themselves.
+of any item are fingerprinted at all; this passes over no match. Fingerprints are cut into four blocks: two within
+the radius differ by a quarter of it at most in one of them, and the index goes to the block values that near. What
+it finds is verified on the shingles themselves.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import common
+from . import common, wordhash
 
-SHINGLE, LEAST, RADIUS = 5, 0.8, 24
-ITEM_BYTES, MEMO = 16 << 20, 800_000
+SHINGLE, LEAST, RADIUS = 5, 0.8, 23
+# Item text sent to tasks at a time; queries looked up at a time; values of a block from which on bits are flipped.
+ITEM_BYTES, AT_ONCE, CHANGES = 16 << 20, 256, 6885
 EDGE = b".,;:!?\"'()[]{}*"
 U = np.uint64
-FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], dtype=U)
-
-
-class Words(dict):
-    """Hashes of words without the marks around them; a word that is all marks stays as it is."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > MEMO:
-            for old in list(islice(reversed(self), MEMO // 2)):  # what came first is the most frequent
-                del self[old]
-        found = self[word] = xxhash.xxh3_64_intdigest(word.strip(EDGE) or word)
-        return found
-
-
-# Of this Python worker, kept from task to task.
-SEEN = Words()
+FACTORS = wordhash.FACTORS
 
 
 def shingles(words: np.ndarray) -> np.ndarray:
@@ -63,39 +47,63 @@ def simhash(hashes: np.ndarray) -> np.ndarray:
 
 
 class MultiIndex:
-    """Finds all of its fingerprints within the radius of a query: they share one of ``radius + 1`` blocks."""
+    """Finds all of its fingerprints within the radius of a query.
+
+    Two within the radius differ in at most a quarter of it in one of four blocks of 16 bits. In each block the
+    index goes to the values that lie so near to the query's: by flipping bits of the query where that is fewer
+    look-ups than there are values, else by comparing the values.
+    """
+
+    BLOCK = 16
 
     def __init__(self, values: np.ndarray, radius: int = RADIUS):
-        self.values, self.radius = values, radius
-        edges = np.linspace(0, 64, radius + 2).astype(int)
-        self.blocks = [(U(a), (U(1) << U(b - a)) - U(1)) for a, b in zip(edges[:-1], edges[1:], strict=True) if b > a]
-        parts = [(values >> a) & m for a, m in self.blocks]
+        self.values, self.radius, self.flips = values, radius, radius // 4
+        parts = [((values >> U(k * self.BLOCK)) & U(0xFFFF)).astype(np.uint16) for k in range(4)]
         self.order = [np.argsort(x, kind="stable") for x in parts]
-        self.parts = [x[o] for x, o in zip(parts, self.order, strict=True)]
+        self.known = [np.unique(x, return_counts=True) for x in parts]
+        self.met = 0  # fingerprints compared so far
+
+    def blocks(self) -> np.ndarray:
+        """All changes of a block by as many bits as may differ."""
+        every = np.arange(1 << self.BLOCK, dtype=np.uint16)
+        return every[np.bitwise_count(every) <= self.flips]
 
     def near(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (place of the query, place of the fingerprint) within the radius, each once."""
-        pairs = []
-        for (a, m), order, part in zip(self.blocks, self.order, self.parts, strict=True):
-            own = (queries >> a) & m
-            lo, hi = np.searchsorted(part, own, "left"), np.searchsorted(part, own, "right")
-            q = np.repeat(np.arange(len(queries)), hi - lo)
-            at = np.arange(len(q)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)
-            v = order[at]
-            close = np.bitwise_count(queries[q] ^ self.values[v]) <= self.radius
-            pairs.append(q[close] * len(self.values) + v[close])
+        pairs, n = [np.zeros(0, dtype=np.int64)], len(self.values)
+        for k, (order, (known, counts)) in enumerate(zip(self.order, self.known, strict=True)):
+            own = ((queries >> U(k * self.BLOCK)) & U(0xFFFF)).astype(np.uint16)
+            changes = self.blocks() if n > 4 * CHANGES else None
+            ends = np.cumsum(counts)
+            for start in range(0, len(own), AT_ONCE):
+                part = own[start : start + AT_ONCE]
+                if changes is None or len(changes) >= len(known):
+                    q, at = np.nonzero(np.bitwise_count(part[:, None] ^ known) <= self.flips)
+                else:
+                    wanted = part[:, None] ^ changes
+                    place = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+                    q, column = np.nonzero(known[place] == wanted)
+                    at = place[q, column]
+                size = counts[at]
+                q = np.repeat(q + start, size)
+                within = np.arange(len(q)) - np.repeat(np.cumsum(size) - size, size)
+                v = order[np.repeat(ends[at] - size, size) + within]
+                self.met += len(v)
+                close = np.bitwise_count(queries[q] ^ self.values[v]) <= self.radius
+                pairs.append(q[close] * n + v[close])
         both = np.unique(np.concatenate(pairs))
-        return both // len(self.values), both % len(self.values)
+        return both // n, both % n
 
 
 class Items:
     """Benchmark items by their number of words. Items without a word match nothing."""
 
     def __init__(self, rows: list[tuple[int, str]], least: float = LEAST, radius: int = RADIUS):
-        self.least, memo = least, Words()
+        self.least = least
         by: dict[int, list] = {}
-        for item_id, text in rows:
-            words = np.array([memo[w] for w in (text or "").encode().lower().split()], dtype=U)
+        hashes, bounds = wordhash.words([text or "" for _, text in rows], EDGE)
+        for (item_id, _), start, stop in zip(rows, bounds.tolist(), bounds.tolist()[1:], strict=False):
+            words = hashes[start:stop]
             if len(words):
                 by.setdefault(len(words), []).append((item_id, shingles(words)))
         self.sizes = []
@@ -193,16 +201,18 @@ def _groups(items: DataFrame) -> list[DataFrame]:
     return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k) for k in range(parts)]
 
 
-def _words(text: str) -> np.ndarray:
-    own = text.encode().lower().split()  # bytes: ASCII letters and ASCII white space only
-    return np.fromiter(map(SEEN.__getitem__, own), U, len(own))
+def _words(texts: list[str]) -> list[np.ndarray]:
+    """The words of each text as hashes, without the marks around them; a word that is all marks stays as it is."""
+    hashes, bounds = wordhash.words(texts, EDGE)
+    return [hashes[a:b] for a, b in zip(bounds.tolist(), bounds.tolist()[1:], strict=False)]
 
 
 def matches(docs: DataFrame, items: DataFrame, least: float = LEAST, radius: int = RADIUS) -> DataFrame:
     """A row for each document and item that it holds: its best window and how many windows match.
 
     Null and empty texts match nothing, nor do items without an id or a word. Repeated rows of a
-    document are listed each; items that repeat count once. An empty table gives no row.
+    document are listed each; items that repeat count once. Very long texts are taken whole. Of equally
+    good windows the first is given. An empty table gives no row.
     """
     out = None
     for group in _groups(items):
@@ -210,7 +220,7 @@ def matches(docs: DataFrame, items: DataFrame, least: float = LEAST, radius: int
 
         def run(batches, sent=sent):
             for part, texts in common.slices(batches):
-                words, ids = [_words(text) for text in texts], part.column(0).to_pylist()
+                words, ids = _words(texts), part.column(0).to_pylist()
                 rows = [(ids[k], *m) for k in sent.value.candidates(words) for m in sent.value.find(words[k])]
                 if rows:
                     kinds = pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.int64()
@@ -222,7 +232,10 @@ def matches(docs: DataFrame, items: DataFrame, least: float = LEAST, radius: int
 
 
 def clean(docs: DataFrame, items: DataFrame, least: float = LEAST, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` that hold no item, unchanged, each judged on its own text."""
+    """The rows of ``docs`` that hold no item, unchanged, each judged on its own text, whole however long.
+
+    Rows with a null or empty text hold nothing and stay; rows that repeat each other share their fate.
+    """
     names = docs.columns
     out = docs.toDF(*(f"c{k}" for k in range(len(names))))
     at = f"c{names.index('text')}"
@@ -231,7 +244,7 @@ def clean(docs: DataFrame, items: DataFrame, least: float = LEAST, radius: int =
 
         def run(batches, sent=sent):
             for part, texts in common.slices(batches, at):
-                words, kept = [_words(text or "") for text in texts], np.ones(len(texts), dtype=bool)
+                words, kept = _words([text or "" for text in texts]), np.ones(len(texts), dtype=bool)
                 for k in sent.value.candidates(words):
                     kept[k] = not sent.value.find(words[k])
                 yield part.filter(pa.array(kept))

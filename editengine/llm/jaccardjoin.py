@@ -1,7 +1,7 @@
 """Jaccard join of texts by their word shingles: prefixes under several global orders, then an exact check.
 
-Two sets link when ``LEAST`` hundredths of their union are common. Put the tokens of all sets into any one
-order: a set of n tokens and each partner have a common token among the first n - ceil(LEAST * n / 100) + 1
+Two sets link when ``least`` hundredths of their union are common. Put the tokens of all sets into any one
+order: a set of n tokens and each partner have a common token among the first n - ceil(least * n / 100) + 1
 of both. This holds for every order, so a pair must pass for each of several:
 
 * The first order brings candidates together. Tokens known to be frequent come last in it, others by hash,
@@ -21,6 +21,9 @@ A token is the 64-bit hash of a shingle. Texts are read three times rather than
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -38,14 +41,27 @@ COUNTED, PART = 24, 1_000_000
 NAMES = [f"p{k}" for k in range(FURTHER + 1)]
 
 
-def needed(n):
-    """Common tokens that a set of n has with any partner at least."""
-    return (n * LEAST + 99) // 100
+class Rule(NamedTuple):
+    """Sets of runs of ``words`` words link if ``least`` hundredths of their union are common."""
+
+    words: int = WORDS
+    least: int = LEAST
+
+    def needed(self, n):
+        """Common tokens that a set of n has with any partner at least."""
+        return (n * self.least + 99) // 100
+
+    def more(self, n):
+        """Common tokens that the longer prefixes of linked sets have at least; of two sets the smaller number counts."""
+        return (n - self.needed(n) + 1) // 2 + 1
 
+    def links(self, shared, a, b):
+        """Whether sets of a and b tokens with so many in common link; arrays or numbers."""
+        return 100 * shared >= self.least * (a + b - shared)
 
-def linked(shared, a, b):
-    """Whether sets of a and b tokens with so many in common link; arrays or numbers."""
-    return 100 * shared >= LEAST * (a + b - shared)
+    def smallest(self) -> int:
+        """The size from which on a set has a partner but itself: k tokens may link with k + 1."""
+        return next(k for k in range(1, 1000) if self.links(k, k, k + 1))
 
 
 def offsets(sizes: np.ndarray) -> np.ndarray:
@@ -61,11 +77,6 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(), np.diff(column.offsets.to_numpy()).astype(np.int64)
 
 
-def more(sizes):
-    """Common tokens that the longer prefixes of linked sets have at least; of two sets the smaller number counts."""
-    return (sizes - needed(sizes) + 1) // 2 + 1
-
-
 def first_of(rank: np.ndarray, sizes: np.ndarray, tokens: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of sets one after the other so many tokens, by rank, then as they lie; with their bounds."""
     own = np.repeat(np.arange(len(sizes)), sizes)
@@ -78,8 +89,8 @@ class Orders:
     """The global orders: by the power of two of a token's count if it is known as frequent, then by hash; and
     hash orders."""
 
-    def __init__(self, token: np.ndarray, power: np.ndarray):
-        self.token, self.power = token, power
+    def __init__(self, token: np.ndarray, power: np.ndarray, rule: Rule):
+        self.token, self.power, self.rule = token, power, rule
         self.rough = np.zeros(1 << 22, dtype=bool)
         self.rough[token.view(U) >> U(42)] = True
 
@@ -93,26 +104,26 @@ class Orders:
 
     def prefixes(self, tokens: np.ndarray, sizes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each order the prefixes of the sets, and their bounds."""
-        least = sizes - needed(sizes)
-        first = first_of(self.powers(tokens), sizes, tokens, least + 1)
-        return [first, *(first_of(mixed(tokens.view(U) + FACTORS[k]), sizes, tokens, least + more(sizes)) for k in range(FURTHER))]
+        rest, more = sizes - self.rule.needed(sizes), self.rule.more(sizes)
+        first = first_of(self.powers(tokens), sizes, tokens, rest + 1)
+        return [first, *(first_of(mixed(tokens.view(U) + FACTORS[k]), sizes, tokens, rest + more) for k in range(FURTHER))]
 
 
-def _counted(docs: DataFrame, words: int) -> DataFrame:
+def _counted(docs: DataFrame, rule: Rule) -> DataFrame:
     """``token``: of every text those first by hash."""
 
     def run(part, texts):
-        tokens, sizes = token_sets(texts, words)
+        tokens, sizes = token_sets(texts, rule.words)
         own = np.repeat(np.arange(len(sizes)), sizes)
-        most = np.maximum(COUNTED, 3 * (sizes - needed(sizes) + 1) // 2)
+        most = np.maximum(COUNTED, 3 * (sizes - rule.needed(sizes) + 1) // 2)
         return (pa.array(tokens[np.arange(len(own)) - offsets(sizes)[own] < most[own]]),)
 
     return common.by_slice(common.id_text(docs), run, "token long")
 
 
-def _frequent(docs: DataFrame, words: int) -> Orders:
+def orders_of(docs: DataFrame, rule: Rule) -> Orders:
     """Orders that know the frequent tokens, at most about ``SENT``."""
-    counts = _counted(docs, words).groupBy("token").count().where(F.col("count") >= FREQUENT)
+    counts = _counted(docs, rule).groupBy("token").count().where(F.col("count") >= FREQUENT)
     counts = common.cut(counts.select("token", F.floor(F.log2("count")).cast("byte").alias("power")), "frequent")
     quota, wanted = SENT, F.lit(False)
     for power, count in sorted(((r["power"], r["count"]) for r in counts.groupBy("power").count().collect()), reverse=True):
@@ -124,7 +135,7 @@ def _frequent(docs: DataFrame, words: int) -> Orders:
     rows = counts.where(wanted).toArrow()
     token, power = rows.column(0).to_numpy(), rows.column(1).to_numpy()
     order = np.argsort(token)
-    return Orders(token[order], power[order])
+    return Orders(token[order], power[order], rule)
 
 
 def digests(tokens: np.ndarray, sizes: np.ndarray, seed: int) -> np.ndarray:
@@ -133,19 +144,26 @@ def digests(tokens: np.ndarray, sizes: np.ndarray, seed: int) -> np.ndarray:
     return np.frombuffer(b"".join(xxhash.xxh3_128_digest(data[a:b], seed) for a, b in zip(bounds, bounds[1:], strict=False)), dtype="<i8").reshape(-1, 2)
 
 
-def _sets(docs: DataFrame, orders: Orders, words: int, seed: int) -> DataFrame:
-    """``doc_id``, ``node`` and ``proof`` (two digests of the set), ``n`` and the prefixes of every row: of the
-    first order as tokens, of the others 16 bits of each, enough to tell that nothing is common."""
-    sent = docs.sparkSession.sparkContext.broadcast(orders)
+def sets_of(docs: DataFrame, orders: Orders, seed: int = 0, also: Callable[[np.ndarray], int] | None = None) -> DataFrame:
+    """``doc_id``, ``mark`` (a hash of the text), ``node`` and ``proof`` (two digests of the set), ``n`` and the
+    prefixes of every row: of the first order as tokens, of the others 16 bits of each, enough to tell that few
+    are common. ``also`` of a set's tokens comes as a long ``also``."""
+    sent, rule = docs.sparkSession.sparkContext.broadcast(orders), orders.rule
 
     def run(part, texts):
-        tokens, sizes = token_sets(texts, words)
+        tokens, sizes = token_sets(texts, rule.words)
         (first, ends), *further = sent.value.prefixes(tokens, sizes)
         node, proof = digests(tokens, sizes, seed).T
-        return part.column(0), np.ascontiguousarray(node), np.ascontiguousarray(proof), sizes, lists(first, ends), *(lists(x.astype(np.int16), e) for x, e in further)
+        out = [part.column(0), part.column(2), np.ascontiguousarray(node), np.ascontiguousarray(proof), sizes]
+        out += [lists(first, ends), *(lists(x.astype(np.int16), e) for x, e in further)]
+        if also:
+            bounds = offsets(sizes).tolist()
+            out.append(np.array([also(tokens[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)], dtype=U).view(np.int64))
+        return out
 
     further = ", ".join(f"{x} array<short>" for x in NAMES[1:])
-    return common.by_slice(common.id_text(docs), run, f"doc_id long, node long, proof long, n long, {NAMES[0]} array<long>, {further}")
+    schema = f"doc_id long, mark long, node long, proof long, n long, {NAMES[0]} array<long>, {further}" + (", also long" if also else "")
+    return common.by_slice(common.id_text(docs).withColumn("mark", F.xxhash64("text")), run, schema)
 
 
 class Bitmap:
@@ -178,8 +196,8 @@ class Bitmap:
 class Index:
     """Sets side by side, those of a task together: their prefixes under every order, and with ``tokens`` the whole."""
 
-    def __init__(self, sizes: np.ndarray, prefixes: list[tuple[np.ndarray, np.ndarray]], tokens: np.ndarray | None = None):
-        self.sizes, self.more = sizes, more(sizes)
+    def __init__(self, rule: Rule, sizes: np.ndarray, prefixes: list[tuple[np.ndarray, np.ndarray]], tokens: np.ndarray | None = None):
+        self.rule, self.sizes, self.more = rule, sizes, rule.more(sizes)
         self.prefixes = [(x.astype(np.int16).view(np.uint16), b) for x, b in prefixes]
         self.mask = np.zeros(1 << 16, dtype=bool)
         if tokens is not None:
@@ -201,7 +219,7 @@ class Index:
     def candidates(self, k: int, others: np.ndarray) -> np.ndarray:
         """Those of the other sets that pass every filter with the k-th one."""
         n = self.sizes[k]
-        others = others[100 * np.minimum(self.sizes[others], n) >= LEAST * np.maximum(self.sizes[others], n)]
+        others = others[100 * np.minimum(self.sizes[others], n) >= self.rule.least * np.maximum(self.sizes[others], n)]
         for order, (values, bounds) in enumerate(self.prefixes):
             if not len(others):
                 break
@@ -213,7 +231,7 @@ class Index:
         """Those of the other sets that link with the k-th one."""
         others = self.candidates(k, others)
         if len(others):
-            others = others[linked(self.shared(self.all, k, self.ids, self.starts, others), self.sizes[others], self.sizes[k])]
+            others = others[self.rule.links(self.shared(self.all, k, self.ids, self.starts, others), self.sizes[others], self.sizes[k])]
         return others
 
 
@@ -302,10 +320,10 @@ def _tasks(rows: pa.Table):
         yield first, last, None if u[first] == v[first] else own == u
 
 
-def _hopeful(tasks: DataFrame) -> DataFrame:
+def _hopeful(tasks: DataFrame, rule: Rule) -> DataFrame:
     def run(rows: pa.Table) -> pa.RecordBatch:
         prefixes = [flat(rows.column(x).combine_chunks()) for x in NAMES]
-        index = Index(rows.column("n").to_numpy(), [(x, offsets(s)) for x, s in prefixes])
+        index = Index(rule, rows.column("n").to_numpy(), [(x, offsets(s)) for x, s in prefixes])
         found = np.concatenate([hopeful(index, *task) for task in _tasks(rows)])
         kept = rows.select([*TASK, "own", "node"]).filter(pa.array(found))
         return kept.combine_chunks().to_batches()[0] if kept.num_rows else pa.RecordBatch.from_pylist([], kept.schema)
@@ -319,7 +337,7 @@ def _forests(tasks: DataFrame, orders: Orders) -> DataFrame:
 
     def run(rows: pa.Table) -> pa.RecordBatch:
         node, (tokens, sizes) = rows.column("node").to_numpy(), flat(rows.column("tokens").combine_chunks())
-        index = Index(sizes, sent.value.prefixes(tokens, sizes), tokens)
+        index = Index(sent.value.rule, sizes, sent.value.prefixes(tokens, sizes), tokens)
         label = np.concatenate([forest(index, *task) for task in _tasks(rows)])
         at = np.flatnonzero(label != np.arange(len(label)))
         return pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[label[at]])], names=["a", "b"])
@@ -327,16 +345,17 @@ def _forests(tasks: DataFrame, orders: Orders) -> DataFrame:
     return _by_task(tasks.select(*TASK, "own", "node", "tokens"), run, "a long, b long").distinct()
 
 
-def _candidates(sets: DataFrame) -> DataFrame:
+def _candidates(sets: DataFrame, rule: Rule, proposed: DataFrame | None) -> DataFrame:
     """The rows (leader, u, v, own, node) of sets that pass every filter with another one of their task."""
-    # A set of k tokens has no partner but itself if k + 1 tokens need more than k.
-    small = next(k for k in range(1, 1000) if linked(k, k, k + 1))
-    some = sets.where(F.col("doc_id").isNotNull() & (F.col("n") >= small))
+    some = sets.where(F.col("doc_id").isNotNull() & (F.col("n") >= rule.smallest()))
     tokens = some.select(F.explode(NAMES[0]).alias("token"), "node", "n")
     shared = tokens.groupBy("token").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last")
     shared = common.cut(shared.select("token", "leader"), "shared")
     held = Bitmap(shared.select("token")).thinned(tokens, "token")
-    members = common.cut(held.join(shared, "token").select("leader", "node", "n").distinct(), "members")
+    members = held.join(shared, "token").select("leader", "node", "n")
+    if proposed is not None:
+        members = members.union(proposed.join(some.select("node", "n").distinct(), "node").select("leader", "node", "n"))
+    members = common.cut(members.distinct(), "members")
     large = members.groupBy("leader").agg(F.sum("n").alias("total")).where(F.col("total") > PART)
     large = large.select("leader", F.ceil(F.col("total") / PART).cast("int").alias("parts"))
     dealt = members.join(large, "leader", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
@@ -344,10 +363,9 @@ def _candidates(sets: DataFrame) -> DataFrame:
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.select("leader", F.least("own", "other").alias("u"), F.greatest("own", "other").alias("v"), "own", "node")
     nodes = members.select("node").distinct()
-    short = [F.col(NAMES[0]), *NAMES[1:]]
-    prefixes = Bitmap(nodes).thinned(some.select("node", "n", *short), "node")
+    prefixes = Bitmap(nodes).thinned(some.select("node", "n", *NAMES), "node")
     prefixes = prefixes.withColumn(NAMES[0], _low_bits(NAMES[0])).join(nodes, "node", "left_semi").dropDuplicates(["node"])
-    return common.cut(_hopeful(dealt.join(prefixes, "node")), "hopeful")
+    return common.cut(_hopeful(dealt.join(prefixes, "node"), rule), "hopeful")
 
 
 def _low_bits(name: str) -> Column:
@@ -355,7 +373,7 @@ def _low_bits(name: str) -> Column:
     return F.expr(f"transform({name}, x -> cast(((x & 65535) ^ 32768) - 32768 AS short))")
 
 
-def _whole(docs: DataFrame, sets: DataFrame, nodes: DataFrame, words: int, seed: int) -> DataFrame:
+def _whole(docs: DataFrame, sets: DataFrame, nodes: DataFrame, rule: Rule, seed: int) -> DataFrame:
     """``node``, ``tokens`` of ``nodes``, from the text of one document of each."""
     holders = sets.where("doc_id IS NOT NULL").select("doc_id", "node").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     sent = docs.sparkSession.sparkContext.broadcast(Bitmap(holders.select(F.xxhash64("doc_id").alias("h"))))
@@ -364,21 +382,34 @@ def _whole(docs: DataFrame, sets: DataFrame, nodes: DataFrame, words: int, seed:
         kept = np.flatnonzero(sent.value.has(part.column(2).to_numpy())).tolist()
         if not kept:
             return None
-        tokens, sizes = token_sets([texts[k] for k in kept], words)
+        tokens, sizes = token_sets([texts[k] for k in kept], rule.words)
         return np.ascontiguousarray(digests(tokens, sizes, seed)[:, 0]), lists(tokens, offsets(sizes))
 
     rows = common.id_text(docs).where("doc_id IS NOT NULL").withColumn("h", F.xxhash64("doc_id"))
     return common.by_slice(rows, run, "node long, tokens array<long>").join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
-def components(docs: DataFrame, sets: DataFrame, orders: Orders, words: int = WORDS, seed: int = 0) -> DataFrame:
-    """``node``, ``root``: for every set that is not the smallest node of its component, the one that is."""
-    tasks = _candidates(sets)
+def components(docs: DataFrame, sets: DataFrame, orders: Orders, seed: int = 0, proposed: DataFrame | None = None) -> DataFrame:
+    """``node``, ``root``: for every set that is not the smallest node of its component, the one that is.
+
+    ``proposed`` (``leader``, ``node``) adds groups to those that common prefix tokens make.
+    """
+    tasks = _candidates(sets, orders.rule, proposed)
     nodes = common.cut(tasks.select("node").distinct(), "nodes")
-    whole = _whole(docs, sets, nodes, words, seed)
+    whole = _whole(docs, sets, nodes, orders.rule, seed)
     return common.components(_forests(tasks.join(whole, "node"), orders), "components")
 
 
+def distinct_sets(docs: DataFrame, orders: Orders, also: Callable[[np.ndarray], int] | None = None) -> tuple[DataFrame, int]:
+    """The written rows of ``sets_of``, and a seed with which no two sets have one node."""
+    for seed in range(8):
+        sets = common.cut(sets_of(docs, orders, seed, also), "sets")
+        proofs = sets.groupBy("node").agg(F.min("proof").alias("low"), F.max("proof").alias("high"))
+        if proofs.where("low != high").isEmpty():
+            return sets, seed
+    raise RuntimeError("two sets share 64 bits of their digest under each of eight seeds")
+
+
 def groups(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``: the smallest id reachable over links.
 
@@ -388,14 +419,10 @@ def groups(docs: DataFrame, words: int = WORDS) -> DataFrame:
     component of their set, null if no row with an id has it or their set is empty. Very long texts are
     taken whole. An empty table gives no row.
     """
-    orders = _frequent(docs, words)
-    for seed in range(8):
-        sets = common.cut(_sets(docs, orders, words, seed), "sets")
-        of = sets.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("proof").alias("low"), F.max("proof").alias("high"))
-        of = common.cut(of, "nodes")
-        if of.where("low != high").isEmpty():  # else two sets have one node: digest anew
-            break
-    roots = components(docs, sets, orders, words, seed)
+    orders = orders_of(docs, Rule(words))
+    sets, seed = distinct_sets(docs, orders)
+    of = common.cut(sets.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least_id")), "nodes")
+    roots = components(docs, sets, orders, seed)
     placed = common.cut(of.join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root")), "placed")
     least = placed.groupBy("root").agg(F.min("least_id").alias("component"))
     found = placed.join(least, "root").select("node", "component")

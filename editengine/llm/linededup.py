@@ -24,8 +24,8 @@ from . import common
 MIN_CHARS, MIN_DOCS = 40, 5
 SPACE = b" \t\n\x0b\x0c\r"
 SLOTS, KICKS = 4, 500
-# Filters of up to this size are sent to the tasks; beyond it, lines are joined with the exact table at once.
-FILTER_BYTES = 64 << 20
+# Filters are sent to the tasks in passes of this size; keys of a shard; shards at least.
+FILTER_BYTES, SHARD_KEYS, SHARDS = 64 << 20, 1 << 20, 64
 
 
 def line_key(line: bytes, min_chars: int) -> bytes | None:
@@ -52,7 +52,7 @@ class Cuckoo:
     @classmethod
     def of(cls, keys: list[bytes]) -> Cuckoo:
         made = cls.sized(len(keys))
-        while not all(made.insert(k) for k in keys):
+        while not made.insert_many(keys):
             made = cls(np.zeros((2 * len(made.slots), SLOTS), dtype=np.uint16))
         return made
 
@@ -71,6 +71,22 @@ class Cuckoo:
         tags, one, two = self._spots(keys)
         return (self.slots[one] == tags[:, None]).any(1) | (self.slots[two] == tags[:, None]).any(1)
 
+    def insert_many(self, keys: list[bytes]) -> bool:
+        """As ``insert`` of each; most keys find a free slot in one of their buckets at once."""
+        if not keys:
+            return True
+        tags, one, two = self._spots(keys)
+        rest = np.arange(len(keys))
+        for place in (one, two):
+            rest = rest[np.argsort(place[rest], kind="stable")]
+            at = place[rest].astype(np.int64)
+            nth = np.arange(len(at)) - np.searchsorted(at, at)  # among the keys of its bucket
+            free = np.argsort(self.slots[at] != 0, axis=1, kind="stable")  # free slots first
+            fits = nth < (self.slots[at] == 0).sum(axis=1)
+            self.slots[at[fits], free[fits, nth[fits]]] = tags[rest[fits]]
+            rest = rest[~fits]
+        return all([self.insert(keys[k]) for k in rest.tolist()])
+
     def insert(self, key: bytes) -> bool:
         """False if no place was found; the filter must then be made anew."""
         tags, one, two = self._spots([key])
@@ -112,9 +128,10 @@ class LineStore:
     several rows is one document. Keys shorter than ``min_chars`` code points are never dropped.
     """
 
-    def __init__(self, spark: SparkSession, path: str, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, shards: int = 64):
+    def __init__(self, spark: SparkSession, path: str, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, shards: int | None = None):
         self.spark, self.path, self.version = spark, path, 0
-        self.min_chars, self.min_docs, self.shards = min_chars, min_docs, shards
+        # The number of shards follows that of the keys, unless it is given.
+        self.min_chars, self.min_docs, self.shards, self.fixed = min_chars, min_docs, shards or SHARDS, shards is not None
         self.written: list[tuple[int, str]] = []
 
     def _at(self, what: str, version: int | None = None) -> str:
@@ -190,7 +207,10 @@ class LineStore:
     def _refilter(self) -> None:
         """Bring the filters to this version: only keys that crossed the threshold are put in or taken out."""
         now = self._frequent(self.version).select("key", F.lit(1).alias("now"))
-        if self.version == 1:
+        anew = self.version == 1
+        if not self.fixed and (wanted := -(-now.count() // SHARD_KEYS)) > self.shards:
+            self.shards, anew = 2 * wanted, True
+        if anew:
             change = now.select(self._shard(), "key", F.lit(True).alias("put"))
             old = self.spark.createDataFrame([], "shard int, filter binary")
         else:
@@ -207,7 +227,7 @@ class LineStore:
                 held = Cuckoo.from_bytes(data[0])
                 for k in (k for k, p in zip(keys, put, strict=True) if not p):
                     held.delete(k)
-                full = not all([held.insert(k) for k, p in zip(keys, put, strict=True) if p])
+                full = not held.insert_many([k for k, p in zip(keys, put, strict=True) if p])
             else:
                 held, full = Cuckoo.of(keys), False
             return pa.table({"shard": pa.array([shard], pa.int32()), "filter": pa.array([held.to_bytes()], pa.binary()), "full": [full]})
@@ -225,11 +245,24 @@ class LineStore:
         return self.spark.read.parquet(self._at("filters"))
 
     def screen(self, rows: DataFrame) -> DataFrame:
-        """The (``key``, ``doc_id``) rows whose key a filter knows; all rows if the filters are too large to send."""
-        size = self.filters().agg(F.coalesce(F.sum(F.octet_length("filter")), F.lit(0))).first()[0]
-        if size > FILTER_BYTES:
-            return rows
-        held = self.spark.sparkContext.broadcast({r["shard"]: r["filter"] for r in self.filters().collect()})
+        """The (``key``, ``doc_id``) rows whose key a filter knows. Filters go to the tasks in passes of bounded size."""
+        sizes = self.filters().select("shard", F.octet_length("filter").alias("size")).collect()  # a number for each shard
+        passes: list[list[int]] = []
+        room = 0
+        for shard, size in sorted(tuple(r) for r in sizes):
+            if size > room:
+                passes.append([])
+                room = FILTER_BYTES
+            passes[-1].append(shard)
+            room -= size
+        rows, out = rows.select(self._shard(), "key", "doc_id"), rows.limit(0).select("key", "doc_id")
+        for own in passes:
+            part = rows if len(passes) == 1 else rows.where(F.col("shard").isin(own))
+            out = out.union(self._known(part, {r["shard"]: r["filter"] for r in self.filters().where(F.col("shard").isin(own)).collect()}))
+        return out
+
+    def _known(self, rows: DataFrame, filters: dict[int, bytes]) -> DataFrame:
+        held = self.spark.sparkContext.broadcast(filters)
 
         def known(batches: Iterator[pa.RecordBatch]):
             filters = {k: Cuckoo.from_bytes(v) for k, v in held.value.items()}
@@ -242,7 +275,7 @@ class LineStore:
                         hit[at] = filters[int(k)].contains([keys[i] for i in at])
                 yield batch.filter(pa.array(hit)).select(["key", "doc_id"])
 
-        return rows.select(self._shard(), "key", "doc_id").mapInArrow(known, "key binary, doc_id long")
+        return rows.mapInArrow(known, "key binary, doc_id long")
 
     def apply(self, docs: DataFrame) -> DataFrame:
         """Drop lines that the store counts in ``min_docs`` documents, except in the largest ``doc_id`` with them.

@@ -38,7 +38,12 @@ def fingerprint(text: str, words: int = WORDS, seed: int = SEED) -> int:
     stops = (ends[min(words, len(found)) - 1 :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter([digest(data[a:b], seed) for a, b in zip(starts, stops, strict=True)], np.uint64, n)
-    sums = np.zeros(BITS, dtype=np.int64)
+    return majority(hashes)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are in over half of the hashes; of none: 0."""
+    sums, n = np.zeros(BITS, dtype=np.int64), len(hashes)
     for at in range(0, n, 1 << 16):
         part = hashes[at : at + (1 << 16)]
         sums += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)

@@ -56,13 +56,13 @@ def _spell(text: str) -> str:
 
 
 class Encoder:
-    """Ids of texts as little-endian 32-bit byte strings; special strings in a text are ordinary text.
+    """Ids of texts as little-endian 32-bit byte strings, those the tokenizer itself gives for them.
 
     Neither vocabulary has a pre-token that runs from a non-space into white space. Where single
     spaces and line ends are all the white space a text has, its ids are therefore those of its words,
     each with the white space before it, one after the other; words repeat and are remembered. A mark
-    behind a letter begins a pre-token too and is looked up apart from its word. Any other text is
-    encoded as a whole. In the memo "\0" marks a word without white space before it.
+    behind a letter begins a pre-token too and is looked up apart from its word. Any other text, and one
+    that holds an added token's string, is encoded as a whole. In the memo "\0" marks a word without white space before it.
     """
 
     def __init__(self, name_or_path: str):
@@ -71,7 +71,8 @@ class Encoder:
 
         path = name_or_path if os.path.isabs(name_or_path) else tokenizer_path(name_or_path)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # Strings that the tokenizer takes out of a text before anything else.
+        self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.memo: dict[str, bytes] = {}
         # What the model gets for a Latin word behind a space, if it is either of these forms.
@@ -93,7 +94,7 @@ class Encoder:
         whole, held, missing = [], [], set()
         for k, text in enumerate(texts):
             words = _part_marks(text).replace("\n", " \n").split(" ")
-            if "\0" in text or not words[0] or words[0][0] == "\n" or "" in words or "\n" in words or len(text.split()) != text.count(" ") + text.count("\n") + 1:
+            if any(x in text for x in self.added) or "\0" in text or not words[0] or words[0][0] == "\n" or "" in words or "\n" in words or len(text.split()) != text.count(" ") + text.count("\n") + 1:
                 whole.append(k)
                 continue
             words[0] = "\0" + words[0]

@@ -112,3 +112,27 @@ def matches(docs, items, least=0.8):
                 if likeness >= least - 1e-12:
                     out[doc, item] = max(likeness, out.get((doc, item), 0))
     return out
+
+
+def alike_rows(docs, size=5, percent=80):
+    """{id: smallest id reachable} over links of word-shingle sets that share so much; empty sets are alike."""
+    def shingles(text):
+        w = words(text)
+        return {tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))} if w else set()
+
+    sets = [(i, shingles(text)) for i, text in docs]
+    root = {i: i for i, _ in docs}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            if find(i) != find(j) and percent * max(len(a), len(b)) <= 100 * min(len(a), len(b)):
+                both = len(a & b)
+                if 100 * both >= percent * (len(a) + len(b) - both):
+                    x, y = sorted((find(i), find(j)))
+                    root[y] = x
+    return {i: find(i) for i in root}

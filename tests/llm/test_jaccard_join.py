@@ -99,7 +99,7 @@ def test_sets_at_the_bound(spark):
 
 
 def test_prefixes_of_linked_sets_meet_under_every_order():
-    rng = np.random.default_rng(5)
+    rng, rule = np.random.default_rng(5), jaccardjoin.Rule()
     for _ in range(300):
         n = int(rng.integers(6, 80))
         a = np.unique(rng.integers(-(2**63), 2**63 - 1, n))
@@ -109,11 +109,11 @@ def test_prefixes_of_linked_sets_meet_under_every_order():
             continue
         sizes, tokens = np.array([len(a), len(b)]), np.r_[a, b]
         some = np.sort(rng.choice(a, len(a) // 2, replace=False))
-        prefixes = jaccardjoin.Orders(some, rng.integers(4, 20, len(some))).prefixes(tokens, sizes)
+        prefixes = jaccardjoin.Orders(some, rng.integers(4, 20, len(some)), rule).prefixes(tokens, sizes)
         for order, (values, bounds) in enumerate(prefixes):
-            least = min(jaccardjoin.more(sizes)) if order else 1
+            least = min(rule.more(sizes)) if order else 1
             assert len(set(values[: bounds[1]].tolist()) & set(values[bounds[1] :].tolist())) >= least
-        index = jaccardjoin.Index(sizes, prefixes, tokens)
+        index = jaccardjoin.Index(rule, sizes, prefixes, tokens)
         assert jaccardjoin.hopeful(index, 0, 2).all() and jaccardjoin.forest(index, 0, 2).tolist() == [0, 0]
 
 

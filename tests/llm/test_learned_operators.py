@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from brute import SMALL
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from editengine.llm import anngraph, common, hmm, langid, packing, quality, queries, simhash, tokens, tokenstore
@@ -99,7 +100,8 @@ def test_encoder_is_the_tokenizer(name, spark, monkeypatch):
     encoder = tokens.Encoder(name)
     assert encoder.form
     texts = ODD_TEXTS + [r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
-    want = [np.array(x.ids, dtype="<u4").tobytes() for x in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    fresh = Tokenizer.from_file(tokens.tokenizer_path(name))
+    want = [np.array(x.ids, dtype="<u4").tobytes() for x in fresh.encode_batch(texts, add_special_tokens=False)]
     for _ in range(2):
         assert [x for k in range(0, len(texts), 37) for x in encoder.encode(texts[k : k + 37])] == want
 
@@ -113,7 +115,7 @@ def test_planes_round_trip(unit):
 
 
 def encoded(name, pairs):
-    encoder = tokens.Encoder(name).tokenizer
+    encoder = Tokenizer.from_file(tokens.tokenizer_path(name))
     return [(i, np.array([*encoder.encode(t or "", add_special_tokens=False).ids, 2], dtype="<u4").tobytes()) for i, t in pairs]
 
 
@@ -148,6 +150,40 @@ def check_packed(rows, capacity=1024):
     return len(places)
 
 
+SPECIAL = ["<|endoftext|> a <|endoftext|>b", "x <|startoftext|>y. z", "<|endoftext|>", "no <|end of|> it", "a b <|endoftext|>" * 700]
+
+
+@pytest.fixture
+def with_special(spark, tmp_path):
+    """A folder of documents that hold the tokenizers' special strings, among those of the small table."""
+    rows = [(r["doc_id"], r["text"]) for r in common.table(spark, SMALL, "documents").collect()] + [(1000 + k, t) for k, t in enumerate(SPECIAL)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    return str(tmp_path), rows
+
+
+def test_op7_is_the_tokenizer_library(spark, with_special):
+    folder, rows = with_special
+    want, start = [], 0
+    for i, ids in sorted(encoded("word_bpe_49k.json", rows)):
+        want.append((i, start, len(ids) // 4, zlib.crc32(ids)))
+        start += len(ids) // 4
+    assert [tuple(r) for r in queries.op7_token_planes(spark, folder).orderBy("doc_id").collect()] == want
+
+
+def test_op9_is_the_tokenizer_library(spark, with_special):
+    folder, rows = with_special
+    out = queries.op9_best_fit_packing(spark, folder).collect()
+    check_packed(out)
+    by = defaultdict(list)
+    for r in sorted(out, key=lambda r: r["piece"]):
+        by[r["doc_id"]].append((r["piece"], r["start"], r["length"], r["ids_crc32"]))
+    for i, ids in encoded("byte_bpe_50k.json", rows):
+        total = len(ids) // 4
+        starts = [0] if total <= 1024 else [0, *range(total % 1024 or 1024, total, 1024)]
+        assert by.pop(i) == [(k, a, b - a, zlib.crc32(ids[4 * a : 4 * b])) for k, (a, b) in enumerate(zip(starts, [*starts[1:], total], strict=True))]
+    assert not by
+
+
 def test_packing_of_odd_rows(odd, pairs, nothing):
     rows = packing.pack(odd).collect()
     check_packed(rows)
@@ -342,7 +378,7 @@ def test_stages_against_brute_force(spark):
         elif name == "line dedup":
             assert [(r["doc_id"], r["text"], r["n_chars"]) for r in docs.orderBy("doc_id").collect()] == [(i, t, len(t)) for i, _, _, t in brute.line_rows(source)]
         elif name == "SimHash near-dedup":
-            assert [r["doc_id"] for r in docs.orderBy("doc_id").collect()] == [i for i, _, c in brute.group_rows(source) if i == c]
+            assert [r["doc_id"] for r in docs.orderBy("doc_id").collect()] == [i for i, c in brute.alike_rows(source).items() if i == c]
         elif name == "benchmark decontamination":
             items = [tuple(r) for r in common.table(spark, SMALL, "benchmark").select("item_id", "text").collect()]
             gone = {i for i, _ in source} - {r["doc_id"] for r in docs.collect()}
@@ -370,6 +406,7 @@ def test_stages_of_odd_and_empty_tables(spark, odd, nothing):
 def test_groups_keep_documents_without_ids(spark, odd):
     kept = corpus_pipeline.near_duplicates(spark, odd, SMALL)
     assert kept.where("doc_id IS NULL").count() == 2 and kept.columns == odd.columns
-    stays = {i for i, _, c in brute.group_rows([(r["doc_id"], r["text"]) for r in odd.where("doc_id IS NOT NULL").collect()]) if i == c}
-    assert {r["doc_id"] for r in kept.where("doc_id IS NOT NULL").collect()} == stays
+    rows = sorted(((r["doc_id"], r["text"]) for r in odd.where("doc_id IS NOT NULL").collect()), key=lambda r: (r[0], r[1] or ""))
+    stays = [rows[k][0] for k, c in brute.alike_rows([(k, t) for k, (_, t) in enumerate(rows)]).items() if k == c]  # by row: ids repeat
+    assert sorted(r["doc_id"] for r in kept.where("doc_id IS NOT NULL").collect()) == stays  # also of rows that repeat each other one stays
     assert simhash.fingerprint("") == 0

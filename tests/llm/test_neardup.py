@@ -6,7 +6,7 @@ import brute
 from brute import SMALL
 
 import corpus_pipeline
-from editengine.llm import neardup
+from editengine.llm import jaccardjoin, neardup, simhash
 
 
 def shingles(text):
@@ -53,9 +53,32 @@ def test_an_id_repeated_with_two_texts_keeps_the_unique_one(spark):
     assert sorted(tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, SMALL).collect()) == [(1, one), (2, two)]
 
 
-def test_links_across_what_the_first_of_a_bucket_leaves(spark, monkeypatch):
-    """A chain of edits with all texts in the same buckets: most are not similar to the first one."""
-    monkeypatch.setattr(neardup, "buckets", lambda hashes: list(range(neardup.BANDS)))
+def test_rows_that_repeat_an_id_and_its_text(spark):
+    one, two = (" ".join(f"{x}{k}" for k in range(80)) for x in "ab")
+    docs = spark.createDataFrame([(1, one), (1, one), (2, one), (2, one), (3, two), (3, two), (4, None), (4, None), (5, "")], "doc_id long, text string")
+    got = corpus_pipeline.near_duplicates(spark, docs, SMALL).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == [(1, one), (3, two), (4, None)]
+
+
+def test_the_trie_walk_proposes_copies_with_few_edits(spark):
+    """Of texts with a word or two changed most groups come from the walk, none from texts that share little."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(10):
+        words = [f"{k}w{rng.randrange(10**6)}" for _ in range(400)]
+        for _ in range(4):
+            rows.append((len(rows), " ".join(words)))
+            words[rng.randrange(400)] = "other"
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    orders = jaccardjoin.orders_of(docs, jaccardjoin.Rule(neardup.WORDS, neardup.LEAST))
+    sets, _ = jaccardjoin.distinct_sets(docs, orders, simhash.majority)
+    of = {r["node"]: r["doc_id"] // 4 for r in sets.collect()}
+    found = [(r["leader"], r["node"]) for r in neardup.proposals(sets).collect()]
+    assert len(found) > 20 and all(of[a] == of[b] for a, b in found)
+
+
+def test_a_chain_of_edits_is_one_group(spark):
+    """Most texts of the chain are not similar to the first one."""
     words = [f"x{k}" for k in range(200)]
     rows = []
     for k in range(12):

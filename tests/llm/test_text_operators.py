@@ -55,6 +55,28 @@ def test_line_store_is_reversible(spark):
     assert not any(b.slots.any() for b in blobs)  # what went below the threshold left the filters
 
 
+@pytest.mark.parametrize("shards", [1, 500])
+def test_lines_whatever_the_shards(spark, odd, pairs, shards):
+    store = linededup.LineStore(spark, shared_dir(spark, "t"), shards=shards)
+    store.insert(odd)
+    got = Counter((r["doc_id"], r["n_lines"], r["n_dropped"], r["text"] or "") for r in store.apply(odd).collect())
+    assert got == Counter(brute.line_rows(pairs))
+
+
+def test_shards_follow_the_keys(spark, odd, pairs, monkeypatch):
+    monkeypatch.setattr(linededup, "SHARD_KEYS", 1)
+    monkeypatch.setattr(linededup, "SHARDS", 1)
+    docs = spark.createDataFrame([(100 + k, f"a further line that many documents share, number {n}") for n in range(9) for k in range(6 * n, 6 * n + 6)], "doc_id long, text string")
+    store = linededup.LineStore(spark, shared_dir(spark, "t"))
+    store.insert(odd)
+    before = store.shards
+    store.insert(docs)
+    assert before <= 9 < store.shards
+    assert store.apply(docs).where("n_dropped = 0").count() == 9
+    got = Counter((r["doc_id"], r["n_lines"], r["n_dropped"], r["text"] or "") for r in store.apply(odd).collect())
+    assert got == Counter(brute.line_rows(pairs))
+
+
 def test_lines_of_an_empty_table(spark, nothing):
     store = linededup.LineStore(spark, shared_dir(spark, "t"))
     store.insert(nothing)
