@@ -75,7 +75,11 @@ class Model:
         self.labels, self.weights, self.scale, self.least, self.bounds = labels, weights, scale, least, np.array(bounds)
 
     def measure(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Logits, familiarity and number of subwords of each text."""
+        """Logits, familiarity and number of subwords of each text; few texts at a time."""
+        parts = [self._measure(texts[at : at + 256]) for at in range(0, max(1, len(texts)), 256)]
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+    def _measure(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         found, starts = subwords(texts)
         total = np.zeros((len(texts), self.weights.shape[1]))
         number = np.zeros(len(texts))
@@ -98,7 +102,9 @@ def familiarity(bags: list[np.ndarray], target: np.ndarray, n: int) -> np.ndarra
     out = np.zeros(BUCKETS + 1)
     out[:BUCKETS] = UNSEEN / BUCKETS
     for lang in range(n):
-        count = np.bincount(np.concatenate([np.zeros(0, np.int64), *(bags[k] for k in np.flatnonzero(target == lang))]), minlength=BUCKETS + 1)[:BUCKETS]
+        count, own = np.zeros(BUCKETS, dtype=np.int64), np.flatnonzero(target == lang)
+        for at in range(0, len(own), 64):
+            count += np.bincount(np.concatenate([bags[k] for k in own[at : at + 64]]), minlength=BUCKETS)
         out[:BUCKETS] = np.maximum(out[:BUCKETS], (1 - UNSEEN) * count / max(1, count.sum()) + UNSEEN / BUCKETS)
     out[:BUCKETS] = np.log(out[:BUCKETS])
     return out
@@ -124,7 +130,7 @@ def train(texts: list[bytes], langs: list[str], seed: int = SEED) -> Model | Non
     bags = []
     for text in texts:
         ids = np.concatenate(subwords([text])[0])
-        bags.append(ids[ids < BUCKETS])
+        bags.append(ids[ids < BUCKETS].astype(np.uint16))
     used = np.array([k for k in used if len(bags[k])], dtype=int)
     steps, step = EPOCHS * -(-len(used) // BATCH), 0
     for _ in range(EPOCHS):
