@@ -37,10 +37,12 @@ def arguments() -> argparse.Namespace:
     reports = jobs.add_parser("reports", help="print reports of an edit store")
     reports.add_argument("store")
     reports.add_argument("keys", nargs="*", help="report keys; all of them by default")
+    reports.add_argument("--snapshot", help="a snapshot that the store's batches follow")
 
     compact = jobs.add_parser("compact", help="turn a store of micro-batches into a snapshot without expired rows")
     compact.add_argument("store")
     compact.add_argument("snapshot")
+    compact.add_argument("--earlier", help="the snapshot that the store's batches follow")
 
     train = jobs.add_parser("train", help="fit, evaluate and save the models of a silver table")
     train.add_argument("silver")
@@ -75,13 +77,13 @@ def main() -> None:
         if not args.once:
             running.await_any()
     elif args.job == "reports":
-        store = tables.scan_store(spark, args.store)
+        store = tables.scan_store(spark, args.store, snapshot=args.snapshot)
         for key in args.keys or registry.REPORTS:
             report = registry.REPORTS[key]
             print(f"{report.label}: {report.description}")
             registry.run_report(store, key).show(20, truncate=False)
     elif args.job == "compact":
-        sinks.compact_store(spark, args.store, args.snapshot, F.current_timestamp())
+        sinks.compact_store(spark, args.store, args.snapshot, F.current_timestamp(), args.earlier)
     else:
         training.train_all(tables.read_silver(spark, args.silver), args.out).summary.show(truncate=False)
     spark.stop()

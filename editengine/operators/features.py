@@ -125,51 +125,73 @@ def lag_features(silver: DataFrame) -> DataFrame:
     return add_lags(minute_series(silver))
 
 
-def dense_minutes(series: DataFrame, longest_gap: int = 7 * 86_400) -> DataFrame:
-    """The series with its missing minutes as 0; ``run`` counts the stretches of a wiki.
+def _laid_out(series: DataFrame, own: dict) -> DataFrame:
+    """Every row once for each minute up to the next row of its wiki, with columns by the ``offset`` in minutes.
 
-    Each row lays out the minutes up to the next one, so no array is longer than a gap. After a silence
-    of more than ``longest_gap`` seconds a new stretch begins: one event with a time far ahead, which the
-    rules for valid times allow, does not fill the years before it with minutes.
+    Minutes are laid out in steps of a thousand days, a day and a minute, so that arrays stay short; the steps of
+    a long gap are dealt over all tasks before its minutes are.
     """
-    order = Window.partitionBy("wiki").orderBy("windowStart")
-    minute, start = F.expr("interval 1 minute"), F.unix_seconds("windowStart")
-    after, before = (F.abs(F.unix_seconds(f("windowStart").over(order)) - start) for f in (F.lead, F.lag))
-    stop = F.when(after <= longest_gap, F.lead("windowStart").over(order) - minute).otherwise(F.col("windowStart"))
-    stretches = series.drop("hourOfDay", "dayOfWeek").withColumns({"stop": stop, "fresh": (before > longest_gap).cast("int")})
-    numbered = stretches.withColumn("run", F.coalesce(F.sum("fresh").over(order), F.lit(0)))
-    laid = numbered.withColumn("minute", F.explode(F.sequence("windowStart", "stop", minute)))
+    order = Window.partitionBy("wiki").orderBy("windowStart")  # of rows with events, not of minutes
+    start = F.unix_seconds("windowStart")
+    # The last row of a wiki lays out itself alone.
+    length = F.coalesce(((F.unix_seconds(F.lead("windowStart").over(order)) - start) / 60).cast("long"), F.lit(1).cast("long"))
+    laid, end = series.withColumn("length", length), F.col("length") - 1
+    laid = laid.withColumn("era", F.explode(F.sequence(F.lit(0).cast("long"), end, F.lit(1_440_000).cast("long"))))
+    tasks = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = laid.repartition(tasks, "wiki", "windowStart", "era")
+    laid = laid.withColumn("day", F.explode(F.sequence("era", F.least(end, F.col("era") + 1_439_999), F.lit(1_440).cast("long"))))
+    laid = laid.withColumn("offset", F.explode(F.sequence("day", F.least(end, F.col("day") + 1_439))))
+    at = F.timestamp_seconds(start + F.col("offset") * 60).alias("windowStart")
+    filled = laid.select("wiki", at, *[c.alias(n) for n, c in own.items()])
+    return filled.withColumns({"hourOfDay": F.hour("windowStart"), "dayOfWeek": F.dayofweek("windowStart")})
 
-    def own(name, zero):
-        return F.when(F.col("minute") == F.col("windowStart"), F.col(name)).otherwise(F.lit(zero)).alias(name)
 
-    counts = [own(n, 0) for n in ("editCount", "botEdits", "anonEdits")]
-    filled = laid.select("wiki", "run", F.col("minute"), *counts, own("avgDelta", 0.0)).withColumnRenamed("minute", "windowStart")
-    columns = ["wiki", "windowStart", "editCount", "avgDelta", "botEdits", "anonEdits", "run"]
-    return filled.select(*columns).withColumns({"hourOfDay": F.hour("windowStart"), "dayOfWeek": F.dayofweek("windowStart")})
+def _at_offset(values: dict[int, object], zero):
+    """The value for an ``offset`` among the given ones, ``zero`` for larger ones."""
+    out = F.lit(zero)
+    for offset, value in values.items():
+        out = F.when(F.col("offset") == offset, value).otherwise(out)
+    return out
+
+
+ZEROS = {"editCount": 0, "avgDelta": 0.0, "botEdits": 0, "anonEdits": 0}
 
 
 def whole_minutes(series: DataFrame) -> DataFrame:
-    """The series with every missing minute between a wiki's first and last one as 0, however long the gap.
+    """The series with every missing minute between a wiki's first and last one as 0, however long the gap."""
+    return _laid_out(series, {n: _at_offset({0: F.col(n)}, zero) for n, zero in ZEROS.items()})
+
+
+def whole_lags(series: DataFrame) -> DataFrame:
+    """``add_lags`` of ``whole_minutes``, without a window over minutes.
 
-    Each row lays out the minutes up to the next one in steps of a thousand days, a day and a minute, so that
-    arrays stay short.
+    The minute k after a row has as its lag n a zero if k > n, the row itself if k = n, else what stood n - k
+    minutes before the row: one of the three rows before it, a zero if none is that old, or nothing before the
+    wiki's first one. So lags follow from rows with events, before any gap is laid out.
     """
     order = Window.partitionBy("wiki").orderBy("windowStart")
-    start = F.unix_seconds("windowStart")
-    own = series.drop("hourOfDay", "dayOfWeek")
-    # Minutes to the next row of the wiki; the last row lays out itself alone.
-    laid = own.withColumn("length", F.coalesce(((F.unix_seconds(F.lead("windowStart").over(order)) - start) / 60).cast("long"), F.lit(1)))
-    end = F.col("length") - 1
-    laid = laid.withColumn("era", F.explode(F.sequence(F.lit(0).cast("long"), end, F.lit(1_440_000).cast("long"))))
-    laid = laid.withColumn("day", F.explode(F.sequence("era", F.least(end, F.col("era") + 1_439_999), F.lit(1_440).cast("long"))))
-    laid = laid.withColumn("offset", F.explode(F.sequence("day", F.least(end, F.col("day") + 1_439))))
-    at, first = F.timestamp_seconds(start + F.col("offset") * 60), F.col("offset") == 0
-    counts = [F.when(first, F.col(n)).otherwise(F.lit(0)).alias(n) for n in ("editCount", "botEdits", "anonEdits")]
-    filled = laid.select("wiki", at.alias("windowStart"), *counts, F.when(first, F.col("avgDelta")).otherwise(F.lit(0.0)).alias("avgDelta"))
-    columns = ["wiki", "windowStart", "editCount", "avgDelta", "botEdits", "anonEdits"]
-    return filled.select(*columns).withColumns({"hourOfDay": F.hour("windowStart"), "dayOfWeek": F.dayofweek("windowStart")})
+    first = F.min("windowStart").over(order)
+    seconds = F.unix_seconds("windowStart")
+
+    def ago(name: str, minutes: int, zero):
+        """What stood so many minutes before a row."""
+        out = F.when(seconds - F.unix_seconds(first) >= 60 * minutes, F.lit(zero))
+        for k in range(minutes, 0, -1):
+            out = F.when(seconds - F.unix_seconds(F.lag("windowStart", k).over(order)) == 60 * minutes, F.lag(name, k).over(order)).otherwise(out)
+        return out
+
+    wanted = [("editCount", 1), ("editCount", 2), ("editCount", 3), ("avgDelta", 1), ("botEdits", 1)]
+    known = series.withColumns({f"{n}_{k}": ago(n, k, ZEROS[n]) for n, k in wanted})
+    own = {n: _at_offset({0: F.col(n)}, zero) for n, zero in ZEROS.items()}
+
+    def lag(name: str, n: int):
+        return _at_offset({**{k: F.col(f"{name}_{n - k}") for k in range(n)}, n: F.col(name)}, ZEROS[name])
+
+    lags = {**{f"editLag{n}": lag("editCount", n) for n in (1, 2, 3)}, "deltaLag1": lag("avgDelta", 1), "botLag1": lag("botEdits", 1)}
+    filled = _laid_out(known, {**own, **lags})
+    columns = ["wiki", "windowStart", *ZEROS, "hourOfDay", "dayOfWeek", *lags]
+    return filled.select(*columns).dropna()
 
 
 def lag_features_dense(silver: DataFrame) -> DataFrame:
-    return add_lags(whole_minutes(minute_series(silver)))
+    return whole_lags(minute_series(silver))

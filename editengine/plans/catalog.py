@@ -22,7 +22,7 @@ from editengine.operators import (
 from editengine.operators.percentiles import exact_percentile
 from editengine.plans import registry, training
 from editengine.session import prepare, shared_dir, written
-from editengine.sources import events, tables
+from editengine.sources import events, layers, tables
 from editengine.streaming import pipeline, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -381,6 +381,41 @@ def _(spark, d):
     return tables.scan_store(spark, f"{root}/snapshot").select(*S.STORE_COLUMNS)
 
 
+@query("scan_keyed_store")
+def _(spark, d):
+    """A snapshot in buckets, with batches delivered since then merged over it while reading."""
+    root = shared_dir(spark, "keyed")
+    layers.write_keyed(store_rows(spark, d), f"{root}/snapshot", 8)
+    redelivered(spark, d).withColumn("batch_id", F.lit(1)).write.parquet(f"{root}/batches")
+    return layers.merged(layers.read_keyed(spark, f"{root}/snapshot"), spark.read.parquet(f"{root}/batches"), "batch_id")
+
+
+def day_table(spark, d):
+    """The store's rows in folders of their ingestion day, delivered in three parts."""
+    table = layers.DayTable(spark, shared_dir(spark, "days"))
+    rows = written(store_rows(spark, d), "store-rows")
+    for k in range(3):
+        table.append(rows.where(F.pmod("event_id", F.lit(3)) == k), F.to_date(F.timestamp_millis("ingestion_ts")))
+    return table
+
+
+@query("compact_layer")
+def _(spark, d):
+    table = day_table(spark, d)
+    table.compact("9999-01-01")
+    table.sweep(1)
+    return table.read().select(*S.STORE_COLUMNS)
+
+
+@query("expire_layer")
+def _(spark, d):
+    """Days beyond the time to live are forgotten as folders; only the border day is rewritten."""
+    table, as_of = day_table(spark, d), F.lit(AS_OF).cast("timestamp")
+    border = spark.range(1).select(F.to_date(F.timestamp_millis(F.unix_millis(as_of) - S.RETENTION_SECONDS * 1000)).cast("string")).first()[0]
+    table.expire(F.col("ingestion_ts") > F.unix_millis(as_of) - F.lit(S.RETENTION_SECONDS * 1000), border)
+    return table.read().select("event_id", "event_time", "ingestion_ts")
+
+
 @query("hourly_summary")
 def _(spark, d):
     return serving.hourly_summary(store_rows(spark, d))

@@ -334,6 +334,19 @@ def oracle() -> dict[str, str]:
         qualify row_number() over (partition by wiki, wiki_lang, event_time, event_id
           order by batch desc, ingestion_ts desc, type desc, title desc, user_name desc, byte_delta desc, comment desc) = 1)
       where ingestion_ts > epoch_ms(timestamp '{AS_OF}') - 604800000""")
+    put("scan_keyed_store", store, f"""
+      , first as (select * replace (case when type = 'categorize' then 0 else event_id end as event_id) from store),
+      feed as (
+        select *, 0 as batch from store union all by name select *, 1 as batch from first union all by name
+        select * replace (ingestion_ts + 60000 as ingestion_ts, 'again' as comment, 5 as comment_len), 1 as batch
+        from first where type in ('new', 'log'))
+      select {every} from feed
+      qualify row_number() over (partition by wiki, wiki_lang, event_time, event_id
+        order by batch desc, ingestion_ts desc, type desc, title desc, user_name desc, byte_delta desc, comment desc) = 1""")
+    put("compact_layer", store, f"select {_names(S.STORE_COLUMNS)} from store")
+    put("expire_layer", store, f"""
+      select event_id, event_time, ingestion_ts from store
+      where ingestion_ts > epoch_ms(timestamp '{AS_OF}') - 604800000""")
     put("hourly_summary", store, """
       select wiki, wiki_lang, date_trunc('hour', event_time) as hour_bucket, count(*) as total_edits from edits group by all""")
 

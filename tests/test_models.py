@@ -146,18 +146,6 @@ def test_split_keeps_rows_without_a_key(spark):
     assert test.where("id is null").count() > 0 and train.where("id is null").count() > 0
 
 
-def test_dense_minutes_stop_at_a_far_event(spark):
-    """An event years ahead begins a stretch of its own and lays out no minutes before it."""
-    rows = [("w", "2024-01-01 00:00:00", 2), ("w", "2024-01-01 00:04:00", 1), ("w", "9999-01-01 00:00:00", 5), ("w", "9999-01-01 00:03:00", 1)]
-    series = spark.createDataFrame(rows, "wiki string, at string, editCount long").select(
-        "wiki", F.col("at").cast("timestamp").alias("windowStart"), "editCount", F.lit(0.5).alias("avgDelta"),
-        F.lit(0).cast("long").alias("botEdits"), F.lit(0).cast("long").alias("anonEdits"), F.lit(0).alias("hourOfDay"), F.lit(1).alias("dayOfWeek"))
-    dense = features.dense_minutes(series)
-    assert [(r["run"], r["editCount"]) for r in dense.orderBy("windowStart").collect()] == [
-        (0, 2), (0, 0), (0, 0), (0, 0), (0, 1), (1, 5), (1, 0), (1, 0), (1, 1)]
-    assert features.add_lags(dense, ("wiki", "run")).count() == 3
-
-
 def test_roc_with_one_extreme_score(spark):
     rows = spark.range(30_000).select((F.rand(1) + F.col("id") % 3).alias("score"), (F.rand(2) < 0.3).cast("int").alias("label"))
     far = rows.union(spark.createDataFrame([(1e12, 1)], "score double, label int")).persist()

@@ -1,11 +1,10 @@
 """Every query with checking SQL, on the smallest tables."""
 
 import pytest
-from check_oracle import compare, connect
+from check_oracle import SMALL, compare, connect
 
 import __spark_entry__ as entry
 from editengine.plans.oracle import oracle
-from conftest import SMALL
 
 SQL = oracle()
 
