@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 U = np.uint64
-SEED, PIECE = 20, 1 << 22
+SEED, PIECE = 20, 1 << 18
 _RNG = np.random.default_rng(SEED)
 LETTERS = _RNG.integers(0, 2**64, 256, dtype=U)
 BASE = int(_RNG.integers(0, 2**63, dtype=U)) * 8 + 5
