@@ -38,6 +38,8 @@ WORDS, LEAST = 4, 85
 FURTHER, FREQUENT, SENT = 2, 16, 200_000
 # Tokens of a set that are counted: one and a half times its prefix, or so many. Tokens in a part of a leader's group.
 COUNTED, PART = 24, 1_000_000
+# Characters of texts handled at a time.
+SLICE = 1_000_000
 NAMES = [f"p{k}" for k in range(FURTHER + 1)]
 
 
@@ -118,7 +120,7 @@ def _counted(docs: DataFrame, rule: Rule) -> DataFrame:
         most = np.maximum(COUNTED, 3 * (sizes - rule.needed(sizes) + 1) // 2)
         return (pa.array(tokens[np.arange(len(own)) - offsets(sizes)[own] < most[own]]),)
 
-    return common.by_slice(common.id_text(docs), run, "token long")
+    return common.by_slice(common.id_text(docs), run, "token long", chars=SLICE)
 
 
 def orders_of(docs: DataFrame, rule: Rule) -> Orders:
@@ -163,7 +165,7 @@ def sets_of(docs: DataFrame, orders: Orders, seed: int = 0, also: Callable[[np.n
 
     further = ", ".join(f"{x} array<short>" for x in NAMES[1:])
     schema = f"doc_id long, mark long, node long, proof long, n long, {NAMES[0]} array<long>, {further}" + (", also long" if also else "")
-    return common.by_slice(common.id_text(docs).withColumn("mark", F.xxhash64("text")), run, schema)
+    return common.by_slice(common.id_text(docs).withColumn("mark", F.xxhash64("text")), run, schema, chars=SLICE)
 
 
 class Bitmap:
@@ -386,7 +388,7 @@ def _whole(docs: DataFrame, sets: DataFrame, nodes: DataFrame, rule: Rule, seed:
         return np.ascontiguousarray(digests(tokens, sizes, seed)[:, 0]), lists(tokens, offsets(sizes))
 
     rows = common.id_text(docs).where("doc_id IS NOT NULL").withColumn("h", F.xxhash64("doc_id"))
-    return common.by_slice(rows, run, "node long, tokens array<long>").join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    return common.by_slice(rows, run, "node long, tokens array<long>", chars=SLICE).join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
 def components(docs: DataFrame, sets: DataFrame, orders: Orders, seed: int = 0, proposed: DataFrame | None = None) -> DataFrame:

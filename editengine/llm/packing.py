@@ -21,14 +21,14 @@ CAPACITY = 1024
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, ids binary, task int, nth long"
 
 
-def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True, memo: int | None = None) -> DataFrame:
     """Every document's ids, those of longer ones cut from the end, so that only the first piece is shorter."""
     end = end_id.to_bytes(4, "little")
 
     def run(batches):
         from pyspark import TaskContext
 
-        encoder, task = shared_encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, task = shared_encoder(tokenizer, memo), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for part, texts in common.slices(batches):
             rows = []
@@ -86,7 +86,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
     return slots
 
 
-def pack(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True, memo: int | None = None) -> DataFrame:
     """One row per piece: its document's ids from ``start`` on, and its place (``sequence_id``, ``offset``).
 
     ``with_ids`` false leaves the ids themselves null; where they go and their checksum stay.
@@ -94,7 +94,7 @@ def pack(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY,
     Null and empty texts hold the end id alone. Repeated rows and null ids are packed like any other;
     an empty table gives no row.
     """
-    stored = common.cut(pieces(docs, tokenizer, capacity, end_id, with_ids), "pieces")
+    stored = common.cut(pieces(docs, tokenizer, capacity, end_id, with_ids, memo), "pieces")
     per_task = stored.groupBy("task", "length").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     base = per_task.select("task", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))

@@ -22,10 +22,11 @@ def tokenizer_path(name: str) -> str:
 MARK, ODD_MARK = re.compile(r"(?<=[^\W\d_])([.,])(?=[ \n])"), re.compile(r"[\W_][.,][ \n]")
 
 
-def shared_encoder(name_or_path: str) -> Encoder:
-    """The encoder of this Python worker, which keeps it, and what it remembers, from task to task."""
+def shared_encoder(name_or_path: str, entries: int | None = None) -> Encoder:
+    """The encoder of this Python worker, which keeps it, and the words it remembers, from task to task."""
     if name_or_path not in _SHARED:
         _SHARED[name_or_path] = Encoder(name_or_path)
+    _SHARED[name_or_path].entries = entries
     return _SHARED[name_or_path]
 
 
@@ -75,6 +76,7 @@ class Encoder:
         self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.memo: dict[str, bytes] = {}
+        self.entries: int | None = None
         # What the model gets for a Latin word behind a space, if it is either of these forms.
         samples = ["the", "The", "WORDS", "a", "reouannd", "Zyxq", "été", "Straße", "ÑANDÚ", "öffnen"]
         forms = (lambda w: _spell(" " + w)), (lambda w: _spell(w.lower()))
@@ -88,8 +90,9 @@ class Encoder:
         return array("I", [x.id for x in self.model.tokenize(form)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.memo) > MEMO_ENTRIES:
-            self.memo = dict(islice(self.memo.items(), MEMO_ENTRIES // 2))  # what came first is the most frequent
+        entries = self.entries or MEMO_ENTRIES
+        if len(self.memo) > entries:
+            self.memo = dict(islice(self.memo.items(), entries // 2))  # what came first is the most frequent
         out: list = [b""] * len(texts)
         whole, held, missing = [], [], set()
         for k, text in enumerate(texts):
