@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from editengine import schema as S
 from editengine.functions import columns as C
 from editengine.operators import (
-    bronze, edits, evaluate, features, gold, iforest, ingest, models, overview, serving, silver, trends,
+    bronze, edits, evaluate, features, gold, iforest, ingest, models, overview, serving, silver, sketches, trends,
 )
 from editengine.operators.percentiles import exact_percentile
 from editengine.plans import registry, training
@@ -496,6 +496,29 @@ def _(spark, d):
     return spark.read.parquet(f"{root}/gold")
 
 
+@query("gold_rollup_editors")
+def _(spark, d):
+    """Editors per hour and wiki from stored window sketches."""
+    stored = written(sketches.editor_sketches(silver_rows(spark, d)), "editor-sketches")
+    return sketches.rollup_editors(stored)
+
+
+@query("gold_rollup_editors_stream")
+def _(spark, d):
+    """The same from the sketches of the windows that a stream has closed."""
+    stored = sinks.run_to_table(sketches.editor_sketches(silver_stream(spark, d)), "gold-sketches")
+    return sketches.rollup_editors(stored)
+
+
+SHARES = {"median": 0.5, "p95": 0.95}
+
+
+@query("q2_size_sketches")
+def _(spark, d):
+    """Median and 95th percentile of edit sizes per wiki from stored day sketches."""
+    return sketches.merged_percentiles(written(sketches.size_sketches(store_rows(spark, d)), "size-sketches"), SHARES)
+
+
 @query("stream_multi_sink")
 def _(spark, d):
     root = shared_dir(spark, "pipeline")
@@ -949,3 +972,44 @@ def _(spark, d):
     near = QUERIES["gold_unique_editors_approx"](spark, d).withColumnRenamed("uniqueEditors", "near")
     both = QUERIES["gold_unique_editors"](spark, d).join(near, list(WINDOW))
     return both.select(*WINDOW, "uniqueEditors", (F.abs(F.col("near") - F.col("uniqueEditors")) <= F.greatest(F.lit(1.0), 0.15 * F.col("uniqueEditors"))).alias("sane"))
+
+
+def _editors_near(found, exact):
+    """Estimated editors of each hour lie within 5 % (or one) of the exact ones."""
+    near = F.abs(F.col("near") - F.col("uniqueEditors")) <= F.greatest(F.lit(1.0), 0.05 * F.col("uniqueEditors"))
+    both = found.withColumnRenamed("uniqueEditors", "near").join(exact, ["windowStart", "wiki"], "left")
+    return both.select("windowStart", "wiki", "totalEdits", "uniqueEditors", F.coalesce(near, F.lit(False)).alias("sane"))
+
+
+def _hourly_editors(article):
+    hour = F.date_trunc("hour", "eventTime").alias("windowStart")
+    return article.groupBy(hour, "wiki").agg(F.count_distinct("user").alias("uniqueEditors"))
+
+
+@query("gold_rollup_editors_checked")
+def _(spark, d):
+    exact = _hourly_editors(gold.article_edits(silver_rows(spark, d)))
+    return _editors_near(QUERIES["gold_rollup_editors"](spark, d), exact)
+
+
+@query("gold_rollup_editors_stream_checked")
+def _(spark, d):
+    """Held against the exact editors of the windows that the watermark has closed."""
+    article = gold.article_edits(silver_rows(spark, d))
+    closing = article.agg(F.max("eventTime") - F.expr(f"interval {S.GOLD_WATERMARK}")).scalar()
+    exact = _hourly_editors(article.where(F.window("eventTime", S.GOLD_WINDOW)["end"] <= closing))
+    return _editors_near(QUERIES["gold_rollup_editors_stream"](spark, d), exact)
+
+
+@query("q2_size_sketches_checked")
+def _(spark, d):
+    """The rank of each reported value, counted exactly, lies within 1 % of its share."""
+    sizes = store_rows(spark, d).where("type = 'edit'").select("wiki", "byte_delta")
+    ranked = sizes.join(QUERIES["q2_size_sketches"](spark, d), "wiki")
+    def share(test):
+        return F.avg(F.when(test, 1.0).otherwise(0.0))
+    tests = [
+        ((share(F.col("byte_delta") < F.col(n)) <= p + 0.01) & (share(F.col("byte_delta") <= F.col(n)) >= p - 0.01)).alias(f"{n}_near")
+        for n, p in SHARES.items()
+    ]
+    return ranked.groupBy("wiki", "edits").agg(*tests)

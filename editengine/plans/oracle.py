@@ -576,6 +576,15 @@ def oracle() -> dict[str, str]:
       union all select * from (values ('bot', 'best_name', true), ('bot', 'best_auc', true), ('clusters', 'silhouette', true),
         ('isolation_forest', 'anomalies', true), ('trends', 'top_page', true), ('volume', 'rmse', true), ('volume', 'r2', true)) t(model, metric, sane)"""
     put("gold_unique_editors_approx_checked", gold, f'select {span}, "uniqueEditors", true as sane from gold')
+    hourly = """
+      select time_bucket(interval '1 hour', "eventTime") as "windowStart", wiki, count(*) as "totalEdits",
+        count(distinct "user") as "uniqueEditors", true as sane from article"""
+    put("gold_rollup_editors_checked", gold, f"{hourly} group by all")
+    put("gold_rollup_editors_stream_checked", gold, f"""{hourly}
+      where time_bucket(interval '5 minutes', "eventTime") + interval '5 minutes'
+        <= (select max("eventTime") from article) - interval '1 minute' group by all""")
+    put("q2_size_sketches_checked", store, """
+      select wiki, count(*) as edits, true as median_near, true as p95_near from store where type = 'edit' group by wiki""")
     sql["percentile_quantity"] = """
       select l_returnflag, round(quantile_cont(cast(l_extendedprice as decimal(15,2))::double, 0.95), 4) as p95 from lineitem group by l_returnflag"""
     return sql
