@@ -191,13 +191,21 @@ def fit_predict(
     """The forest, and ``key`` and ``columns`` of the rows it was fitted on with their predictions.
 
     The rows' key and columns are written once; growing, scoring and the threshold read them there, and
-    each row is scored once. Columns are scaled to their ranges, which stay with the forest.
+    each row is scored once. Columns are scaled to their ranges, which stay with the forest. Of an empty
+    frame the forest is a single leaf, which calls nothing an outlier.
     """
     columns = list(columns)
     kept = written(df.select(key, *[F.col(c).cast("double").alias(c) for c in columns]), "forest-rows")
     ranges = kept.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("low", F.min), ("high", F.max))]).first()
     if any(ranges[f"low_{c}"] is None for c in columns):
-        raise ValueError("isolation forest needs at least one row")
+        if not kept.isEmpty():
+            raise ValueError("isolation forest needs a value in every column")
+        leaf = np.full((1, 1), -1, dtype="int32")
+        bare = np.zeros((1, 1))
+        forest = IsolationForest(
+            columns, np.zeros(len(columns)), np.ones(len(columns)), leaf, bare, leaf, leaf, bare, norm=1.0, levels=0, threshold=1.0
+        )
+        return forest, forest.flag(kept.withColumn("score", F.lit(1.0)))
     base = np.array([ranges[f"low_{c}"] for c in columns])
     span = np.array([ranges[f"high_{c}"] for c in columns]) - base
 

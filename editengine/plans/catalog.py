@@ -765,18 +765,21 @@ def _(spark, d):
     return iforest.fit_predict(feature_rows(spark, d), S.CLUSTER_FEATURES)[1].select("id", "score", "anomaly", "outlier")
 
 
+def _forecast_rows(lagged, by_time=False):
+    """The test rows with their predictions; no rows where there is nothing to learn from or to test on."""
+    forecast = models.volume_forecast(lagged, by_time=by_time)
+    found = forecast.predictions if forecast else lagged.limit(0).withColumn("prediction", F.lit(0.0))
+    return found.select("wiki", "windowStart", "editCount", "prediction", "hourOfDay")
+
+
 @query("volume_forecast")
 def _(spark, d):
-    forecast = models.volume_forecast(lagged_rows(spark, d))
-    return forecast.predictions.select("wiki", "windowStart", "editCount", "prediction", "hourOfDay").orderBy(
-        "windowStart", "wiki"
-    )
+    return _forecast_rows(lagged_rows(spark, d)).orderBy("windowStart", "wiki")
 
 
 @query("volume_forecast_by_time")
 def _(spark, d):
-    forecast = models.volume_forecast(lagged_rows(spark, d), by_time=True)
-    return forecast.predictions.select("wiki", "windowStart", "editCount", "prediction", "hourOfDay")
+    return _forecast_rows(lagged_rows(spark, d), by_time=True)
 
 
 @query("feature_importances")
@@ -1013,3 +1016,95 @@ def _(spark, d):
         for n, p in SHARES.items()
     ]
     return ranked.groupBy("wiki", "edits").agg(*tests)
+
+
+# --- Floors that a constant or random predictor does not reach ---
+
+AUC_FLOOR = 0.8
+
+
+for _name in ("bot_rf", "bot_lr", "bot_dt", "bot_model_selection"):
+    @query(f"{_name}_floor_checked")
+    def _(spark, d, name=_name):
+        area = evaluate.roc_auc(QUERIES[name](spark, d), "botProbability", "isBot")
+        return area.select("positives", "negatives", (F.col("areaUnderROC") >= AUC_FLOOR).alias("above_floor"))
+
+
+@query("edit_clusters_floor_checked")
+def _(spark, d):
+    """Five clusters leave at most half of the scaled features' spread; a random assignment leaves nearly all."""
+    scaled = features.minmax_scale(feature_rows(spark, d), S.CLUSTER_FEATURES)
+    found = scaled.join(QUERIES["edit_clusters"](spark, d), "id")
+
+    def spread(rows, *keys):
+        moments = rows.groupBy(*keys).agg(
+            F.count("*").alias("rows"), sum(F.var_pop(c) for c in S.CLUSTER_FEATURES).alias("variance")
+        )
+        return moments.agg(
+            F.sum("rows").alias("rows"), F.sum(F.col("rows") * F.col("variance")).alias("spread"), F.count("*").alias("clusters")
+        )
+
+    whole = spread(scaled).select(F.col("spread").alias("all"), F.col("rows").alias("allRows"))
+    return spread(found, "cluster").join(F.broadcast(whole), F.col("rows") == F.col("allRows")).select(
+        "rows", "clusters", (F.col("spread") <= 0.5 * F.col("all")).alias("tight")
+    )
+
+
+@query("isolation_forest_floor_checked")
+def _(spark, d):
+    """Planted rows far from all others, one in a hundred, are flagged, and few others are."""
+    rows = feature_rows(spark, d).select("id", *[F.col(c).cast("double").alias(c) for c in S.CLUSTER_FEATURES])
+    size = F.lit(1e6) + F.col("id") % 997 * 1000
+    far = {"byte_delta": -size, "absDelta": size, "title_len": F.lit(5e3) + F.col("id") % 89, "commentLen": F.lit(5e3) + F.col("id") % 97}
+    planted = rows.where(F.col("id") % 100 == 0).withColumns(far).withColumn("id", -F.col("id") - 1)
+    flagged = iforest.fit_predict(rows.unionByName(planted), S.CLUSTER_FEATURES)[1]
+    return flagged.agg(
+        F.count_if(F.col("id") < 0).alias("planted"),
+        (F.avg(F.when(F.col("id") < 0, F.col("anomaly"))) >= 0.99).alias("caught"),
+        (F.avg(F.when(F.col("id") >= 0, F.col("anomaly"))) <= 0.05).alias("others_left"),
+    )
+
+
+def _beats_lags(spark, d, name):
+    """The forecast's test rows, and whether its squared error is below that of the mean of three lags."""
+    lagged = lagged_rows(spark, d)
+    found = QUERIES[name](spark, d).select("wiki", "windowStart", "prediction").join(lagged, ["wiki", "windowStart"])
+    mean = (F.col("editLag1") + F.col("editLag2") + F.col("editLag3")) / 3.0
+    error, naive = (F.avg(F.pow(F.col("editCount") - c, F.lit(2.0))) for c in (F.col("prediction"), mean))
+    return found.agg(F.count("*").alias("rows"), (error < naive).alias("beats_lags"))
+
+
+@query("volume_forecast_floor_checked")
+def _(spark, d):
+    return _beats_lags(spark, d, "volume_forecast")
+
+
+@query("volume_forecast_by_time_checked")
+def _(spark, d):
+    """Tested on the end of the time span alone, and on all of it.
+
+    There is no floor for the error: of the smallest table's few minutes the forecast by time does not
+    beat the mean of three lags.
+    """
+    lagged = lagged_rows(spark, d)
+    found = QUERIES["volume_forecast_by_time"](spark, d)
+    rows = found.count()
+    tail = lagged.where(F.col("windowStart") >= found.agg(F.min("windowStart")).scalar()).count()
+    share = rows / max(lagged.count(), 1)
+    finite = (~F.isnan("prediction")) & (F.abs("prediction") < 1e9)
+    return found.agg(F.bool_and(finite).alias("finite")).select(
+        "finite", F.lit(tail == rows).alias("all_late"), F.lit(0.1 <= share <= 0.21).alias("a_fifth")
+    )
+
+
+@query("save_metrics_checked")
+def _(spark, d):
+    """The saved areas are those of the classifiers' own predictions, computed another way."""
+    saved = QUERIES["save_metrics"](spark, d).where("metric = 'auc'")
+    fitted = {"LogisticRegression": "bot_lr", "DecisionTree": "bot_dt", "RandomForest": "bot_rf"}
+    own = [
+        evaluate.roc_auc(QUERIES[n](spark, d), "botProbability", "isBot").select(F.lit(m).alias("model"), "areaUnderROC")
+        for m, n in fitted.items()
+    ]
+    both = saved.join(own[0].union(own[1]).union(own[2]), "model", "left")
+    return both.select("model", F.coalesce(F.abs(F.col("value") - F.col("areaUnderROC")) < 1e-9, F.lit(False)).alias("sane"))

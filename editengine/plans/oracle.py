@@ -585,6 +585,20 @@ def oracle() -> dict[str, str]:
         <= (select max("eventTime") from article) - interval '1 minute' group by all""")
     put("q2_size_sketches_checked", store, """
       select wiki, count(*) as edits, true as median_near, true as p95_near from store where type = 'edit' group by wiki""")
+    # Models: floors
+    for name in ("bot_rf", "bot_lr", "bot_dt", "bot_model_selection"):
+        put(f"{name}_floor_checked", feats, f"""
+          select cast(sum("isBot") as bigint) as positives, cast(sum(1 - "isBot") as bigint) as negatives, true as above_floor
+          from features where {test}""")
+    put("edit_clusters_floor_checked", feats, 'select count(*) as "rows", cast(5 as bigint) as clusters, true as tight from features')
+    put("isolation_forest_floor_checked", feats, """
+      select count(*) as planted, true as caught, true as others_left from features where id % 100 = 0""")
+    put("volume_forecast_floor_checked", minutes + _lags("minutes"), """
+      select count(*) as "rows", true as beats_lags from lagged
+      where substr(md5('42:' || wiki || '|' || cast(cast(epoch("windowStart") as bigint) as varchar)), 1, 8) < '33333333'""")
+    sql["volume_forecast_by_time_checked"] = "select true as finite, true as all_late, true as a_fifth"
+    sql["save_metrics_checked"] = """
+      select model, true as sane from (values ('LogisticRegression'), ('DecisionTree'), ('RandomForest')) t(model)"""
     sql["percentile_quantity"] = """
       select l_returnflag, round(quantile_cont(cast(l_extendedprice as decimal(15,2))::double, 0.95), 4) as p95 from lineitem group by l_returnflag"""
     return sql

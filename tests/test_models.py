@@ -177,3 +177,17 @@ def test_training_job_saves_everything(spark, tmp_path):
     # New rows are scaled as the forest's own were: a part of the rows gets the scores it had among all.
     part = forest.predict(rows.where("id % 7 = 0")).select("id", "score").exceptAll(done.forest.predict(rows).select("id", "score"))
     assert part.count() == 0
+
+
+def test_models_of_no_rows(spark, rows, tmp_path):
+    forest, flagged = iforest.fit_predict(rows.limit(0), S.CLUSTER_FEATURES)
+    assert flagged.count() == 0 and {"score", "anomaly", "outlier"} <= set(flagged.columns)
+    forest.save(spark, f"{tmp_path}/forest")
+    loaded = iforest.IsolationForest.load(spark, f"{tmp_path}/forest")
+    assert loaded.predict(rows).agg(F.max("anomaly"), F.min("outlier")).first()[:] == (0, 1)
+    lagged = catalog.lagged_rows(spark, "/root/testdata/sf0.001").limit(0)
+    for by_time in (False, True):
+        empty = catalog._forecast_rows(lagged, by_time)
+        assert empty.columns == ["wiki", "windowStart", "editCount", "prediction", "hourOfDay"] and empty.count() == 0
+    with pytest.raises(ValueError):
+        iforest.fit(spark.createDataFrame([(1, None)], "id long, a double"), ["a"])
