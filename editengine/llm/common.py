@@ -97,24 +97,27 @@ def components(links: DataFrame, label: str) -> DataFrame:
     """``node``, ``root``: for every node that is not the smallest of its component over the links
     (``a``, ``b``), the one that is.
 
-    Large-star and small-star rounds: each hangs neighbours on the smallest one known, until nothing
-    changes. A node's neighbours are only summed up by their minimum and then joined, never gathered;
-    every round is written to the shared folder.
+    Large-star and small-star rounds: each hangs neighbours on the smallest one known, until every node hangs
+    on one that hangs on none. A node's neighbours are only summed up by their minimum and then joined, never
+    gathered; every round is written to the shared folder.
     """
-    spark = links.sparkSession
     edges = cut(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
-    while True:
+    while not _stars(edges):
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
         large = both.join(least, "a").where("b > a and b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.union(least.where("m < a").select("a", F.col("m").alias("b"))).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        after = cut(small.select("e.a", "e.b").where("a != b").distinct(), label)
-        changed = after.join(edges, ["a", "b"], "left_anti").limit(1).count() + edges.join(after, ["a", "b"], "left_anti").limit(1).count()
-        edges = after
-        if not changed:
-            return edges.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
+        edges = cut(small.select("e.a", "e.b").where("a != b").distinct(), label)
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether each ``a`` has one ``b`` that has none itself; the smaller end is then the smallest of its component."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("up")), F.struct(F.col("b").alias("node"), F.lit(0).alias("up")))).alias("e"))
+    held = ends.groupBy("e.node").agg(F.sum("e.up").alias("up"), F.count(F.lit(1)).alias("n"))
+    return held.where("up > 1 OR (up = 1 AND n > 1)").isEmpty()
 
 
 def arrow_schema(schema) -> pa.Schema:
