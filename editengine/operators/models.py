@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import MinMaxScaler, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +22,8 @@ from editengine.operators import evaluate
 from editengine.operators.features import split_by_key
 
 SEED = 42
+# Rows of the sample from which clusterings choose the centroids they begin with; every round reads all rows.
+SEED_ROWS = 10_000
 
 
 def _scaled(columns: Sequence[str], scaler) -> list:
@@ -97,19 +101,89 @@ def select_bot_model(features: DataFrame) -> BotSelection:
     return BotSelection(models, auc, max(auc, key=auc.get), test)
 
 
+def _nearest(of: Sequence[Sequence[Sequence[float]]]) -> Column:
+    """For each start its number and the ``cost`` and ``cluster`` of its closest centroid, the first on ties."""
+    table = F.array(*[F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in own]) for own in of])
+
+    def squared(centroid: Column) -> Column:
+        return F.aggregate(F.zip_with("point", centroid, lambda x, c: (x - c) * (x - c)), F.lit(0.0), lambda total, x: total + x)
+
+    def closest(own: Column, start: Column) -> Column:
+        costs = F.transform(own, lambda c, k: F.struct(squared(c).alias("cost"), k.alias("cluster")))
+        return F.struct(start.alias("start"), F.array_min(costs).alias("best"))
+
+    return F.transform(table, closest)
+
+
+def _seeds(points: DataFrame, k: int, starts: int) -> list[list[list[float]]]:
+    """The centroids that each start begins with: points of a sample of ``SEED_ROWS`` rows, those far from the chosen
+    ones likelier."""
+    sample = points.orderBy(F.xxhash64("point", F.lit(SEED))).limit(SEED_ROWS).toPandas()["point"]
+    sample = np.unique(np.array(sample.tolist(), dtype=float), axis=0)
+    out = []
+    for start in range(starts):
+        rng = np.random.default_rng(SEED + start)
+        chosen = [sample[rng.integers(len(sample))]]
+        while len(chosen) < min(k, len(sample)):
+            far = np.min([((sample - c) ** 2).sum(axis=1) for c in chosen], axis=0)
+            chosen.append(sample[rng.choice(len(sample), p=far / far.sum())])
+        out.append([c.tolist() for c in chosen])
+    return out
+
+
+@dataclass
+class Starts:
+    """The centroids of every start, what each costs over all rows, and how often the rows were read for them."""
+
+    centroids: list[list[list[float]]]
+    costs: list[float]
+    scans: int
+
+
+def multi_start(points: DataFrame, k: int, starts: int, rounds: int = 20, still: float = 1e-4) -> Starts:
+    """k-means from several starts over the arrays ``point``; each round is one aggregate that serves them all.
+
+    Rows are summed up by (start, cluster) inside the map tasks, so a task sends ``starts * k`` rows whatever it
+    reads. A start stays where it is when no centroid moves further than ``still``. A centroid without rows
+    stays. The last scan gives the costs of the final centroids.
+    """
+    now, moving = _seeds(points, k, starts), set(range(starts))
+    width = len(now[0][0])
+    for done in range(rounds + 1):
+        best = points.select("point", F.explode(_nearest(now)).alias("s"))
+        sums = best.groupBy(F.col("s.start").alias("start"), F.col("s.best.cluster").alias("cluster")).agg(
+            F.count("*").alias("n"), F.sum("s.best.cost").alias("cost"), F.array(*[F.sum(F.col("point")[i]) for i in range(width)]).alias("total")
+        ).collect()  # a row for each centroid
+        costs = [sum(r["cost"] for r in sums if r["start"] == s) for s in range(starts)]
+        if not moving or done == rounds:
+            return Starts(now, costs, done + 1)
+        moved: dict[int, float] = {}
+        for r in sums:
+            if r["start"] in moving:
+                after = [x / r["n"] for x in r["total"]]
+                before = now[r["start"]][r["cluster"]]
+                moved[r["start"]] = max(moved.get(r["start"], 0.0), sum((x - y) ** 2 for x, y in zip(after, before)))
+                now[r["start"]][r["cluster"]] = after
+        moving = {s for s in moving if moved.get(s, 0.0) > still**2}
+    raise AssertionError("the last round returns")
+
+
 def edit_clusters(features: DataFrame, k: int = 5, starts: int = 1) -> PipelineModel:
-    """KMeans on min-max scaled features; of several starts the one with the least cost."""
+    """KMeans on min-max scaled features; of several starts, moved together, the one with the least cost."""
     scaling = Pipeline(stages=_scaled(S.CLUSTER_FEATURES, MinMaxScaler())).fit(features)
     scaled = scaling.transform(features).select("features").persist()
+    kmeans = KMeans(k=k, featuresCol="features", predictionCol="cluster", seed=SEED, maxIter=20)
     try:
-        fitted = [
-            KMeans(k=k, featuresCol="features", predictionCol="cluster", seed=SEED + s, maxIter=20).fit(scaled)
-            for s in range(starts)
-        ]
-        best = min(fitted, key=lambda m: m.summary.trainingCost)
+        if starts == 1:
+            return PipelineModel(stages=[*scaling.stages, kmeans.fit(scaled)])
+        tried = multi_start(scaled.select(vector_to_array("features").alias("point")), k, starts)
+        best = tried.centroids[min(range(starts), key=tried.costs.__getitem__)]
+        # A model of exactly these centroids: they are the only rows, and each stays its own cluster.
+        rows = features.sparkSession.createDataFrame([(Vectors.dense(c),) for c in best], ["features"])
+        final = kmeans.copy({kmeans.initMode: "random", kmeans.maxIter: 1, kmeans.k: max(2, len(best))}).fit(rows)
     finally:
         scaled.unpersist()
-    return PipelineModel(stages=[*scaling.stages, best])
+    return PipelineModel(stages=[*scaling.stages, final])
 
 
 def nearest_centroid(

@@ -3,6 +3,8 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from editengine import schema as S
@@ -72,6 +74,47 @@ def test_clusters(rows):
     assert mine.join(clustered.select("id", "cluster"), "id").where("mine <> cluster").count() == 0
 
 
+def _points(rows):
+    scaled = features.minmax_scale(rows, S.CLUSTER_FEATURES)
+    return scaled.select(F.array(*[F.col(c).cast("double") for c in S.CLUSTER_FEATURES]).alias("point"))
+
+
+def test_starts_move_together_as_each_would_alone(rows):
+    """All starts against a plain loop over the same seeds: centroids, costs, one scan for each round."""
+    points = _points(rows).persist()
+    table = np.array(points.toPandas()["point"].tolist())
+    found = models.multi_start(points, 5, 4, rounds=6, still=0.0)
+    assert found.scans <= 7
+    for start, seeds in enumerate(models._seeds(points, 5, 4)):
+        now = np.array(seeds)
+        for _ in range(6):
+            near = ((table[:, None, :] - now) ** 2).sum(axis=2).argmin(axis=1)
+            now = np.array([table[near == c].mean(axis=0) if (near == c).any() else now[c] for c in range(5)])
+        cost = ((table[:, None, :] - now) ** 2).sum(axis=2).min(axis=1).sum()
+        assert np.allclose(found.centroids[start], now, atol=1e-9)
+        assert found.costs[start] == pytest.approx(cost, rel=1e-9)
+    points.unpersist()
+
+
+def test_ten_starts_cost_no_more_than_ten_fits(rows):
+    points = _points(rows).persist()
+    vectors = points.select(array_to_vector("point").alias("features")).persist()
+    separate = min(KMeans(k=5, seed=models.SEED + s, maxIter=20).fit(vectors).summary.trainingCost for s in range(10))
+    together = models.multi_start(points, 5, 10)
+    assert min(together.costs) <= 1.01 * separate
+    centers = [c.tolist() for c in models.edit_clusters(rows, starts=10).stages[-1].clusterCenters()]
+    best = together.centroids[min(range(10), key=together.costs.__getitem__)]
+    assert np.allclose(sorted(centers), sorted(best), atol=1e-9)
+    points.unpersist()
+    vectors.unpersist()
+
+
+def test_fewer_different_points_than_clusters(spark):
+    points = spark.createDataFrame([([0.0, 1.0],), ([0.0, 1.0],), ([2.0, 0.0],)], "point array<double>")
+    found = models.multi_start(points, 5, 3)
+    assert found.costs == [0.0, 0.0, 0.0] and all(len(c) == 2 for c in found.centroids)
+
+
 def test_isolation_forest_finds_planted_outliers(spark):
     n = 4000
     base = spark.range(n).select("id", (F.randn(1)).alias("a"), (F.randn(2)).alias("b"))
