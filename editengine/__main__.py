@@ -56,6 +56,8 @@ def main() -> None:
     if args.job == "publish":
         lines = tables.read_lines(spark, args.lines, stream=args.checkpoint is not None)
         if args.checkpoint:
+            # Counters of all batches and runs, beside the checkpoint.
+            spark.streams.addListener(sinks.StreamTotals(spark, f"{args.checkpoint.rstrip('/')}-totals"))
             messages = ingest.publishable(ingest.observed(lines, wiki=args.wiki, types=args.types), args.wiki, args.types)
             if args.servers:
                 running = sinks.stream_kafka(messages, args.servers, args.topic, args.checkpoint)

@@ -237,6 +237,29 @@ def _(spark, d):
     return ingest.counters(lines(spark, d), wiki="enwiki", types=["edit", "new"])
 
 
+@query("stream_counters")
+def _(spark, d):
+    """The counters of a stream that is stopped and started again, out of the figures saved beside its checkpoint."""
+    root, wiki, types = shared_dir(spark, "counted"), "enwiki", ["edit", "new"]
+    for half in range(2):
+        part = lines(spark, d).where(F.pmod(F.xxhash64("value"), F.lit(2)) == half)
+        part.write.mode("append").text(f"{root}/feed")
+        totals = sinks.StreamTotals(spark, f"{root}/totals")
+        spark.streams.addListener(totals)
+        try:
+            arriving = ingest.observed(tables.read_lines(spark, f"{root}/feed", stream=True), "feed", wiki, types)
+            running = sinks.write_parquet(
+                ingest.publishable(arriving, wiki, types), f"{root}/published", f"{root}/checkpoint", available_now=True
+            )
+            running.awaitTermination()
+            totals.wait(running)
+        finally:
+            spark.streams.removeListener(totals)
+    found = totals.totals(running.id)
+    names = ("published", "filtered_out", "parse_errors", "blank")
+    return spark.createDataFrame([tuple(int(found.get(f"feed.{x}", 0)) for x in names)], ", ".join(f"{x} long" for x in names))
+
+
 @query("key_ordered_partitions")
 def _(spark, d):
     """With a flag: does the row come after the one before it in its partition?"""

@@ -261,11 +261,13 @@ def oracle() -> dict[str, str]:
       '{{"a":[1,{{"b":"}}"}}]}}' as deep, true as kept_null from raw where {readable}"""
     put("publish", base, extended)
     put("publish_stream", base, extended)
-    put("ingest_counters", base, f"""
+    counters = f"""
       select count(*) filter ({readable} and keep) as published,
         count(*) filter ({readable} and not keep) as filtered_out,
         count(*) filter ({TRUNCATED} and not ({BLANKED})) as parse_errors, count(*) filter ({BLANKED}) as blank
-      from (select id, coalesce(wiki = 'enwiki', false) and type in ('edit', 'new') as keep from raw)""")
+      from (select id, coalesce(wiki = 'enwiki', false) and type in ('edit', 'new') as keep from raw)"""
+    put("ingest_counters", base, counters)
+    put("stream_counters", base, counters)
     put("key_ordered_partitions", base, "select coalesce(wiki, 'unknown') as key, ingestion_ts, id, true as in_order from raw")
 
     # Bronze

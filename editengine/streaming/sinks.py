@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import logging
+import threading
 import time
 from collections import deque
 
@@ -14,6 +16,7 @@ from editengine import schema as S
 from editengine.operators import serving
 from editengine.session import shared_dir
 from editengine.sources import tables
+from editengine.sources.layers import Folder
 
 log = logging.getLogger(__name__)
 
@@ -163,3 +166,67 @@ class LateRows(StreamingQueryListener):
 
     def onQueryTerminated(self, event) -> None:
         pass
+
+
+class StreamTotals(StreamingQueryListener):
+    """Observed figures of each query, added up over its batches and kept in a folder, so that they survive a restart.
+
+    A query is known by the id in its checkpoint. Its last batch is kept apart from the batches before it: if it is
+    delivered again after a failure, its figures replace themselves. ``missing`` counts batches that ended
+    without a report, as when the driver is lost between the two. Put it to ``spark.streams.addListener`` before
+    the queries start; it holds a few numbers per query, and a folder serves one listener at a time.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.folder = Folder(spark, path)
+        saved = sorted(x for x in self.folder.names() if x.endswith(".json"))
+        self.number = int(saved[-1].removesuffix(".json")) if saved else 0
+        self.state: dict[str, dict] = json.loads(self.folder.read(saved[-1])) if saved else {}
+        self._ended: dict[str, threading.Event] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self._ended[str(event.runId)] = threading.Event()
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        figures = {"rows": progress.numInputRows, "busy_ms": progress.durationMs.get("triggerExecution", 0)}
+        for name, row in progress.observedMetrics.items():
+            figures |= {f"{name}.{k}": v for k, v in row.asDict().items()}
+        own = self.state.setdefault(str(progress.id), {"batch": -1, "missing": 0, "before": {}, "last": {}})
+        if progress.batchId < own["batch"]:
+            return
+        if progress.batchId > own["batch"]:
+            own["before"] = _added(own["before"], own["last"])
+            own["missing"] += progress.batchId - own["batch"] - 1
+            own["batch"] = progress.batchId
+        own["last"] = figures
+        self._save()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended.setdefault(str(event.runId), threading.Event()).set()
+
+    def _save(self) -> None:
+        """The next file is there before the one before it goes."""
+        self.number += 1
+        self.folder.create(f"{self.number:012d}.json", json.dumps(self.state))
+        for name in self.folder.names():
+            if name.endswith(".json") and int(name.removesuffix(".json")) < self.number:
+                self.folder.delete(name)
+
+    def wait(self, query: StreamingQuery, seconds: float = 60) -> None:
+        """Reports come behind the query; until all of an ended query's are in."""
+        if not self._ended.setdefault(str(query.runId), threading.Event()).wait(seconds):
+            raise TimeoutError(f"no report of the end of {query.runId}")
+
+    def totals(self, query_id: str) -> dict[str, float]:
+        """A query's figures over all its batches, with ``missing`` batches and ``rows_per_second`` while it was busy."""
+        own = self.state.get(str(query_id), {"missing": 0, "before": {}, "last": {}})
+        out = {"rows": 0, "busy_ms": 0, **_added(own["before"], own["last"])}
+        return {**out, "missing": own["missing"], "rows_per_second": 1000 * out["rows"] / out["busy_ms"] if out["busy_ms"] else 0.0}
+
+
+def _added(one: dict, other: dict) -> dict:
+    return {k: one.get(k, 0) + other.get(k, 0) for k in {**one, **other}}
