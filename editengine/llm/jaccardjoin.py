@@ -196,9 +196,11 @@ class Bitmap:
 
 
 class Index:
-    """Sets side by side, those of a task together: their prefixes under every order, and with ``tokens`` the whole."""
+    """Sets side by side, those of a task together: their prefixes under every order, with ``tokens`` the whole, and
+    their fingerprints ``also``."""
 
-    def __init__(self, rule: Rule, sizes: np.ndarray, prefixes: list[tuple[np.ndarray, np.ndarray]], tokens: np.ndarray | None = None):
+    def __init__(self, rule: Rule, sizes: np.ndarray, prefixes: list[tuple[np.ndarray, np.ndarray]], tokens: np.ndarray | None = None, also: np.ndarray | None = None):
+        self.also = also
         self.rule, self.sizes, self.more = rule, sizes, rule.more(sizes)
         self.prefixes = [(x.astype(np.int16).view(np.uint16), b) for x, b in prefixes]
         self.mask = np.zeros(1 << 16, dtype=bool)
@@ -256,29 +258,32 @@ class Holders:
         return np.flatnonzero(self.seen) + self.first
 
 
-def _others(index: Index, first: int, last: int, side: np.ndarray | None):
-    """For each set of a task those behind it that may pass; with ``side``, only those of the other side."""
+def _others(index: Index, first: int, last: int, side: np.ndarray | None, apart: int | None = None):
+    """For each set of a task those behind it that may pass; with ``side``, only those of the other side, with
+    ``apart``, only those whose fingerprints differ in more bits."""
     holders = Holders(index, first, last) if last - first > 100 else None
     for k in range(first, last - 1):
         others = np.arange(k + 1, last) if holders is None else holders.of(k)
         others = others[others > k]
+        if apart is not None:
+            others = others[np.bitwise_count(index.also[others] ^ index.also[k]) > apart]
         yield k, others if side is None else others[side[others] != side[k]]
 
 
-def hopeful(index: Index, first: int, last: int, side: np.ndarray | None = None) -> np.ndarray:
+def hopeful(index: Index, first: int, last: int, side: np.ndarray | None = None, apart: int | None = None) -> np.ndarray:
     """Which sets of a task pass every filter with another one."""
     found = np.zeros(last, dtype=bool)
-    for k, others in _others(index, first, last, side):
+    for k, others in _others(index, first, last, side, apart):
         others = index.candidates(k, others[~found[others]] if found[k] else others)
         found[others] = True
         found[k] |= len(others) > 0
     return found[first:]
 
 
-def forest(index: Index, first: int, last: int, side: np.ndarray | None = None) -> np.ndarray:
+def forest(index: Index, first: int, last: int, side: np.ndarray | None = None, apart: int | None = None) -> np.ndarray:
     """For each set of a task the first one of its component over the links; with ``side``, over those between the sides."""
     label = np.arange(last)
-    for k, others in _others(index, first, last, side):
+    for k, others in _others(index, first, last, side, apart):
         found = np.unique(label[index.partners(k, others[label[others] != label[k]])])
         if len(found):
             label[np.isin(label, found) | (label == label[k])] = min(label[k], found[0])
@@ -286,6 +291,7 @@ def forest(index: Index, first: int, last: int, side: np.ndarray | None = None)
 
 
 TASK = ["leader", "u", "v"]
+PROPOSED = 1 << 30  # parts of proposed groups are numbered from here on
 AT_ONCE = 8 << 20  # bytes
 
 
@@ -314,60 +320,69 @@ def _by_task(rows: DataFrame, fn, schema: str) -> DataFrame:
     return rows.repartition(*TASK).sortWithinPartitions(*TASK).mapInArrow(run, schema)
 
 
-def _tasks(rows: pa.Table):
-    """Where each task of a table begins and ends, and which rows are of its first side if it has two."""
+def _tasks(rows: pa.Table, within: int | None = None):
+    """Where each task of a table begins and ends, which rows are of its first side if it has two, and ``within``
+    unless its group was proposed."""
     leader, u, v, own = (rows.column(x).to_numpy() for x in (*TASK, "own"))
     cuts = np.flatnonzero((leader[1:] != leader[:-1]) | (u[1:] != u[:-1]) | (v[1:] != v[:-1])) + 1
     for first, last in zip([0, *cuts.tolist()], [*cuts.tolist(), len(leader)], strict=True):
-        yield first, last, None if u[first] == v[first] else own == u
+        yield first, last, None if u[first] == v[first] else own == u, None if u[first] >= PROPOSED else within
 
 
-def _hopeful(tasks: DataFrame, rule: Rule) -> DataFrame:
+def _also(rows: pa.Table) -> np.ndarray | None:
+    return rows.column("also").to_numpy().view(U) if "also" in rows.column_names else None  # bits are counted of unsigned numbers
+
+
+def _hopeful(tasks: DataFrame, rule: Rule, within: int | None = None) -> DataFrame:
+    extra = [] if within is None else ["also"]
+
     def run(rows: pa.Table) -> pa.RecordBatch:
         prefixes = [flat(rows.column(x).combine_chunks()) for x in NAMES]
-        index = Index(rule, rows.column("n").to_numpy(), [(x, offsets(s)) for x, s in prefixes])
-        found = np.concatenate([hopeful(index, *task) for task in _tasks(rows)])
-        kept = rows.select([*TASK, "own", "node"]).filter(pa.array(found))
+        index = Index(rule, rows.column("n").to_numpy(), [(x, offsets(s)) for x, s in prefixes], also=_also(rows))
+        found = np.concatenate([hopeful(index, *task) for task in _tasks(rows, within)])
+        kept = rows.select([*TASK, "own", "node", *extra]).filter(pa.array(found))
         return kept.combine_chunks().to_batches()[0] if kept.num_rows else pa.RecordBatch.from_pylist([], kept.schema)
 
-    return _by_task(tasks.select(*TASK, "own", "node", "n", *NAMES), run, "leader long, u int, v int, own int, node long")
+    schema = "leader long, u int, v int, own int, node long" + (", also long" if extra else "")
+    return _by_task(tasks.select(*TASK, "own", "node", "n", *NAMES, *extra), run, schema)
 
 
-def _forests(tasks: DataFrame, orders: Orders) -> DataFrame:
+def _forests(tasks: DataFrame, orders: Orders, within: int | None = None) -> DataFrame:
     """``a``, ``b``: what connects the sets that link within each task."""
-    sent = tasks.sparkSession.sparkContext.broadcast(orders)
+    sent, extra = tasks.sparkSession.sparkContext.broadcast(orders), [] if within is None else ["also"]
 
     def run(rows: pa.Table) -> pa.RecordBatch:
         node, (tokens, sizes) = rows.column("node").to_numpy(), flat(rows.column("tokens").combine_chunks())
-        index = Index(sent.value.rule, sizes, sent.value.prefixes(tokens, sizes), tokens)
-        label = np.concatenate([forest(index, *task) for task in _tasks(rows)])
+        index = Index(sent.value.rule, sizes, sent.value.prefixes(tokens, sizes), tokens, _also(rows))
+        label = np.concatenate([forest(index, *task) for task in _tasks(rows, within)])
         at = np.flatnonzero(label != np.arange(len(label)))
         return pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[label[at]])], names=["a", "b"])
 
-    return _by_task(tasks.select(*TASK, "own", "node", "tokens"), run, "a long, b long").distinct()
+    return _by_task(tasks.select(*TASK, "own", "node", "tokens", *extra), run, "a long, b long").distinct()
 
 
-def _candidates(sets: DataFrame, rule: Rule, proposed: DataFrame | None) -> DataFrame:
+def _candidates(sets: DataFrame, rule: Rule, proposed: DataFrame | None, within: int | None = None) -> DataFrame:
     """The rows (leader, u, v, own, node) of sets that pass every filter with another one of their task."""
     some = sets.where(F.col("doc_id").isNotNull() & (F.col("n") >= rule.smallest()))
     tokens = some.select(F.explode(NAMES[0]).alias("token"), "node", "n")
     shared = tokens.groupBy("token").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last")
     shared = common.cut(shared.select("token", "leader"), "shared")
     held = Bitmap(shared.select("token")).thinned(tokens, "token")
-    members = held.join(shared, "token").select("leader", "node", "n")
+    members = held.join(shared, "token").select("leader", F.lit(0).alias("base"), "node", "n")
     if proposed is not None:
-        members = members.union(proposed.join(some.select("node", "n").distinct(), "node").select("leader", "node", "n"))
+        members = members.union(proposed.join(some.select("node", "n").distinct(), "node").select("leader", F.lit(PROPOSED).alias("base"), "node", "n"))
     members = common.cut(members.distinct(), "members")
-    large = members.groupBy("leader").agg(F.sum("n").alias("total")).where(F.col("total") > PART)
-    large = large.select("leader", F.ceil(F.col("total") / PART).cast("int").alias("parts"))
-    dealt = members.join(large, "leader", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    large = members.groupBy("leader", "base").agg(F.sum("n").alias("total")).where(F.col("total") > PART)
+    large = large.select("leader", "base", F.ceil(F.col("total") / PART).cast("int").alias("parts"))
+    dealt = members.join(large, ["leader", "base"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    dealt = dealt.withColumn("own", F.col("base") + F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.col("base"), F.col("base") + F.col("parts") - 1)))
     dealt = dealt.select("leader", F.least("own", "other").alias("u"), F.greatest("own", "other").alias("v"), "own", "node")
     nodes = members.select("node").distinct()
-    prefixes = Bitmap(nodes).thinned(some.select("node", "n", *NAMES), "node")
+    extra = [] if within is None else ["also"]
+    prefixes = Bitmap(nodes).thinned(some.select("node", "n", *NAMES, *extra), "node")
     prefixes = prefixes.withColumn(NAMES[0], _low_bits(NAMES[0])).join(nodes, "node", "left_semi").dropDuplicates(["node"])
-    return common.cut(_hopeful(dealt.join(prefixes, "node"), rule), "hopeful")
+    return common.cut(_hopeful(dealt.join(prefixes, "node"), rule, within), "hopeful")
 
 
 def _low_bits(name: str) -> Column:
@@ -391,15 +406,16 @@ def _whole(docs: DataFrame, sets: DataFrame, nodes: DataFrame, rule: Rule, seed:
     return common.by_slice(rows, run, "node long, tokens array<long>", chars=SLICE).join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
-def components(docs: DataFrame, sets: DataFrame, orders: Orders, seed: int = 0, proposed: DataFrame | None = None) -> DataFrame:
+def components(docs: DataFrame, sets: DataFrame, orders: Orders, seed: int = 0, proposed: DataFrame | None = None, within: int | None = None) -> DataFrame:
     """``node``, ``root``: for every set that is not the smallest node of its component, the one that is.
 
-    ``proposed`` (``leader``, ``node``) adds groups to those that common prefix tokens make.
+    ``proposed`` (``leader``, ``node``) adds groups to those that common prefix tokens make. With ``within`` pairs
+    whose fingerprints ``also`` differ in so many bits at most are left to the proposed groups, which must hold them all.
     """
-    tasks = _candidates(sets, orders.rule, proposed)
+    tasks = _candidates(sets, orders.rule, proposed, within)
     nodes = common.cut(tasks.select("node").distinct(), "nodes")
     whole = _whole(docs, sets, nodes, orders.rule, seed)
-    return common.components(_forests(tasks.join(whole, "node"), orders), "components")
+    return common.components(_forests(tasks.join(whole, "node"), orders, within), "components")
 
 
 def distinct_sets(docs: DataFrame, orders: Orders, also: Callable[[np.ndarray], int] | None = None) -> tuple[DataFrame, int]:

@@ -1,11 +1,11 @@
 """Near-duplicates for the pipeline: SimHash groups and prefix groups, verified by exact similarity.
 
-The similarity of two texts is that of their sets of five-word shingles: the common ones over all. Groups of
-candidates come from two sides. The trie walk of ``simhash`` gathers fingerprints within four bits, which copies
-with few edits are. A similarity of 0.8 is about 10 differing bits with a deviation of 3, and no radius that
-the walk can afford reaches so far, so the groups of ``jaccardjoin`` are added, whose common prefix tokens no
-pair of 0.8 or more lacks. Both are verified alike, set against set inside tasks, before anything becomes a link: no
-link is lost and none is a guess.
+The similarity of two texts is that of their sets of five-word shingles: the common ones over all. Two methods
+share the pairs out. Those whose fingerprints lie within four bits, which copies with few edits do, come from the trie
+walk of ``simhash`` alone. A similarity of 0.8 is about 10 differing bits with a deviation of 3, and no radius that
+the walk can afford reaches so far, so pairs further apart come from the groups of ``jaccardjoin``, whose common
+prefix tokens no pair of 0.8 or more lacks; there pairs within four bits are passed over. Both are verified alike, set
+against set inside tasks, before anything becomes a link: no link is lost and none is a guess.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
     """
     orders = jaccardjoin.orders_of(docs, jaccardjoin.Rule(WORDS, LEAST))
     sets, seed = jaccardjoin.distinct_sets(docs, orders, simhash.majority)
-    roots = jaccardjoin.components(docs, sets, orders, seed, proposals(sets))
+    roots = jaccardjoin.components(docs, sets, orders, seed, proposals(sets), simhash.ERRORS)
     own = sets.where("doc_id IS NOT NULL").select("doc_id", "mark", "node").join(roots, "node", "left")
     own = common.cut(own.select("doc_id", "mark", F.coalesce("root", "node").alias("root")), "placed")
     first = own.groupBy("root").agg(F.min(F.struct("doc_id", "mark")).alias("first"))

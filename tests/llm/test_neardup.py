@@ -87,3 +87,27 @@ def test_a_chain_of_edits_is_one_group(spark):
     assert jaccard(*(shingles(rows[k][1]) for k in (0, 1))) >= 0.8 > jaccard(*(shingles(rows[k][1]) for k in (0, 5)))
     docs = spark.createDataFrame(rows + [(50, "of its own")], "doc_id long, text string")
     assert [r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, SMALL).orderBy("doc_id").collect()] == [0, 50]
+
+
+def test_pairs_within_four_bits_come_from_the_walk(spark, monkeypatch):
+    """Without the walk's groups its pairs stay unlinked; pairs further apart are found all the same."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(12):
+        words = [f"{k}w{rng.randrange(10**6)}" for _ in range(400)]
+        rows.append((2 * k, " ".join(words)))
+        for at in [200] if k < 8 else range(20, 180, 30):
+            words[at] = "other"
+        rows.append((2 * k + 1, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    orders = jaccardjoin.orders_of(docs, jaccardjoin.Rule(neardup.WORDS, neardup.LEAST))
+    sets, _ = jaccardjoin.distinct_sets(docs, orders, simhash.majority)
+    prints = {r["doc_id"]: r["also"] % 2**64 for r in sets.select("doc_id", "also").collect()}
+    close = {2 * k + 1 for k in range(12) if (prints[2 * k] ^ prints[2 * k + 1]).bit_count() <= simhash.ERRORS}
+    assert len(close) >= 4 and any(2 * k + 1 not in close for k in range(12))
+    kept = lambda: {r["doc_id"] for r in neardup.keep_first(docs).collect()}
+    firsts = {2 * k for k in range(12)}
+    assert kept() == firsts
+    proposed = neardup.proposals
+    monkeypatch.setattr(neardup, "proposals", lambda sets: proposed(sets).limit(0))
+    assert kept() == firsts | close
