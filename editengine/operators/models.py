@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
@@ -101,18 +102,40 @@ def select_bot_model(features: DataFrame) -> BotSelection:
     return BotSelection(models, auc, max(auc, key=auc.get), test)
 
 
-def _nearest(of: Sequence[Sequence[Sequence[float]]]) -> Column:
-    """For each start its number and the ``cost`` and ``cluster`` of its closest centroid, the first on ties."""
-    table = F.array(*[F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in own]) for own in of])
-
-    def squared(centroid: Column) -> Column:
-        return F.aggregate(F.zip_with("point", centroid, lambda x, c: (x - c) * (x - c)), F.lit(0.0), lambda total, x: total + x)
-
-    def closest(own: Column, start: Column) -> Column:
-        costs = F.transform(own, lambda c, k: F.struct(squared(c).alias("cost"), k.alias("cluster")))
-        return F.struct(start.alias("start"), F.array_min(costs).alias("best"))
-
-    return F.transform(table, closest)
+def _sums(points: DataFrame, centroids: dict[int, Sequence[Sequence[float]]]) -> DataFrame:
+    """``start``, ``cluster``, ``n``, ``cost``, ``total``: the rows closest to each centroid of each start, the first
+    on ties, summed up by the map tasks in Arrow batches."""
+    starts, width = sorted(centroids), len(next(iter(centroids.values()))[0])
+    ends = np.cumsum([0, *(len(centroids[s]) for s in starts)]).tolist()
+    table = np.array([c for s in starts for c in centroids[s]], dtype=float)
+
+    def run(batches):
+        n, cost, total = np.zeros(len(table), dtype=np.int64), np.zeros(len(table)), np.zeros((len(table), width))
+        for batch in batches:
+            whole = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            for begin in range(0, len(whole), 2048):  # the distances of so many rows stay in the cache
+                rows = whole[begin : begin + 2048]
+                far = np.zeros((len(table), len(rows)))
+                for i in range(width):
+                    far += (rows[:, i] - table[:, i, None]) ** 2
+                for first, last in zip(ends[:-1], ends[1:]):
+                    own = far[first:last].argmin(axis=0)
+                    least = far[first:last][own, np.arange(len(rows))]
+                    n[first:last] += np.bincount(own, minlength=last - first)
+                    cost[first:last] += np.bincount(own, weights=least, minlength=last - first)
+                    for i in range(width):
+                        total[first:last, i] += np.bincount(own, weights=rows[:, i], minlength=last - first)
+        start = np.repeat(np.array(starts, dtype=np.int32), np.diff(ends))
+        cluster = np.concatenate([np.arange(last - first, dtype=np.int32) for first, last in zip(ends[:-1], ends[1:])])
+        at = np.flatnonzero(n)
+        columns = [start[at], cluster[at], n[at], cost[at], *total[at].T]
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=names)
+
+    names = ["start", "cluster", "n", "cost", *(f"t{i}" for i in range(width))]
+    schema = "start int, cluster int, n long, cost double, " + ", ".join(f"t{i} double" for i in range(width))
+    return points.select("point").mapInArrow(run, schema).groupBy("start", "cluster").agg(
+        F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.array(*[F.sum(f"t{i}") for i in range(width)]).alias("total")
+    )
 
 
 def _seeds(points: DataFrame, k: int, starts: int) -> list[list[list[float]]]:
@@ -148,14 +171,11 @@ def multi_start(points: DataFrame, k: int, starts: int, rounds: int = 20, still:
     stays. The last scan gives the costs of the final centroids.
     """
     now, moving = _seeds(points, k, starts), set(range(starts))
-    width = len(now[0][0])
     for done in range(rounds + 1):
-        best = points.select("point", F.explode(_nearest(now)).alias("s"))
-        sums = best.groupBy(F.col("s.start").alias("start"), F.col("s.best.cluster").alias("cluster")).agg(
-            F.count("*").alias("n"), F.sum("s.best.cost").alias("cost"), F.array(*[F.sum(F.col("point")[i]) for i in range(width)]).alias("total")
-        ).collect()  # a row for each centroid
+        last = not moving or done == rounds  # costs are those of all starts
+        sums = _sums(points, {s: now[s] for s in (range(starts) if last else moving)}).collect()  # a row for each centroid
         costs = [sum(r["cost"] for r in sums if r["start"] == s) for s in range(starts)]
-        if not moving or done == rounds:
+        if last:
             return Starts(now, costs, done + 1)
         moved: dict[int, float] = {}
         for r in sums:

@@ -234,3 +234,21 @@ def test_models_of_no_rows(spark, rows, tmp_path):
         assert empty.columns == ["wiki", "windowStart", "editCount", "prediction", "hourOfDay"] and empty.count() == 0
     with pytest.raises(ValueError):
         iforest.fit(spark.createDataFrame([(1, None)], "id long, a double"), ["a"])
+
+
+def test_rows_are_summed_up_by_their_closest_centroid(spark):
+    """Ties go to the first centroid, of starts of different sizes; rows pass no column expression (300 steps a row)."""
+    points = [[float(a), float(b)] for a in range(60) for b in range(70)]
+    df = spark.createDataFrame([(p,) for p in points], "point array<double>").repartition(7)
+    centroids = {0: [[0.0, 0.0], [10.0, 0.0], [10.0, 0.0]], 3: [[30.0, 30.0], [0.0, 69.0]]}
+    summed = models._sums(df, centroids)
+    plan = summed._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan
+    got = {(r["start"], r["cluster"]): (r["n"], r["cost"], r["total"]) for r in summed.collect()}
+    want = {}
+    for start, own in centroids.items():
+        for p in points:
+            costs = [sum((x - c) ** 2 for x, c in zip(p, centre)) for centre in own]
+            n, cost, total = want.get((start, costs.index(min(costs))), (0, 0.0, [0.0, 0.0]))
+            want[start, costs.index(min(costs))] = n + 1, cost + min(costs), [t + x for t, x in zip(total, p)]
+    assert got == want and (0, 2) not in got
