@@ -74,9 +74,9 @@ class DayTable:
     def _swap(self, before: int, folders: dict[str, list[str]]) -> None:
         Folder(self.spark, f"{self.path}/lists").create(f"{before + 1:012d}.json", json.dumps(folders))
 
-    def _write(self, rows: DataFrame, rows_per_file: int = 0) -> dict[str, list[str]]:
+    def _write(self, rows: DataFrame) -> dict[str, list[str]]:
         run = f"run={uuid.uuid4().hex}"
-        rows.write.partitionBy("day").option("maxRecordsPerFile", rows_per_file).parquet(f"{self.path}/data/{run}")
+        rows.write.partitionBy("day").parquet(f"{self.path}/data/{run}")
         days = [x for x in Folder(self.spark, f"{self.path}/data/{run}").names() if x.startswith("day=")]
         return {x.removeprefix("day="): [f"{run}/{x}"] for x in days}
 
@@ -108,11 +108,15 @@ class DayTable:
             several = [d for d in closed if len(now.get(d, [])) > 1]
             if not several:
                 return now
-            # A large day is spread over tasks by the number of its rows. A seed makes the deal repeatable.
-            rows = self.read(several)
-            counts = rows.groupBy("day").count().select("day", F.ceil(F.col("count") / rows_per_file).cast("int").alias("files"))
-            dealt = rows.join(F.broadcast(counts), "day").withColumn("file", (F.rand(1) * F.col("files")).cast("int"))  # a row for each day
-            made = self._write(dealt.repartition("day", "file").drop("file", "files"), rows_per_file)
+            # A large day is spread over tasks by the number of its rows. A seed makes the deal repeatable. Days are
+            # written one by one: a write that makes the folders itself sorts each task's rows, whole files, by day.
+            counts = {str(r["day"]): r["count"] for r in self.read(several).groupBy("day").count().collect()}  # a row for each day
+            run, made = f"run={uuid.uuid4().hex}", {}
+            for day in several:
+                dealt = self.read([day]).drop("day").withColumn("file", F.rand(1))
+                dealt = dealt.repartition(-(-counts.get(day, 1) // rows_per_file), "file").drop("file")
+                made[day] = [f"{run}/day={day}"]
+                dealt.write.option("maxRecordsPerFile", rows_per_file).parquet(f"{self.path}/data/{made[day][0]}")
             return {**now, **made}
 
         self._changed(change)

@@ -44,6 +44,14 @@ def test_a_large_day_is_spread_over_files(table):
     assert len(files(table.read(["2024-01-01"]))) > 1 and table.read(["2024-01-01"]).count() == 180
 
 
+def test_compaction_leaves_no_day_to_the_writer(table, monkeypatch):
+    """A write that makes the day folders itself sorts each task's rows in memory."""
+    before = counts(table.read())
+    monkeypatch.setattr("pyspark.sql.DataFrameWriter.partitionBy", lambda *_: pytest.fail("rows are sorted by day"))
+    assert table.compact("2024-01-03", rows_per_file=50) == ["2024-01-01", "2024-01-02"]
+    assert counts(table.read()) == before and len(table.folders()["2024-01-01"]) == 1
+
+
 def test_days_prune_and_expiry_rewrites_the_border_day_alone(table):
     plan = table.read().where("day >= '2024-01-04'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan and "Exchange" not in plan
