@@ -42,6 +42,20 @@ def _part_marks(text: str) -> str:
     return text
 
 
+# White space of one byte but the space and the line end.
+ODD_SPACES = "\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0"
+
+
+def _odd_space(text: str) -> bool:
+    """Whether a text whose spaces and line ends all stand between words holds other white space. A search for one
+    character is far cheaper than words, but must be made for each; wider texts may hold many more."""
+    try:
+        text.isascii() or text.encode("latin-1")
+    except UnicodeEncodeError:
+        return len(text.split()) != text.count(" ") + text.count("\n") + 1
+    return any(x in text for x in ODD_SPACES)
+
+
 def _bytes_as_letters() -> dict[int, str]:
     """How byte-level vocabularies spell bytes: printable ones as themselves, the others from U+0100 on."""
     plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -97,7 +111,7 @@ class Encoder:
         whole, held, missing = [], [], set()
         for k, text in enumerate(texts):
             words = _part_marks(text).replace("\n", " \n").split(" ")
-            if any(x in text for x in self.added) or "\0" in text or not words[0] or words[0][0] == "\n" or "" in words or "\n" in words or len(text.split()) != text.count(" ") + text.count("\n") + 1:
+            if any(x in text for x in self.added) or "\0" in text or not words[0] or words[0][0] == "\n" or "" in words or "\n" in words or _odd_space(text):
                 whole.append(k)
                 continue
             words[0] = "\0" + words[0]
