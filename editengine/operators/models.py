@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -15,12 +16,13 @@ from pyspark.ml.feature import MinMaxScaler, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from editengine import schema as S
 from editengine.operators import evaluate
 from editengine.operators.features import split_by_key
+from editengine.session import written
 
 SEED = 42
 # Rows of the sample from which clusterings choose the centroids they begin with; every round reads all rows.
@@ -240,6 +242,21 @@ class Forecast:
     r2: float
 
 
+def _upto_share(series: DataFrame, wanted: int) -> int:
+    """The first second that at least ``wanted`` rows lie at or before, whatever task holds them.
+
+    Found among the days, then among the minutes of that day, so that no window sees more than those.
+    """
+    second = F.unix_seconds("windowStart")
+    before = 0
+    for step in (86_400, 1):
+        counts = series.groupBy(F.floor(second / step).alias("at")).agg(F.count("*").alias("n"))
+        upto = F.sum("n").over(Window.orderBy("at").rowsBetween(Window.unboundedPreceding, 0)) + before
+        found = counts.withColumn("upto", upto).where(F.col("upto") >= wanted).orderBy("at").first()
+        series, before = series.where(F.floor(second / step) == found["at"]), found["upto"] - found["n"]
+    return found["at"]
+
+
 def volume_forecast(lagged: DataFrame, by_time: bool = False, min_rows: int = S.MIN_LAGGED_ROWS) -> Forecast | None:
     """Gradient-boosted forecast of a minute's events; ``few`` says that there were under ``min_rows`` rows.
 
@@ -248,19 +265,14 @@ def volume_forecast(lagged: DataFrame, by_time: bool = False, min_rows: int = S.
     The default split is random by (wiki, minute); ``by_time`` tests on the last fifth of the time
     span, so that nothing later than a test row is learnt from.
     """
-    # One row per wiki and minute: kept while fitting, so the events behind it are read once.
-    lagged = lagged.persist()
-    try:
-        few = lagged.limit(min_rows).count() < min_rows
-        return _fit_forecast(lagged, by_time, few)
-    finally:
-        lagged.unpersist()
-
-
-def _fit_forecast(lagged: DataFrame, by_time: bool, few: bool) -> Forecast | None:
+    # One row per wiki and minute. The lags leave them in a task for each wiki; every tree level reads them, so they are
+    # dealt evenly. They are written, so that the predictions, which are read later, do not begin at the events again.
+    lagged = written(lagged.repartition("wiki", "windowStart").sortWithinPartitions("wiki", "windowStart"), "lagged")
+    rows = lagged.count()
+    if not rows:
+        return None
     if by_time:
-        cut = lagged.agg(F.percentile_approx(F.unix_seconds("windowStart"), 0.8).alias("t")).first()["t"]
-        late = F.unix_seconds("windowStart") > F.lit(cut)
+        late = F.unix_seconds("windowStart") > F.lit(_upto_share(lagged, math.ceil(0.8 * rows)))
         train, test = lagged.where(~late), lagged.where(late)
     else:
         keyed = lagged.withColumn("_key", F.concat_ws("|", "wiki", F.unix_seconds("windowStart")))
@@ -275,7 +287,7 @@ def _fit_forecast(lagged: DataFrame, by_time: bool, few: bool) -> Forecast | Non
     ).fit(train)
     predictions = model.transform(test)
     row = evaluate.regression_metrics(predictions, "editCount").first()
-    return Forecast(model, predictions.withColumn("few", F.lit(few)), row["rmse"], row["r2"])
+    return Forecast(model, predictions.withColumn("few", F.lit(rows < min_rows)), row["rmse"], row["r2"])
 
 
 def regression_score(predictions: DataFrame, metric: str = "rmse", label: str = "editCount") -> float:

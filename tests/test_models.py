@@ -150,6 +150,40 @@ def test_forecast(spark):
     assert models.volume_forecast(lagged.limit(0)) is None
 
 
+@pytest.mark.parametrize("by_time", [False, True])
+def test_forecast_deals_its_rows_evenly(spark, by_time):
+    """Rows of one wiki, which the lags leave in one task, are fitted in all; predictions read neither window nor events."""
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        counts = (F.hash("id") % 7 + 7).cast("long")
+        series = spark.range(2000).select(
+            F.lit("w").alias("wiki"), F.timestamp_seconds(F.col("id") * 60).alias("windowStart"), counts.alias("editCount"),
+            (F.col("id") % 11).cast("double").alias("avgDelta"), (F.col("id") % 3).alias("botEdits"), F.lit(0).alias("anonEdits"),
+        ).withColumns({"hourOfDay": F.hour("windowStart"), "dayOfWeek": F.dayofweek("windowStart")})
+        lagged = features.add_lags(series)
+        assert lagged.groupBy(F.spark_partition_id()).count().count() == 1
+        found = models.volume_forecast(lagged, by_time=by_time).predictions
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) > 1 and max(sizes) < 2 * sum(sizes) / len(sizes)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "Exchange" not in plan and "Range" not in plan
+        late = found.agg(F.count("*").alias("n"), F.min("windowStart").alias("t")).first()
+        assert not by_time or (late["n"], late["t"].minute) == (399, 1601 % 60)
+    finally:
+        spark.conf.unset(coalesce)
+
+
+def test_cut_in_time_does_not_depend_on_tasks(spark):
+    """Three rows a minute over 56 days, one in the last minute: a sketch of them changes with their tasks."""
+    rows = spark.range(240_001).select(F.timestamp_seconds(1_700_000_000 + F.floor(F.col("id") / 3) * 60).alias("windowStart"))
+    wanted = -(-240_001 * 4 // 5)
+    for dealt in (rows.repartition(3), rows.repartition(16), rows.coalesce(1)):
+        assert models._upto_share(dealt, wanted) == 1_700_000_000 + (wanted - 1) // 3 * 60
+    assert models._upto_share(rows, 1) == 1_700_000_000
+    assert models._upto_share(rows, 240_001) == 1_700_000_000 + 80_000 * 60
+
+
 def test_scalers_handle_constants(spark):
     df = spark.createDataFrame([(1, 5, 1.0), (2, 5, 3.0)], "id int, k int, v double")
     assert [r["k"] for r in features.minmax_scale(df, ["k"]).collect()] == [0.5, 0.5]
